@@ -268,3 +268,158 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     ntr = spl.train_size(n, 0.7)
     df = spl.assign_split(df, "o_orderkey", [ntr, n - ntr], SEED, n=n)
     return df.groupBy("split", "target").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------------ F/G: model, loss, metrics
+
+from strata.operators import metrics as met  # noqa: E402
+from strata.operators import mlp  # noqa: E402
+from strata.operators import model as mdl  # noqa: E402
+
+EMB_LAYERS = [64, 16, 10]
+
+
+def _dlit(v: float) -> str:
+    return f"'{float(v)!r}'::DOUBLE"
+
+
+def _mlp_sql(layers, seed, x_sql: str, key: str) -> str:
+    """Relational forward pass: x_sql yields (key, j, x); returns CTE text
+    ending in ``z(key, idx, logit)``.  Biases are zero (fresh init)."""
+    n = len(layers) - 1
+    ctes = [f"h0 AS ({x_sql})"]
+    for lay in range(n):
+        fi, fo = layers[lay], layers[lay + 1]
+        b = mlp.layer_bound(lay, n, fi, fo)
+        ctes.append(
+            f"w{lay} AS (SELECT i, j, {_dlit(b)} * (2 * (('0x' || substr(md5('{seed}:{lay}:' || i"
+            f" || ':' || j), 1, 8))::BIGINT / {_dlit(4294967296.0)}) - 1) AS w "
+            f"FROM range(0, {fo}) a(i), range(0, {fi}) b(j))")
+        agg = f"sum(h{lay}.x * w{lay}.w)"
+        val = f"greatest({agg}, 0)" if lay < n - 1 else agg
+        name = f"h{lay + 1}" if lay < n - 1 else "z"
+        col = "x" if lay < n - 1 else "logit"
+        jn = "j" if lay < n - 1 else "idx"
+        ctes.append(f"{name} AS (SELECT h{lay}.{key}, w{lay}.i AS {jn}, {val} AS {col} "
+                    f"FROM h{lay} JOIN w{lay} ON h{lay}.j = w{lay}.j GROUP BY h{lay}.{key}, w{lay}.i)")
+    return "WITH " + ",\n".join(ctes)
+
+
+EMB_X_SQL = ("SELECT vec_id, unnest(range(0, len(embedding))) AS j, "
+             "unnest(embedding)::DOUBLE AS x FROM embeddings")
+
+_EMB_SCORE_SQL = _mlp_sql(EMB_LAYERS, SEED, EMB_X_SQL, "vec_id") + """,
+lse AS (SELECT vec_id, ln(sum(exp(logit - m))) + m AS lse
+        FROM (SELECT vec_id, logit, max(logit) OVER (PARTITION BY vec_id) AS m FROM z)
+        GROUP BY vec_id, m),
+pred AS (SELECT vec_id, idx AS prediction FROM
+         (SELECT vec_id, idx, row_number() OVER (PARTITION BY vec_id ORDER BY logit DESC, idx) AS r
+          FROM z) WHERE r = 1),
+scored AS (SELECT e.vec_id, e.label, CAST(p.prediction AS INTEGER) AS prediction,
+                  l.lse - zl.logit AS loss
+           FROM embeddings e JOIN pred p ON e.vec_id = p.vec_id
+           JOIN lse l ON e.vec_id = l.vec_id
+           JOIN z zl ON zl.vec_id = e.vec_id AND zl.idx = e.label),
+ranked AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || vec_id), vec_id) AS rnk,
+                  count(*) OVER () AS n FROM scored),
+test AS (SELECT * FROM ranked WHERE rnk > floor(0.7::DOUBLE * n)),
+test_ranked AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || vec_id), vec_id) AS trnk,
+                       count(*) OVER () AS tn FROM test)"""
+
+
+def _emb_scored(spark, sf_dir, seed=SEED):
+    df = fx.emb10(spark, sf_dir)
+    params = mlp.init_params(EMB_LAYERS, seed)
+    return mdl.with_loss(mdl.score(df, params))
+
+
+def _emb_test(spark, sf_dir):
+    sc = _emb_scored(spark, sf_dir)
+    _, test = spl.train_test_split(sc, "vec_id", 0.7, SEED)
+    return test
+
+
+@query("f4_forward_logits", _mlp_sql(EMB_LAYERS, SEED, EMB_X_SQL, "vec_id") + """
+SELECT vec_id, CAST(idx AS INTEGER) AS idx, round(logit, 6) AS logit FROM z""")
+def f4_forward_logits(spark, sf_dir):
+    sc = mdl.score(fx.emb10(spark, sf_dir), mlp.init_params(EMB_LAYERS, SEED), keep=["vec_id"])
+    return sc.select("vec_id", F.posexplode("logits").alias("idx", "logit")).select(
+        "vec_id", F.col("idx").cast("int").alias("idx"), F.round("logit", 6).alias("logit"))
+
+
+@query("f2_f3_sql_forward", _mlp_sql(EMB_LAYERS, SEED, EMB_X_SQL, "vec_id") + """
+SELECT vec_id, CAST(idx AS INTEGER) AS idx, round(logit, 6) AS logit FROM z""")
+def f2_f3_sql_forward(spark, sf_dir):
+    """The same forward pass as Catalyst expressions (zip_with/aggregate)."""
+    sc = mdl.sql_forward(fx.emb10(spark, sf_dir), mlp.init_params(EMB_LAYERS, SEED))
+    return sc.select("vec_id", F.posexplode("logits").alias("idx", "logit")).select(
+        "vec_id", F.col("idx").cast("int").alias("idx"), F.round("logit", 6).alias("logit"))
+
+
+@query("f5_row_loss", _EMB_SCORE_SQL + """
+SELECT vec_id, round(loss, 6) AS loss FROM scored""")
+def f5_row_loss(spark, sf_dir):
+    return _emb_scored(spark, sf_dir).select("vec_id", F.round("loss", 6).alias("loss"))
+
+
+@query("f12_score", _EMB_SCORE_SQL + """
+SELECT vec_id, label, prediction FROM scored""")
+def f12_score(spark, sf_dir):
+    return _emb_scored(spark, sf_dir).select("vec_id", "label", "prediction")
+
+
+@query("g1_mean_loss", _EMB_SCORE_SQL + """
+SELECT round(avg(loss), 6) AS loss FROM test""")
+def g1_mean_loss(spark, sf_dir):
+    return met.mean_loss(_emb_test(spark, sf_dir)).select(F.round("loss", 6).alias("loss"))
+
+
+@query("g2_accuracy", _EMB_SCORE_SQL + """
+SELECT round(avg(CAST(prediction = label AS DOUBLE)), 9) AS accuracy FROM test""")
+def g2_accuracy(spark, sf_dir):
+    return met.accuracy(_emb_test(spark, sf_dir)).select(F.round("accuracy", 9).alias("accuracy"))
+
+
+@query("g3_batch_mean_loss", _EMB_SCORE_SQL + """
+SELECT round(avg(bl), 6) AS loss FROM
+  (SELECT (trnk - 1) // 32 AS b, avg(loss) AS bl FROM test_ranked GROUP BY b)""")
+def g3_batch_mean_loss(spark, sf_dir):
+    tb = spl.batches(_emb_test(spark, sf_dir), "vec_id", 32, SEED)
+    return met.batch_mean_loss(tb).select(F.round("loss", 6).alias("loss"))
+
+
+@query("g4_shard_accuracy", _EMB_SCORE_SQL + """,
+padded AS (SELECT label, prediction, trnk - 1 AS pos FROM test_ranked
+           UNION ALL
+           SELECT label, prediction, trnk - 1 + tn AS pos FROM test_ranked
+           WHERE trnk <= (3 - tn % 3) % 3)
+SELECT CAST(pos % 3 AS INTEGER) AS shard, sum(CAST(prediction = label AS BIGINT)) AS correct,
+       count(*) AS rows,
+       round(sum(CAST(prediction = label AS BIGINT)) / CAST((SELECT count(*) FROM test) // 3 AS DOUBLE), 9) AS accuracy
+FROM padded GROUP BY shard""")
+def g4_shard_accuracy(spark, sf_dir):
+    test = _emb_test(spark, sf_dir)
+    n = test.count()
+    sh = spl.shards(test, "vec_id", 3, SEED, n=n)
+    return met.shard_accuracy(sh, n, 3).withColumn("accuracy", F.round("accuracy", 9))
+
+
+@query("g5_running_loss", _EMB_SCORE_SQL + """,
+train AS (SELECT * FROM ranked WHERE rnk <= floor(0.7::DOUBLE * n)),
+ep AS (SELECT t.vec_id, t.loss, e.epoch,
+              row_number() OVER (PARTITION BY e.epoch
+                                 ORDER BY md5('42:' || e.epoch || ':' || t.vec_id), t.vec_id) AS r
+       FROM train t CROSS JOIN range(0, 3) e(epoch))
+SELECT CAST(epoch AS INTEGER) AS epoch, round(avg(bl), 6) AS training_loss
+FROM (SELECT epoch, (r - 1) // 20 AS b, avg(loss) AS bl FROM ep GROUP BY epoch, b)
+GROUP BY epoch""")
+def g5_running_loss(spark, sf_dir):
+    train, _ = spl.train_test_split(_emb_scored(spark, sf_dir), "vec_id", 0.7, SEED)
+    parts = []
+    for ep in range(3):
+        b = spl.batches(train, "vec_id", 20, SEED, ep)
+        parts.append(b.groupBy("batch_id").agg(F.avg("loss").alias("batch_loss"))
+                     .withColumn("epoch", F.lit(ep)))
+    bl = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return met.running_loss(bl, by=["epoch"]).select(
+        "epoch", F.round("training_loss", 6).alias("training_loss"))

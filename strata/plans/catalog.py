@@ -423,3 +423,102 @@ def g5_running_loss(spark, sf_dir):
     bl = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return met.running_loss(bl, by=["epoch"]).select(
         "epoch", F.round("training_loss", 6).alias("training_loss"))
+
+
+# ------------------------------------------------------------ D: resampling
+
+from strata.operators import resample as rs  # noqa: E402
+
+
+def _rare2_vec(spark, sf_dir):
+    return proj.assemble_features(fx.rare2(spark, sf_dir), fx.RARE2_FEATURES,
+                                  keep=["event_id", "Class"])
+
+
+_RARE2_MIN_SQL = f"""
+WITH r AS ({RARE2_SQL}),
+m AS (SELECT event_id, CAST(hour AS DOUBLE) AS f0, CAST(day AS DOUBLE) AS f1,
+             CAST(user_id AS DOUBLE) AS f2, CAST(k AS DOUBLE) AS f3 FROM r WHERE Class = 1),
+pairs AS (SELECT a.event_id, b.event_id AS nbr_key,
+                 (a.f0 - b.f0) * (a.f0 - b.f0) + (a.f1 - b.f1) * (a.f1 - b.f1)
+                 + (a.f2 - b.f2) * (a.f2 - b.f2) + (a.f3 - b.f3) * (a.f3 - b.f3) AS d2
+          FROM m a JOIN m b ON a.event_id <> b.event_id),
+nn AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY d2, nbr_key) - 1 AS nbr_rank
+       FROM pairs),
+knn AS (SELECT * FROM nn WHERE nbr_rank < 5),
+mr AS (SELECT *, row_number() OVER (ORDER BY md5('42:minority:' || event_id), event_id) AS base FROM m),
+plan AS (SELECT CAST(floor(0.03::DOUBLE * (SELECT count(*) FROM r WHERE Class = 0)
+                      - (SELECT count(*) FROM m)) AS BIGINT) AS n_syn,
+                (SELECT count(*) FROM m) AS n_min),
+ids AS (SELECT unnest(range(0, n_syn)) AS i, n_min FROM plan),
+draws AS (SELECT i, n_min,
+                 ('0x' || substr(md5('42:smote:' || i), 1, 8))::BIGINT / {_dlit(4294967296.0)} AS u1,
+                 ('0x' || substr(md5('42:smote:' || i), 9, 8))::BIGINT / {_dlit(4294967296.0)} AS gap
+          FROM ids),
+pick AS (SELECT i, gap, CAST(floor(u1 * (n_min * 5)) AS BIGINT) // 5 + 1 AS base,
+                CAST(floor(u1 * (n_min * 5)) AS BIGINT) % 5 AS nbr_rank FROM draws),
+syn AS (SELECT -(p.i + 1) AS event_id,
+               x.f0 + p.gap * (y.f0 - x.f0) AS f0, x.f1 + p.gap * (y.f1 - x.f1) AS f1,
+               x.f2 + p.gap * (y.f2 - x.f2) AS f2, x.f3 + p.gap * (y.f3 - x.f3) AS f3
+        FROM pick p JOIN mr x ON p.base = x.base
+        JOIN knn k ON k.event_id = x.event_id AND k.nbr_rank = p.nbr_rank
+        JOIN m y ON y.event_id = k.nbr_key)"""
+
+
+@query("d1_resample_plan", f"""
+WITH c AS (SELECT Class, count(*) AS n FROM ({RARE2_SQL}) GROUP BY Class),
+s AS (SELECT Class, n, CAST(CASE WHEN n = max(n) OVER () THEN n
+                  ELSE n + floor(0.03::DOUBLE * max(n) OVER () - n) END AS BIGINT) AS n_smote FROM c)
+SELECT Class, n, n_smote,
+       CAST(CASE WHEN n_smote = min(n_smote) OVER () THEN n_smote
+            ELSE floor(min(n_smote) OVER () / 0.3::DOUBLE) END AS BIGINT) AS n_final
+FROM s""")
+def d1_resample_plan(spark, sf_dir):
+    return rs.resample_plan(fx.rare2(spark, sf_dir), "Class", 0.03, 0.3)
+
+
+@query("d2_minority_knn", _RARE2_MIN_SQL + """
+SELECT event_id, CAST(nbr_rank AS INTEGER) AS nbr_rank, nbr_key, d2 FROM knn""")
+def d2_minority_knn(spark, sf_dir):
+    m = _rare2_vec(spark, sf_dir).filter(F.col("Class") == 1).select("event_id", "features")
+    return rs.knn(m, "event_id", "features", 5)
+
+
+@query("d3_smote_rows", _RARE2_MIN_SQL + """
+SELECT event_id, CAST(idx AS INTEGER) AS idx, round(v, 6) AS value FROM
+  (SELECT event_id, unnest(range(0, 4)) AS idx, unnest([f0, f1, f2, f3]) AS v FROM syn)""")
+def d3_smote_rows(spark, sf_dir):
+    df = _rare2_vec(spark, sf_dir)
+    counts = rs.class_counts(df, "Class")
+    n_new = rs.oversample_targets(counts, 0.03)[1]
+    m = df.filter(F.col("Class") == 1).select("event_id", "features")
+    syn = rs.smote_rows(m, "event_id", "features", n_new, SEED).synthetic
+    return syn.select("event_id", F.posexplode("features").alias("idx", "value")).select(
+        "event_id", F.col("idx").cast("int").alias("idx"), F.round("value", 6).alias("value"))
+
+
+@query("d4_undersample", f"""
+WITH r AS ({RARE2_SQL}),
+maj AS (SELECT event_id, row_number() OVER (ORDER BY md5('42:under:' || event_id), event_id) AS rnk
+        FROM r WHERE Class = 0)
+SELECT event_id, Class FROM r WHERE Class = 1
+UNION ALL
+SELECT event_id, 0 AS Class FROM maj
+WHERE rnk <= CAST(floor((SELECT count(*) FROM r WHERE Class = 1) / 0.3::DOUBLE) AS BIGINT)""")
+def d4_undersample(spark, sf_dir):
+    return rs.undersample(fx.rare2(spark, sf_dir), "event_id", "Class", 0.3, SEED) \
+        .select("event_id", "Class")
+
+
+@query("d5_smote_undersample", _RARE2_MIN_SQL + """,
+allr AS (SELECT event_id, Class FROM r UNION ALL SELECT event_id, 1 AS Class FROM syn),
+maj AS (SELECT event_id, row_number() OVER (ORDER BY md5('42:under:' || event_id), event_id) AS rnk
+        FROM allr WHERE Class = 0)
+SELECT event_id, Class FROM allr WHERE Class = 1
+UNION ALL
+SELECT event_id, 0 AS Class FROM maj
+WHERE rnk <= CAST(floor((SELECT count(*) FROM allr WHERE Class = 1) / 0.3::DOUBLE) AS BIGINT)""")
+def d5_smote_undersample(spark, sf_dir):
+    out = rs.smote_then_undersample(_rare2_vec(spark, sf_dir), "event_id", "Class", "features",
+                                    0.03, 0.3, SEED)
+    return out.select("event_id", "Class")

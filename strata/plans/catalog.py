@@ -522,3 +522,97 @@ def d5_smote_undersample(spark, sf_dir):
     out = rs.smote_then_undersample(_rare2_vec(spark, sf_dir), "event_id", "Class", "features",
                                     0.03, 0.3, SEED)
     return out.select("event_id", "Class")
+
+
+# ------------------------------------------------------------ F6-F11: gradients, Adam, training
+
+from strata.operators import train as tr  # noqa: E402
+
+SOFTMAX_LAYERS = [64, 10]
+
+_GRAD_SQL = _mlp_sql(SOFTMAX_LAYERS, SEED, EMB_X_SQL, "vec_id") + """,
+zm AS (SELECT *, max(logit) OVER (PARTITION BY vec_id) AS m FROM z),
+p AS (SELECT vec_id, idx, exp(logit - m) / sum(exp(logit - m)) OVER (PARTITION BY vec_id) AS p
+      FROM zm),
+d AS (SELECT p.vec_id, p.idx, p.p - CASE WHEN e.label = p.idx THEN 1 ELSE 0 END AS d
+      FROM p JOIN embeddings e ON e.vec_id = p.vec_id),
+nn AS (SELECT count(*) AS n FROM embeddings),
+g AS (SELECT 0 AS layer, d.idx AS i, h0.j AS j, sum(d.d * h0.x) / (SELECT n FROM nn) AS grad
+      FROM d JOIN h0 ON d.vec_id = h0.vec_id GROUP BY d.idx, h0.j
+      UNION ALL
+      SELECT 0 AS layer, idx AS i, -1 AS j, sum(d) / (SELECT n FROM nn) AS grad FROM d GROUP BY idx)"""
+
+
+@query("f6_gradient", _GRAD_SQL + """
+SELECT CAST(layer AS INTEGER) AS layer, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j,
+       round(grad, 9) AS grad FROM g""")
+def f6_gradient(spark, sf_dir):
+    g = tr.gradient(fx.emb10(spark, sf_dir), mlp.init_params(SOFTMAX_LAYERS, SEED))
+    return g.select("layer", "i", "j", F.round("grad", 9).alias("grad"))
+
+
+def _adam_sql() -> str:
+    b = mlp.layer_bound(0, 1, 64, 10)
+    lr = 1e-3
+    bc1 = 1.0 - mlp.ADAM_BETA1
+    bc2 = 1.0 - mlp.ADAM_BETA2
+    return _GRAD_SQL + f""",
+w AS (SELECT i, j, {_dlit(b)} * (2 * (('0x' || substr(md5('{SEED}:0:' || i || ':' || j), 1, 8))::BIGINT
+             / {_dlit(4294967296.0)}) - 1) AS w FROM range(0, 10) a(i), range(0, 64) b(j)
+      UNION ALL SELECT i, -1 AS j, 0.0::DOUBLE AS w FROM range(0, 10) a(i)),
+st AS (SELECT g.layer, g.i, g.j, w.w, {_dlit(1.0 - mlp.ADAM_BETA1)} * g.grad AS m,
+              {_dlit(1.0 - mlp.ADAM_BETA2)} * g.grad * g.grad AS v
+       FROM g JOIN w ON g.i = w.i AND g.j = w.j)
+SELECT CAST(layer AS INTEGER) AS layer, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j,
+       round(w - {_dlit(lr / bc1)} * m / (sqrt(v) / {_dlit(float(np.sqrt(bc2)))} + {_dlit(mlp.ADAM_EPS)}), 9) AS w
+FROM st"""
+
+
+import numpy as np  # noqa: E402
+
+
+@query("f7_adam_step", _adam_sql())
+def f7_adam_step(spark, sf_dir):
+    g = tr.gradient(fx.emb10(spark, sf_dir), mlp.init_params(SOFTMAX_LAYERS, SEED))
+    p = mdl.init_params_df(spark, SOFTMAX_LAYERS, SEED).drop("trial_id")
+    out = tr.adam_step_table(p, g, 1e-3)
+    return out.select("layer", "i", "j", F.round("w", 9).alias("w"))
+
+
+def _emb_split(spark, sf_dir):
+    return spl.train_test_split(fx.emb10(spark, sf_dir), "vec_id", 0.7, SEED)
+
+
+@query("f10_train_local_metrics")
+def f10_train_local_metrics(spark, sf_dir):
+    """F8-F10 (local mode, 3 shards): per-epoch test metrics."""
+    train, test = _emb_split(spark, sf_dir)
+    res = tr.train_mlp(train, "vec_id", EMB_LAYERS, lr=1e-3, batch_size=30, epochs=3,
+                       world_size=3, seed=SEED, eval_df=test)
+    return res.metrics
+
+
+@query("f9_train_sync_reports")
+def f9_train_sync_reports(spark, sf_dir):
+    """F9 sync mode: exact global mini-batch Adam, one gradient job per batch."""
+    train, _ = _emb_split(spark, sf_dir)
+    n = train.count()
+    res = tr.train_mlp(train, "vec_id", EMB_LAYERS, lr=1e-3, batch_size=max(1, n // 4),
+                       epochs=1, mode="sync", seed=SEED)
+    return res.reports
+
+
+@query("f11_resume_reports")
+def f11_resume_reports(spark, sf_dir):
+    """one epoch, checkpoint, resume for one more; reports of both runs."""
+    from strata.session import ensure_checkpoint_dir, scratch_path
+    import uuid
+    ensure_checkpoint_dir(spark)
+    path = scratch_path(spark, f"f11-{uuid.uuid4().hex}")
+    train, _ = _emb_split(spark, sf_dir)
+    first = tr.train_mlp(train, "vec_id", EMB_LAYERS, lr=1e-3, batch_size=20, epochs=1,
+                         world_size=2, seed=SEED, checkpoint_path=path)
+    state = tr.read_checkpoint(spark, path, 0, EMB_LAYERS)
+    second = tr.train_mlp(train, "vec_id", EMB_LAYERS, lr=1e-3, batch_size=20, epochs=1,
+                          world_size=2, seed=SEED, init=state)
+    return first.reports.unionByName(second.reports)

@@ -616,3 +616,147 @@ def f11_resume_reports(spark, sf_dir):
     second = tr.train_mlp(train, "vec_id", EMB_LAYERS, lr=1e-3, batch_size=20, epochs=1,
                           world_size=2, seed=SEED, init=state)
     return first.reports.unionByName(second.reports)
+
+
+# ------------------------------------------------------------ H: search as tables
+
+from strata.operators import search as srch  # noqa: E402
+
+_SPACE_COLS = ["batch_size", "l1", "l2", "l3", "lr", "num_workers"]
+
+
+def _draw_sql(param: str, key_expr: str) -> str:
+    return (f"(('0x' || substr(md5('{SEED}:' || {key_expr} || ':{param}'), 1, 8))::BIGINT"
+            f" / {_dlit(4294967296.0)})")
+
+
+def _trials_sql(key_expr: str, src: str) -> str:
+    a, b = math.log(1e-4), math.log(1e-1)
+    u = lambda p: _draw_sql(p, key_expr)
+    return f"""
+SELECT CAST({key_expr} AS INTEGER) AS trial_id,
+       [20, 40, 60, 80][CAST(floor({u('batch_size')} * 4) AS INTEGER) + 1] AS batch_size,
+       CAST(pow(2, 6 + floor({u('l1')} * 4)) AS INTEGER) AS l1,
+       CAST(pow(2, 5 + floor({u('l2')} * 4)) AS INTEGER) AS l2,
+       CAST(pow(2, 3 + floor({u('l3')} * 4)) AS INTEGER) AS l3,
+       round(exp({_dlit(a)} + {u('lr')} * {_dlit(b - a)}), 12) AS lr,
+       [1, 2][CAST(floor({u('num_workers')} * 2) AS INTEGER) + 1] AS num_workers
+FROM {src}"""
+
+
+import math  # noqa: E402
+
+
+def _user_trials(spark, sf_dir):
+    users = table(spark, sf_dir, "events").select("user_id").distinct()
+    return srch.trials_from_ids(users, "user_id", srch.reference_space(), SEED,
+                                config_cols=["batch_size", "l1", "l2", "l3", "lr"])
+
+
+@query("h4_trial_draws", _trials_sql("user_id", "(SELECT DISTINCT user_id FROM events)"))
+def h4_trial_draws(spark, sf_dir):
+    t = _user_trials(spark, sf_dir)
+    return t.select("trial_id", "config.*", "num_workers").withColumn(
+        "lr", F.round("lr", 12))
+
+
+_REPORTS_SQL = """
+SELECT CAST(user_id AS INTEGER) AS trial_id, CAST(day(ts) AS INTEGER) AS epoch,
+       avg(value) AS training_loss, min(event_id) AS report_seq
+FROM events GROUP BY user_id, day(ts)"""
+
+
+def _event_reports(spark, sf_dir):
+    """A reports table derived from events: trial = user, epoch = day of
+    month, loss = mean value that day, arrival = first event id."""
+    ev = table(spark, sf_dir, "events")
+    return ev.groupBy(F.col("user_id").cast("int").alias("trial_id"),
+                      F.dayofmonth("ts").cast("int").alias("epoch")).agg(
+        F.avg("value").alias("training_loss"), F.min("event_id").alias("report_seq"))
+
+
+def _asha_sql(max_t: int) -> str:
+    ms = srch.rung_milestones(max_t)
+    case = " ".join(f"WHEN epoch >= {m} THEN {m}" for m in reversed(ms))
+    parts = [f"rep AS ({_REPORTS_SQL})",
+             f"r AS (SELECT *, CASE {case} END AS rung FROM rep WHERE epoch < {max_t})",
+             "f AS (SELECT trial_id, rung, arg_min(epoch, report_seq) AS epoch, "
+             "arg_min(training_loss, report_seq) AS training_loss, min(report_seq) AS report_seq "
+             "FROM r WHERE rung IS NOT NULL GROUP BY trial_id, rung)"]
+    for k, m in enumerate(ms):
+        excl = f" AND trial_id NOT IN (SELECT trial_id FROM s{k - 1})" if k else ""
+        parts.append(
+            f"d{k} AS (SELECT *, quantile_cont(training_loss, 0.5) OVER (ORDER BY report_seq "
+            f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS cutoff "
+            f"FROM f WHERE rung = {m}{excl})")
+        prev = f" UNION ALL SELECT trial_id FROM s{k - 1}" if k else ""
+        parts.append(f"s{k} AS (SELECT trial_id FROM d{k} WHERE training_loss > cutoff{prev})")
+    sel = " UNION ALL ".join(
+        f"SELECT trial_id, CAST(rung AS INTEGER) AS rung, epoch, round(training_loss, 6) AS "
+        f"training_loss, report_seq, round(cutoff, 6) AS cutoff, "
+        f"CAST(coalesce(training_loss > cutoff, false) AS INTEGER) AS stop FROM d{k}"
+        for k in range(len(ms)))
+    return "WITH " + ",\n".join(parts) + "\n" + sel
+
+
+@query("h6_asha_prune", _asha_sql(31))
+def h6_asha_prune(spark, sf_dir):
+    d = srch.asha_prune(_event_reports(spark, sf_dir), max_t=31, grace_period=1,
+                        reduction_factor=2)
+    return d.select("trial_id", F.col("rung").cast("int").alias("rung"), "epoch",
+                    F.round("training_loss", 6).alias("training_loss"), "report_seq",
+                    F.round("cutoff", 6).alias("cutoff"), "stop")
+
+
+_BEST_SQL = f"""
+WITH rep AS ({_REPORTS_SQL}),
+last AS (SELECT trial_id, max(epoch) AS epoch, arg_max(training_loss, epoch) AS training_loss
+         FROM rep GROUP BY trial_id),
+best AS (SELECT * FROM last ORDER BY training_loss, trial_id LIMIT 1)"""
+
+
+@query("h7_best_trial", _BEST_SQL + """
+SELECT trial_id, epoch, round(training_loss, 6) AS training_loss FROM best""")
+def h7_best_trial(spark, sf_dir):
+    b = srch.best_trial(_event_reports(spark, sf_dir))
+    return b.select("trial_id", "epoch", F.round("training_loss", 6).alias("training_loss"))
+
+
+@query("h8_best_config", _BEST_SQL + """,
+tr AS (""" + _trials_sql("user_id", "(SELECT DISTINCT user_id FROM events)") + """)
+SELECT b.trial_id, b.epoch, tr.batch_size, tr.l1, tr.l2, tr.l3, tr.lr, tr.num_workers
+FROM best b JOIN tr ON b.trial_id = tr.trial_id""")
+def h8_best_config(spark, sf_dir):
+    b = srch.best_trial(_event_reports(spark, sf_dir))
+    c = srch.best_config(b, _user_trials(spark, sf_dir))
+    return c.select("trial_id", "epoch", "config.batch_size", "config.l1", "config.l2",
+                    "config.l3", F.round("config.lr", 12).alias("lr"), "num_workers")
+
+
+def _emb_search(spark, sf_dir, n_trials=4, max_epochs=4):
+    from strata.session import ensure_checkpoint_dir, scratch_path
+    import uuid
+    ensure_checkpoint_dir(spark)
+    train, test = _emb_split(spark, sf_dir)
+    trials = srch.make_trials(spark, n_trials, srch.reference_space(), SEED,
+                              config_cols=["batch_size", "l1", "l2", "l3", "lr"])
+    res = srch.run_search(train, "vec_id", trials, in_width=64, n_classes=10,
+                          max_epochs=max_epochs, seed=SEED,
+                          checkpoint_path=scratch_path(spark, f"search-{uuid.uuid4().hex}"))
+    return res, test
+
+
+@query("h5_search_reports")
+def h5_search_reports(spark, sf_dir):
+    """H5: a 4-trial search with early stopping on the embeddings train split."""
+    res, _ = _emb_search(spark, sf_dir)
+    return res.reports
+
+
+@query("h9_test_best")
+def h9_test_best(spark, sf_dir):
+    """H7-H9 end to end: best trial of the search, loaded strictly from its
+    checkpoint, tested on the held-out split with 2 workers."""
+    res, test = _emb_search(spark, sf_dir)
+    return srch.test_best(res, test, "vec_id", in_width=64, n_classes=10, world_size=2,
+                          batch_size=10, seed=SEED)

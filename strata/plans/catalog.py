@@ -257,19 +257,6 @@ def e8_shard_stats(spark, sf_dir):
     return spl.shard_stats(e6_shards_padded(spark, sf_dir))
 
 
-# ------------------------------------------------------------ flagship
-
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepared mixed2 table, exact 70/30 split, class counts per split."""
-    df = fx.mixed2(spark, sf_dir)
-    df = feat.minmax_scale(df, fx.MIXED2_NUMERIC)
-    df = feat.get_dummies(df, fx.MIXED2_CATEGORICAL)
-    n = df.count()
-    ntr = spl.train_size(n, 0.7)
-    df = spl.assign_split(df, "o_orderkey", [ntr, n - ntr], SEED, n=n)
-    return df.groupBy("split", "target").agg(F.count(F.lit(1)).alias("n"))
-
-
 # ------------------------------------------------------------ F/G: model, loss, metrics
 
 from strata.operators import metrics as met  # noqa: E402
@@ -760,3 +747,112 @@ def h9_test_best(spark, sf_dir):
     res, test = _emb_search(spark, sf_dir)
     return srch.test_best(res, test, "vec_id", in_width=64, n_classes=10, world_size=2,
                           batch_size=10, seed=SEED)
+
+
+# ------------------------------------------------------------ A: sources and sinks
+
+from strata.sources import csv as csvsrc  # noqa: E402
+from strata.sources import reports as repsrc  # noqa: E402
+
+
+def _scratch(spark, name):
+    import uuid
+    from strata.session import ensure_checkpoint_dir, scratch_path
+    ensure_checkpoint_dir(spark)
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+@query("a1_csv_header_scan", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""")
+def a1_csv_header_scan(spark, sf_dir):
+    """A1: orders written as CSV with a header, read back with an explicit schema."""
+    cols = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, " \
+           "o_totalprice double, o_orderpriority string"
+    path = _scratch(spark, "a1")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+                                               "o_totalprice", "o_orderpriority")
+    csvsrc.write_csv(o, path, header=True)
+    return csvsrc.read_csv(spark, path, cols, header=True)
+
+
+@query("a2_csv_positional_scan", FLAG3_SQL)
+def a2_csv_positional_scan(spark, sf_dir):
+    """A2: the 3-class table as headerless CSV, columns named by position."""
+    path = _scratch(spark, "a2")
+    csvsrc.write_csv(fx.flag3(spark, sf_dir), path, header=False)
+    return csvsrc.read_csv_positional(spark, path, fx.FLAG3_FEATURES + ["l_returnflag"],
+                                      ["double"] * 4 + ["string"])
+
+
+@query("a5_append_reports", f"""
+SELECT trial_id, epoch, round(training_loss, 9) AS training_loss, report_seq
+FROM ({_REPORTS_SQL})""")
+def a5_append_reports(spark, sf_dir):
+    """A5: reports appended in two epochs' worth of writes, read back whole."""
+    path = _scratch(spark, "a5")
+    rep = _event_reports(spark, sf_dir)
+    repsrc.append_reports(rep.filter(F.col("epoch") <= 15), path)
+    repsrc.append_reports(rep.filter(F.col("epoch") > 15), path)
+    return repsrc.read_reports(spark, path).withColumn(
+        "training_loss", F.round("training_loss", 9))
+
+
+_SEEDS_SQL = " UNION ALL ".join(
+    _mlp_sql(EMB_LAYERS, s, EMB_X_SQL, "vec_id").replace("WITH ", f"SELECT {e} AS epoch, * FROM (WITH ", 1)
+    + " SELECT * FROM z)" for e, s in enumerate([SEED, SEED + 1, SEED + 2]))
+
+_G6_SQL = f"""
+WITH zz AS ({_SEEDS_SQL}),
+lse AS (SELECT epoch, vec_id, ln(sum(exp(logit - m))) + m AS lse
+        FROM (SELECT *, max(logit) OVER (PARTITION BY epoch, vec_id) AS m FROM zz)
+        GROUP BY epoch, vec_id, m),
+pred AS (SELECT epoch, vec_id, idx AS prediction FROM
+         (SELECT *, row_number() OVER (PARTITION BY epoch, vec_id ORDER BY logit DESC, idx) AS r
+          FROM zz) WHERE r = 1),
+ranked AS (SELECT vec_id, label, row_number() OVER (ORDER BY md5('42:' || vec_id), vec_id) AS rnk,
+                  count(*) OVER () AS n FROM embeddings),
+test AS (SELECT vec_id, label FROM ranked WHERE rnk > floor(0.7::DOUBLE * n)),
+sc AS (SELECT p.epoch, t.vec_id, l.lse - z.logit AS loss,
+              CAST(p.prediction = t.label AS DOUBLE) AS hit
+       FROM test t JOIN pred p ON p.vec_id = t.vec_id
+       JOIN lse l ON l.vec_id = t.vec_id AND l.epoch = p.epoch
+       JOIN zz z ON z.vec_id = t.vec_id AND z.epoch = p.epoch AND z.idx = t.label),
+ms AS (SELECT CAST(epoch AS INTEGER) AS epoch, avg(loss) AS loss, avg(hit) AS accuracy
+       FROM sc GROUP BY epoch)"""
+
+
+def _g6_metrics(spark, sf_dir):
+    _, test = _emb_split(spark, sf_dir)
+    parts = []
+    for e, s in enumerate([SEED, SEED + 1, SEED + 2]):
+        sc = mdl.with_loss(mdl.score(test, mlp.init_params(EMB_LAYERS, s)))
+        parts.append(sc.withColumn("epoch", F.lit(e)))
+    allsc = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return met.metric_series(allsc)
+
+
+@query("g6_metric_series", _G6_SQL + """
+SELECT epoch, round(loss, 6) AS loss, round(accuracy, 9) AS accuracy FROM ms""")
+def g6_metric_series(spark, sf_dir):
+    """(epoch, loss, accuracy) rows; 'epoch' e scores with the model of seed 42+e."""
+    return _g6_metrics(spark, sf_dir).select(
+        "epoch", F.round("loss", 6).alias("loss"), F.round("accuracy", 9).alias("accuracy"))
+
+
+@query("a6_metric_lines", _G6_SQL + """
+SELECT epoch, printf('Epoch %d validation: Avg loss=%.2f, Accuracy=%.1f%%', epoch, loss,
+                     accuracy * 100.0) AS line FROM ms""")
+def a6_metric_lines(spark, sf_dir):
+    """The printed per-epoch line as a column."""
+    return met.format_metrics(_g6_metrics(spark, sf_dir)).select("epoch", "line")
+
+
+# ------------------------------------------------------------ flagship
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders JOIN customer prepared (split 70/30 first, scaler fitted on the
+    train part, drop-first dummies), scored by a seeded 34-16-2 MLP: rows,
+    mean loss and accuracy per split."""
+    from strata.plans.jobs import prepare_mixed2, score_table
+    prep = prepare_mixed2(spark, sf_dir, fractions=(0.7, 0.3), seed=SEED)
+    return score_table(prep, [prep.width, 16, 2], SEED)

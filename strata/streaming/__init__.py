@@ -1 +1 @@
-"""strata streaming."""
+"""Stateless operators applied to streaming DataFrames."""

@@ -101,10 +101,12 @@ class LabelEncoderModel:
         cols = list(cols or self.levels)
         new = {}
         for c in cols:
-            code = F.col(c) if encoded else self.code(c)
             start = 1 if drop_first else 0
             for j in range(start, len(self.levels[c])):
-                new[f"{c}_{j}"] = F.coalesce((code == F.lit(j)).cast("int"), F.lit(0))
+                # code == j  <=>  value == levels[j]: one comparison per column
+                hit = (F.col(c) == F.lit(j)) if encoded else \
+                    (F.col(c) == F.lit(self.levels[c][j]))
+                new[f"{c}_{j}"] = F.coalesce(hit.cast("int"), F.lit(0))
         keep = [x for x in df.columns if x not in cols]
         return df.select(*keep, *[v.alias(k) for k, v in new.items()])
 

@@ -68,7 +68,7 @@ def _tuple_le(keys: list[str], cut: tuple) -> Column:
 
 
 def cut_keys(df: DataFrame, key: str | Sequence[str], targets: Sequence[int],
-             seed: object, *salt: object) -> dict[int, tuple]:
+             seed: object, *salt: object, n: int | None = None) -> dict[int, tuple]:
     """For each 1-based target rank t, the ``(hash, key...)`` of the row at rank t.
 
     Each level is one scan of the key column and an aggregation to at most
@@ -82,6 +82,12 @@ def cut_keys(df: DataFrame, key: str | Sequence[str], targets: Sequence[int],
     pending = {t: ("", int(t)) for t in sorted(set(int(t) for t in targets)) if t > 0}
     found: dict[int, tuple] = {}
     plen = 0
+    if pending and n is not None and n <= FINAL_BUCKET_ROWS:
+        # small table: rank it directly (one bounded window, one job)
+        fb = spark.createDataFrame([(t, t) for t in pending], "t long, r2 long")
+        rows = (hk.withColumn("r2", F.row_number().over(Window.orderBy(HASH, *keys)).cast("long"))
+                .join(F.broadcast(fb), "r2").select("t", HASH, *keys).collect())
+        return {r["t"]: tuple(r[c] for c in [HASH, *keys]) for r in rows}
     while pending:
         nlen = min(plen + BUCKET_DIGITS, 32)
         prefixes = sorted({p for p, _ in pending.values()})

@@ -239,7 +239,7 @@ def undersample(df: DataFrame, key: str, label: str, ratio: float = 0.3,
     for cls, n_keep in keep.items():
         part = df.filter(F.col(label) == F.lit(cls))
         n = counts[cls]
-        cuts = cut_keys(part, key, [n_keep] if 0 < n_keep < n else [], seed, "under")
+        cuts = cut_keys(part, key, [n_keep] if 0 < n_keep < n else [], seed, "under", n=n)
         conds.append((F.col(label) == F.lit(cls)) &
                       rank_at_most([key], cuts.get(n_keep), n, n_keep))
     kept_others = ~F.col(label).isin([F.lit(c) for c in keep])

@@ -52,7 +52,7 @@ def assign_split(df: DataFrame, key: str | Sequence[str], sizes: Sequence[int],
     for s in sizes[:-1]:
         acc += s
         bounds.append(acc)
-    cuts = cut_keys(df, keys, [b for b in bounds if 0 < b < n], seed, *salt)
+    cuts = cut_keys(df, keys, [b for b in bounds if 0 < b < n], seed, *salt, n=n)
     part = F.lit(len(sizes) - 1)
     for i in reversed(range(len(bounds))):
         part = F.when(rank_at_most(keys, cuts.get(bounds[i]), n, bounds[i]), F.lit(i)) \

@@ -30,18 +30,18 @@ class MinMaxModel:
 
     stats: dict[str, tuple[float | None, float | None]]
 
+    def expr(self, c: str):
+        """The scaled value of column ``c`` as an expression."""
+        lo, hi = self.stats[c]
+        x = F.col(c).cast("double")
+        if lo is None:
+            return F.lit(None).cast("double")
+        if hi == lo:
+            return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(F.lit(0.0))
+        return (x - F.lit(float(lo))) / F.lit(float(hi) - float(lo))
+
     def apply(self, df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-        out = {}
-        for c in (cols or list(self.stats)):
-            lo, hi = self.stats[c]
-            x = F.col(c).cast("double")
-            if lo is None:
-                out[c] = F.lit(None).cast("double")
-            elif hi == lo:
-                out[c] = F.when(x.isNull(), F.lit(None).cast("double")).otherwise(F.lit(0.0))
-            else:
-                out[c] = (x - F.lit(float(lo))) / F.lit(float(hi) - float(lo))
-        return df.withColumns(out)
+        return df.withColumns({c: self.expr(c) for c in (cols or list(self.stats))})
 
     def to_df(self, spark: SparkSession) -> DataFrame:
         rows = [(c, lo, hi) for c, (lo, hi) in self.stats.items()]

@@ -856,3 +856,83 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.plans.jobs import prepare_mixed2, score_table
     prep = prepare_mixed2(spark, sf_dir, fractions=(0.7, 0.3), seed=SEED)
     return score_table(prep, [prep.width, 16, 2], SEED)
+
+
+# ------------------------------------------------------------ B: positional slices, casts, glue
+
+@query("b3_all_but_last", """
+SELECT l_quantity + 0.0 AS l_quantity, l_extendedprice + 0.0 AS l_extendedprice,
+       l_discount + 0.0 AS l_discount, l_tax + 0.0 AS l_tax FROM lineitem""")
+def b3_all_but_last(spark, sf_dir):
+    """``[:, :-1]`` on the headerless 3-class layout (label last)."""
+    return proj.all_but_last(fx.flag3(spark, sf_dir))
+
+
+@query("b4_columns_from", "SELECT l_returnflag FROM lineitem")
+def b4_columns_from(spark, sf_dir):
+    """``[:, 4:]``, the label part of the same layout."""
+    return proj.columns_from(fx.flag3(spark, sf_dir), 4)
+
+
+@query("b7_cast_float", """
+SELECT event_id, CAST(value AS FLOAT) AS value, CAST(user_id AS FLOAT) AS user_id FROM events""")
+def b7_cast_float(spark, sf_dir):
+    """Feature columns cast to float32."""
+    ev = table(spark, sf_dir, "events").select("event_id", "value", "user_id")
+    return proj.cast_features(ev, ["value", "user_id"], "float")
+
+
+@query("b9_glue_label", f"""
+SELECT event_id, hour, day, user_id, k, Class FROM ({RARE2_SQL})""")
+def b9_glue_label(spark, sf_dir):
+    """Features and label of the same rows glued by key (never by position)."""
+    r = fx.rare2(spark, sf_dir)
+    return proj.concat_columns(proj.select_except(r, "Class"), r.select("event_id", "Class"),
+                               "event_id")
+
+
+@query("b10_overwrite_scaled", f"""
+SELECT o_orderkey,
+       (o_totalprice - min(o_totalprice) OVER ()) / (max(o_totalprice) OVER () - min(o_totalprice) OVER ()) AS o_totalprice,
+       (c_acctbal - min(c_acctbal) OVER ()) / (max(c_acctbal) OVER () - min(c_acctbal) OVER ()) AS c_acctbal,
+       o_orderpriority, c_mktsegment, c_nationkey, target
+FROM ({MIXED2_SQL})""")
+def b10_overwrite_scaled(spark, sf_dir):
+    """B10 (+C1/C2 on named columns): scaled values written over the originals."""
+    df = fx.mixed2(spark, sf_dir)
+    m = feat.minmax_fit(df, fx.MIXED2_NUMERIC)
+    return proj.overwrite(df, {c: m.expr(c) for c in fx.MIXED2_NUMERIC})
+
+
+@query("b12_dataset_length", "SELECT count(*) AS n FROM events")
+def b12_dataset_length(spark, sf_dir):
+    """The dataset length, as a one-row table."""
+    return table(spark, sf_dir, "events").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------------ U1: user function per shard
+
+def _shard_summary(batches):
+    import pandas as pd
+    acc = {}
+    for pdf in batches:
+        for s, g in pdf.groupby("shard"):
+            n, v = acc.get(s, (0, 0.0))
+            acc[s] = (n + len(g), v + float(g["value"].sum()))
+    if acc:
+        yield pd.DataFrame({"shard": list(acc), "rows": [a[0] for a in acc.values()],
+                            "value_sum": [a[1] for a in acc.values()]})
+
+
+@query("u1_map_shards", f"""
+WITH s AS ({_SHARD_SQL})
+SELECT CAST(shard AS INTEGER) AS shard, count(*) AS rows, round(sum(e.value), 6) AS value_sum
+FROM s JOIN events e ON s.event_id = e.event_id GROUP BY shard""")
+def u1_map_shards(spark, sf_dir):
+    """A pandas function run on each shard's rows (3 padded shards)."""
+    ev = table(spark, sf_dir, "events").select("event_id", "value")
+    sh = spl.shards(ev, "event_id", 3, SEED)
+    out = tr.map_shards(sh.select("shard", "value"), _shard_summary,
+                        "shard int, rows long, value_sum double", 3)
+    return out.groupBy("shard").agg(F.sum("rows").alias("rows"),
+                                    F.round(F.sum("value_sum"), 6).alias("value_sum"))

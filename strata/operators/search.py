@@ -239,6 +239,7 @@ def run_search(train_df: DataFrame, key: str, trials: DataFrame, *, in_width: in
         states[r["trial_id"]] = tr.TrainState.fresh(layers, f"{seed}:{r['trial_id']}")
         by_w.setdefault(r["num_workers"], []).append(r["trial_id"])
     rule = AshaRule(max_epochs, grace_period, reduction_factor)
+    slots = max(1, spark.sparkContext.defaultParallelism)
     bases = {w: tr.shard_table(train_df, key, w, seed, features, label) for w in by_w}
     live = {t for r in rows for t in [r["trial_id"]]}
     reports, decisions = [], []
@@ -247,18 +248,12 @@ def run_search(train_df: DataFrame, key: str, trials: DataFrame, *, in_width: in
         for epoch in range(max_epochs):
             if not live:
                 break
-            results = {}
-            for w, ids in sorted(by_w.items()):
-                grp = [specs[t] for t in sorted(ids) if t in live]
-                if not grp:
-                    continue
-                got = {}
-                tr.run_epochs(bases[w], key, grp, states, seed, 1, features, label,
-                              on_epoch=lambda e, res: got.update(res))
-                results.update(got)
+            results = _search_epoch(bases, by_w, specs, states, live, key, seed, features,
+                                    label, slots)
+            tr.write_checkpoints(spark, checkpoint_path,
+                                 {t: results[t][0] for t in sorted(results)})
             for t in sorted(results):
                 st, loss, _ = results[t]
-                tr.write_checkpoint(spark, checkpoint_path, t, st)
                 reports.append((t, epoch + 1, float(loss), seq))
                 seq += 1
                 keep = rule.on_report(t, epoch + 1, loss)
@@ -273,7 +268,43 @@ def run_search(train_df: DataFrame, key: str, trials: DataFrame, *, in_width: in
     return SearchResult(trials, rep, decisions, checkpoint_path)
 
 
-def test_best(result: SearchResult, test_df: DataFrame, key: str, *, in_width: int,
+def _search_epoch(bases, by_w, specs, states, live, key, seed, features, label, slots):
+    """One epoch for all live trials.  Trials with the same world size W
+    share the cached shard table; they are dealt into ``slots // W`` chunks
+    and each chunk is one job (every task trains the chunk's trials on its
+    shard), the jobs running concurrently.  The data is scanned once per
+    chunk, never copied per trial."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from strata.operators import train as tr
+    jobs = []
+    for w, ids in sorted(by_w.items()):
+        grp = [specs[t] for t in sorted(ids) if t in live]
+        if not grp:
+            continue
+        n_chunks = max(1, min(len(grp), slots // w))
+        for c in range(n_chunks):
+            chunk = grp[c::n_chunks]
+            jobs.append((w, chunk))
+    results = {}
+
+    def one(job):
+        w, chunk = job
+        got = {}
+        local = {s.trial_id: states[s.trial_id] for s in chunk}
+        tr.run_epochs(bases[w], key, chunk, local, seed, 1, features, label,
+                      on_epoch=lambda e, res: got.update(res))
+        return got
+
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        for got in pool.map(one, jobs):
+            results.update(got)
+    for t, (st, _, _) in results.items():
+        states[t] = st
+    return results
+
+
+def evaluate_best(result: SearchResult, test_df: DataFrame, key: str, *, in_width: int,
               n_classes: int, world_size: int = 2, batch_size: int = 10, seed: object = 0,
               features: str = "features", label: str = "label") -> DataFrame:
     """H9: load the best trial's checkpoint (strict) and report its test

@@ -447,15 +447,25 @@ def train_mlp(train_df: DataFrame, key: str, layers: Sequence[int], *, lr: float
 def write_checkpoint(spark: SparkSession, path: str, trial_id: int, state: TrainState) -> None:
     """A4: parameters and Adam state of one epoch as Parquet, partitioned by
     trial and epoch (a rerun of the same epoch overwrites only its folder)."""
+    write_checkpoints(spark, path, {trial_id: state})
+
+
+def write_checkpoints(spark: SparkSession, path: str, states: dict) -> None:
+    """A4 for several trials at once: one write job per epoch."""
     import pandas as pd
-    lay, ii, jj = mlp.param_index(state.layers)
-    pdf = pd.DataFrame({
-        "layer": lay.astype(np.int32), "i": ii.astype(np.int32), "j": jj.astype(np.int32),
-        "w": mlp.flatten(state.params), "m": mlp.flatten(state.m), "v": mlp.flatten(state.v),
-        "step": np.full(len(lay), state.step, dtype=np.int64),
-        "trial_id": np.full(len(lay), trial_id, dtype=np.int32),
-        "epoch": np.full(len(lay), state.epoch, dtype=np.int32)})
-    (spark.createDataFrame(pdf).write.mode("overwrite")
+    frames = []
+    for trial_id, state in states.items():
+        lay, ii, jj = mlp.param_index(state.layers)
+        frames.append(pd.DataFrame({
+            "layer": lay.astype(np.int32), "i": ii.astype(np.int32), "j": jj.astype(np.int32),
+            "w": mlp.flatten(state.params), "m": mlp.flatten(state.m),
+            "v": mlp.flatten(state.v),
+            "step": np.full(len(lay), state.step, dtype=np.int64),
+            "trial_id": np.full(len(lay), trial_id, dtype=np.int32),
+            "epoch": np.full(len(lay), state.epoch, dtype=np.int32)}))
+    if not frames:
+        return
+    (spark.createDataFrame(pd.concat(frames, ignore_index=True)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("trial_id", "epoch").parquet(path))
 

@@ -745,7 +745,7 @@ def h9_test_best(spark, sf_dir):
     """H7-H9 end to end: best trial of the search, loaded strictly from its
     checkpoint, tested on the held-out split with 2 workers."""
     res, test = _emb_search(spark, sf_dir)
-    return srch.test_best(res, test, "vec_id", in_width=64, n_classes=10, world_size=2,
+    return srch.evaluate_best(res, test, "vec_id", in_width=64, n_classes=10, world_size=2,
                           batch_size=10, seed=SEED)
 
 

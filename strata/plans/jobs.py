@@ -25,6 +25,7 @@ from strata.operators import search as srch
 from strata.operators import split as spl
 from strata.operators import train as tr
 from strata.plans import fixtures as fx
+from strata.session import materialize
 
 
 @dataclass
@@ -47,7 +48,9 @@ def prepare_mixed2(spark: SparkSession, sf_dir: str, fractions=(0.7, 0.3), seed:
     """Mixed categorical/numeric binary table: split first, then fit the
     scaler on the train part (``fit_on='all'`` reproduces fitting on all
     rows), encode categories, assemble ``features`` (label kept out by name)."""
-    df = fx.mixed2(spark, sf_dir)
+    # the join feeds five passes (count, cut, two fits, apply): materialise
+    # its pruned output once instead of shuffling the join five times
+    df = materialize(fx.mixed2(spark, sf_dir))
     n = df.count()
     tagged = spl.assign_split(df, "o_orderkey", spl.split_sizes(n, list(fractions)), seed, n=n)
     train_raw = tagged.filter(F.col("split") == 0).drop("split")
@@ -120,7 +123,7 @@ def search_job(spark: SparkSession, sf_dir: str, num_trials: int = 10, max_epoch
                           max_epochs=max_epochs, seed=seed,
                           checkpoint_path=checkpoint_path or scratch_path(
                               spark, f"search-{uuid.uuid4().hex}"))
-    tested = srch.test_best(res, prep.test, "o_orderkey", in_width=prep.width, n_classes=2,
+    tested = srch.evaluate_best(res, prep.test, "o_orderkey", in_width=prep.width, n_classes=2,
                             world_size=2, batch_size=10, seed=seed)
     return res, tested
 

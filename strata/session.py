@@ -64,3 +64,11 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the session's checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts])
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and read it back (reliable
+    checkpoint): later passes scan it instead of recomputing joins, and a
+    lost executor costs a re-read, not a recomputation of the lineage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -134,6 +134,8 @@ def asha_prune(reports: DataFrame, max_t: int, grace_period: int = 1,
              .agg(F.min(F.struct("report_seq", "epoch", metric)).alias("f"))
              .select("trial_id", "rung", "f.epoch", F.col(f"f.{metric}").alias(metric),
                      "f.report_seq"))
+    # one row per (trial, rung): read by every rung below, so written once
+    first = _checkpoint(first)
     w = (Window.partitionBy("rung").orderBy("report_seq")
          .rowsBetween(Window.unboundedPreceding, -1))
     stopped = None

@@ -120,14 +120,19 @@ def shards(df: DataFrame, key: str | Sequence[str], world_size: int, seed: objec
     if world_size <= 0:
         raise ValueError("world size must be positive")
     n = df.count() if n is None else n
-    ranked = hash_rank(df, key, seed, *salt, rank_col="__r").withColumn(
-        "pos", F.col("__r") - 1)
-    if pad and n % world_size:
-        extra = (-n) % world_size
-        if extra > n:
-            raise ValueError("cannot pad: fewer rows than shards")
-        rep = ranked.filter(F.col("__r") <= extra).withColumn("pos", F.col("__r") - 1 + n)
-        ranked = ranked.unionByName(rep)
+    ranked = hash_rank(df, key, seed, *salt, rank_col="__r")
+    extra = (-n) % world_size if pad else 0
+    if extra > n:
+        raise ValueError("cannot pad: fewer rows than shards")
+    if extra:
+        # the first `extra` rows also take the positions n .. n+extra-1:
+        # one pass (explode), no second copy of the ranking plan
+        pos = F.explode(F.when(F.col("__r") <= extra,
+                               F.array(F.col("__r") - 1, F.col("__r") - 1 + n))
+                        .otherwise(F.array(F.col("__r") - 1)))
+        ranked = ranked.select("*", pos.alias("pos"))
+    else:
+        ranked = ranked.withColumn("pos", F.col("__r") - 1)
     return (ranked.withColumn("shard", (F.col("pos") % world_size).cast("int"))
             .withColumn("local_pos", F.floor(F.col("pos") / world_size).cast("long"))
             .drop("__r"))

@@ -648,20 +648,29 @@ def h4_trial_draws(spark, sf_dir):
 
 
 _REPORTS_SQL = """
-SELECT CAST(user_id AS INTEGER) AS trial_id, CAST(day(ts) AS INTEGER) AS epoch,
+SELECT CAST(hour(ts) * 60 + minute(ts) AS INTEGER) AS trial_id,
+       CAST(day(ts) AS INTEGER) AS epoch,
        avg(value) AS training_loss, min(event_id) AS report_seq
-FROM events GROUP BY user_id, day(ts)"""
+FROM events GROUP BY hour(ts) * 60 + minute(ts), day(ts)"""
 
 
 def _event_reports(spark, sf_dir):
-    """A reports table derived from events: trial = user, epoch = day of
-    month, loss = mean value that day, arrival = first event id."""
+    """A reports table derived from all events: trial = minute of the day
+    (at most 1,440 trials whatever the data size, as a search has a bounded
+    number of trials), epoch = day of month, loss = mean value, arrival =
+    first event id.  The group-by pre-aggregates map-side."""
     ev = table(spark, sf_dir, "events")
-    return ev.groupBy(F.col("user_id").cast("int").alias("trial_id"),
+    return ev.groupBy((F.hour("ts") * 60 + F.minute("ts")).cast("int").alias("trial_id"),
                       F.dayofmonth("ts").cast("int").alias("epoch")).agg(
         F.avg("value").alias("training_loss"), F.min("event_id").alias("report_seq"))
 
 
+def _report_trials(spark, sf_dir):
+    ids = _event_reports(spark, sf_dir).select("trial_id").distinct()
+    return srch.trials_from_ids(ids, "trial_id", srch.reference_space(), SEED,
+                                config_cols=["batch_size", "l1", "l2", "l3", "lr"])
+
+
 def _asha_sql(max_t: int) -> str:
     ms = srch.rung_milestones(max_t)
     case = " ".join(f"WHEN epoch >= {m} THEN {m}" for m in reversed(ms))
@@ -710,12 +719,12 @@ def h7_best_trial(spark, sf_dir):
 
 
 @query("h8_best_config", _BEST_SQL + """,
-tr AS (""" + _trials_sql("user_id", "(SELECT DISTINCT user_id FROM events)") + """)
+tr AS (""" + _trials_sql("trial_id", "(SELECT DISTINCT trial_id FROM rep)") + """)
 SELECT b.trial_id, b.epoch, tr.batch_size, tr.l1, tr.l2, tr.l3, tr.lr, tr.num_workers
 FROM best b JOIN tr ON b.trial_id = tr.trial_id""")
 def h8_best_config(spark, sf_dir):
     b = srch.best_trial(_event_reports(spark, sf_dir))
-    c = srch.best_config(b, _user_trials(spark, sf_dir))
+    c = srch.best_config(b, _report_trials(spark, sf_dir))
     return c.select("trial_id", "epoch", "config.batch_size", "config.l1", "config.l2",
                     "config.l3", F.round("config.lr", 12).alias("lr"), "num_workers")
 

@@ -73,42 +73,73 @@ class TrainResult:
 
 # ---------------------------------------------------------------- F6 / F7 as tables
 
-def gradient(df: DataFrame, params: mlp.Params, features: str = "features",
-             label: str = "label") -> DataFrame:
-    """gradient of the mean cross-entropy over all rows of ``df`` as
-    ``(layer, i, j, grad)`` (bias: j = -1).  Tasks emit per-partition sums,
-    one group-by adds them."""
+def _gradient_parts(df: DataFrame, params: mlp.Params, features: str, label: str
+                    ) -> tuple[DataFrame, list]:
+    """Per-partition gradient sums as rows ``(layer, i, j, gsum, n)``; the
+    row ``(-1, -1, -2, loss_sum, n)`` carries the loss sum."""
     layers = [params[0][0].shape[1]] + [w.shape[0] for w, _ in params]
     check_model_size(layers)
     bc = df.sparkSession.sparkContext.broadcast((layers, mlp.flatten(params)))
     lay, ii, jj = mlp.param_index(layers)
+    lay = np.r_[lay, -1].astype(np.int32)
+    ii = np.r_[ii, -1].astype(np.int32)
+    jj = np.r_[jj, -2].astype(np.int32)
     schema = "layer int, i int, j int, gsum double, n long"
 
     def run(batches_):
         lays, vec = bc.value
         ps = mlp.unflatten(vec, lays)
-        total = np.zeros(len(vec))
+        total = np.zeros(len(vec) + 1)
         n = 0
         for b in batches_:
             if b.num_rows == 0:
                 continue
             x = features_matrix(b.column(features), b.num_rows)
             y = b.column(label).to_numpy(zero_copy_only=False).astype(np.int64)
-            _, g = mlp.loss_grad_sums(ps, x, y)
-            total += mlp.flatten(g)
+            ls, g = mlp.loss_grad_sums(ps, x, y)
+            total[:-1] += mlp.flatten(g)
+            total[-1] += ls
             n += b.num_rows
         if n:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(lay.astype(np.int32)), pa.array(ii.astype(np.int32)),
-                 pa.array(jj.astype(np.int32)), pa.array(total),
+                [pa.array(lay), pa.array(ii), pa.array(jj), pa.array(total),
                  pa.array(np.full(len(total), n, dtype=np.int64))],
                 names=["layer", "i", "j", "gsum", "n"])
 
-    parts = df.select(features, label).mapInArrow(run, schema)
-    return parts.groupBy("layer", "i", "j").agg(
+    return df.select(features, label).mapInArrow(run, schema), layers
+
+
+def gradient(df: DataFrame, params: mlp.Params, features: str = "features",
+             label: str = "label") -> DataFrame:
+    """gradient of the mean cross-entropy over all rows of ``df`` as
+    ``(layer, i, j, grad)`` (bias: j = -1).  Tasks emit per-partition sums,
+    one group-by adds them."""
+    parts, _ = _gradient_parts(df, params, features, label)
+    return parts.filter(F.col("j") >= -1).groupBy("layer", "i", "j").agg(
         (F.sum("gsum") / F.sum("n")).alias("grad"))
 
 
+def gradient_and_loss(df: DataFrame, params: mlp.Params, features: str = "features",
+                      label: str = "label") -> tuple[np.ndarray, float, int]:
+    """Flat mean gradient, mean loss and row count in one job (driver gets
+    one model-sized vector)."""
+    parts, layers = _gradient_parts(df, params, features, label)
+    agg = parts.groupBy("layer", "i", "j").agg(F.sum("gsum").alias("g"),
+                                               F.sum("n").alias("n")).toPandas()
+    lay, ii, jj = mlp.param_index(layers)
+    order = {k: idx for idx, k in enumerate(zip(lay.tolist(), ii.tolist(), jj.tolist()))}
+    g = np.zeros(len(lay))
+    loss, n = 0.0, 0
+    for r in agg.itertuples(index=False):
+        if r.j == -2:
+            loss, n = r.g, int(r.n)
+        else:
+            g[order[(r.layer, r.i, r.j)]] = r.g
+    if n == 0:
+        raise ValueError("empty batch")
+    return g / n, loss / n, n
+
+
 def adam_step_table(params_df: DataFrame, grads_df: DataFrame, lr: float,
                     state_df: DataFrame | None = None, step: int = 1) -> DataFrame:
     """F7 on tables: join parameters, gradients and moments on (layer, i, j)
@@ -320,26 +351,28 @@ def run_epochs(base: DataFrame, key: str, specs: list[ModelSpec], states: dict,
 def sync_epoch(train_df: DataFrame, key: str, state: TrainState, lr: float, batch_size: int,
                seed: object, features: str = "features", label: str = "label",
                drop_last: bool = False) -> tuple[TrainState, float, int]:
-    """One epoch of exact global mini-batch Adam: a gradient-sum job per
-    batch (worth it only for large batches)."""
+    """One epoch of exact global mini-batch Adam: one gradient-and-loss job
+    per batch, the step on the driver (worth it for large batches).
+
+    The epoch's batches are range-partitioned and sorted by batch id before
+    caching, so the in-memory column statistics let each step's filter skip
+    all cached blocks but its own: a step reads about one batch, not the
+    whole split."""
+    spark = train_df.sparkSession
     n = train_df.count()
-    bt = batches(train_df.select(key, features, label), key, batch_size, seed, state.epoch,
-                 drop_last=drop_last, n=n).persist(StorageLevel.MEMORY_AND_DISK)
     n_batches = n // batch_size if drop_last else -(-n // batch_size)
+    parts = max(1, min(n_batches, spark.sparkContext.defaultParallelism * 4))
+    bt = (batches(train_df.select(key, features, label), key, batch_size, seed, state.epoch,
+                  drop_last=drop_last, n=n)
+          .repartitionByRange(parts, "batch_id").sortWithinPartitions("batch_id")
+          .persist(StorageLevel.MEMORY_AND_DISK))
     p, m, v, step = state.params, state.m, state.v, state.step
     loss_total = 0.0
     try:
         for b in range(n_batches):
-            part = bt.filter(F.col("batch_id") == b)
-            g_df = gradient(part, p, features, label).toPandas()
-            lay, ii, jj = mlp.param_index(state.layers)
-            order = {k: idx for idx, k in enumerate(zip(lay.tolist(), ii.tolist(), jj.tolist()))}
-            g = np.empty(len(lay))
-            for r in g_df.itertuples(index=False):
-                g[order[(r.layer, r.i, r.j)]] = r.grad
-            # loss of the batch before the step (as the reference logs it)
-            sc = with_loss(score(part, p, features, keep=[label]), label)
-            loss_total += sc.agg(F.avg("loss")).first()[0]
+            g, loss, _ = gradient_and_loss(bt.filter(F.col("batch_id") == b), p, features,
+                                           label)
+            loss_total += loss  # loss of the batch before the step
             step += 1
             p, m, v = mlp.adam_update(p, mlp.unflatten(g, state.layers), m, v, step, lr)
     finally:

@@ -117,7 +117,8 @@ def _knn_block(queries: DataFrame, key: str, features: str, k: int, cand_keys: n
     return queries.select(key, features).mapInArrow(run, schema)
 
 
-def knn(df: DataFrame, key: str, features: str = "features", k: int = 5) -> DataFrame:
+def knn(df: DataFrame, key: str, features: str = "features", k: int = 5,
+        n: int | None = None) -> DataFrame:
     """Exact k nearest neighbours inside ``df`` (self excluded), as rows
     ``(key, nbr_rank, nbr_key, d2)`` ordered by (squared distance, key).
 
@@ -126,7 +127,7 @@ def knn(df: DataFrame, key: str, features: str = "features", k: int = 5) -> Data
     block, so at most k rows per query and block are ever emitted, never all
     pairs.  With more than one block the per-query candidates (k per block)
     are merged by a window over the query key."""
-    n = df.count()
+    n = df.count() if n is None else n
     if n <= k:
         raise ValueError(f"need more than k={k} rows for k nearest neighbours, got {n}")
     first = df.select(F.size(features).alias("d")).first()["d"]
@@ -158,14 +159,15 @@ class SmoteResult:
 
 
 def smote_rows(minority: DataFrame, key: str, features: str, n_new: int, seed: object,
-               k: int = 5, neighbours: DataFrame | None = None) -> SmoteResult:
+               k: int = 5, neighbours: DataFrame | None = None,
+               n_min: int | None = None) -> SmoteResult:
     """``n_new`` synthetic rows ``(key = -(i+1), features)`` from a minority
     table.  Row i draws ``idx = floor(u1 * n_min * k)`` (base row =
     idx // k in the hash order of the minority, neighbour = idx % k) and a
     gap u2, from ``md5("seed:smote:i")``."""
     spark = minority.sparkSession
-    nbrs = neighbours if neighbours is not None else knn(minority, key, features, k)
-    n_min = minority.count()
+    n_min = minority.count() if n_min is None else n_min
+    nbrs = neighbours if neighbours is not None else knn(minority, key, features, k, n=n_min)
     ranked = hash_rank(minority.select(key, features), key, seed, "minority",
                        rank_col="__base")
     h = F.md5(F.concat(F.lit(f"{seed}:smote:"), F.col("id").cast("string")))
@@ -187,22 +189,30 @@ def smote_rows(minority: DataFrame, key: str, features: str, n_new: int, seed: o
 
 
 def smote(df: DataFrame, key: str, label: str, features: str = "features",
-          ratio: float = 0.03, seed: object = 0, k: int = 5) -> DataFrame:
+          ratio: float = 0.03, seed: object = 0, k: int = 5,
+          counts: dict | None = None) -> DataFrame:
     """D3: originals plus synthetic minority rows up to ``ratio`` of the
     majority count (binary or multi-class, one pass per short class)."""
-    targets = oversample_targets(class_counts(df, label), ratio)
+    return _smote(df, key, label, features, ratio, seed, k, counts)[0]
+
+
+def _smote(df, key, label, features, ratio, seed, k, counts):
+    counts = class_counts(df, label) if counts is None else counts
+    targets = oversample_targets(counts, ratio)
     out = df.select(key, features, label)
+    after = dict(counts)
     for cls, n_new in sorted(targets.items(), key=lambda t: str(t[0])):
         if n_new == 0:
             continue
         minority = df.filter(F.col(label) == F.lit(cls)).select(key, features)
         syn = smote_rows(minority, key, features, n_new, f"{seed}:{cls}" if len(targets) > 1
-                         else seed, k).synthetic
+                         else seed, k, n_min=counts[cls]).synthetic
         # the synthetic rows are small (n_new rows) and the costly part to
         # recompute: write them to the shared checkpoint folder, cutting lineage
         syn = _checkpoint(syn)
         out = out.unionByName(syn.withColumn(label, F.lit(cls).cast(df.schema[label].dataType)))
-    return out
+        after[cls] += n_new
+    return out, after
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
@@ -229,11 +239,11 @@ def resample_plan(df: DataFrame, label: str, over: float = 0.03,
 # ---------------------------------------------------------------- D4
 
 def undersample(df: DataFrame, key: str, label: str, ratio: float = 0.3,
-                seed: object = 0) -> DataFrame:
+                seed: object = 0, counts: dict | None = None) -> DataFrame:
     """Keep exactly ``int(n_min / ratio)`` rows of each larger class, the
     ones first in ``md5("seed:under:key")`` order; the cut row is found by
     bucket counts, the rows are then filtered in place (no shuffle)."""
-    counts = class_counts(df, label)
+    counts = class_counts(df, label) if counts is None else counts
     keep = undersample_targets(counts, ratio)
     conds = []
     for cls, n_keep in keep.items():
@@ -255,4 +265,5 @@ def smote_then_undersample(df: DataFrame, key: str, label: str, features: str =
                            over: float = 0.03, under: float = 0.3, seed: object = 0,
                            k: int = 5) -> DataFrame:
     """The two resamplers chained, as one lazy plan."""
-    return undersample(smote(df, key, label, features, over, seed, k), key, label, under, seed)
+    over_df, counts = _smote(df, key, label, features, over, seed, k, None)
+    return undersample(over_df, key, label, under, seed, counts=counts)

@@ -78,6 +78,14 @@ def b2_select_except_label(spark, sf_dir):
     return proj.select_except(fx.rare2(spark, sf_dir), "Class")
 
 
+@query("b5_label_by_name", f"""
+SELECT Class FROM ({RARE2_SQL})""")
+def b5_label_by_name(spark, sf_dir):
+    """The label column picked by name."""
+    r = fx.rare2(spark, sf_dir)
+    return r.select(proj.label_column(r, "Class"))
+
+
 @query("b6_skip_first", """
 SELECT event_id, user_id, value FROM events
 WHERE event_id > (SELECT min(event_id) FROM events)""")

@@ -16,7 +16,6 @@ self excluded, ties by key) and gap ~ U[0,1).  All draws are md5 hashes of
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.hashing import row_hash, uniform
+from strata.functions.hashing import uniform
 from strata.operators.model import features_matrix
 from strata.operators.rank import cut_keys, hash_rank, rank_at_most, with_hash, HASH
 

@@ -18,7 +18,7 @@ a few metric rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +28,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.hashing import row_hash
-from strata.operators import metrics as met
 from strata.operators import mlp
-from strata.operators.model import (MAX_MODEL_BYTES, check_model_size, features_matrix, params_to_df, score,
-                                    with_loss)
+from strata.operators.model import (MAX_MODEL_BYTES, check_model_size, features_matrix,
+                                    score, with_loss)
 from strata.operators.split import batches, shards, worker_batch_size
 
 

@@ -6,17 +6,27 @@ driver tables.  Every computed column is aliased identically on both sides.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.vectors import argmax, assemble, one_hot
+from strata.functions.vectors import argmax
 from strata.operators import features as feat
+from strata.operators import metrics as met
+from strata.operators import mlp
+from strata.operators import model as mdl
 from strata.operators import project as proj
+from strata.operators import resample as rs
+from strata.operators import search as srch
 from strata.operators import split as spl
+from strata.operators import train as tr
 from strata.operators.rank import hash_rank
 from strata.plans import fixtures as fx
+from strata.sources import csv as csvsrc
+from strata.sources import reports as repsrc
 from strata.sources.tables import table
 
 SEED = 42
@@ -267,9 +277,6 @@ def e8_shard_stats(spark, sf_dir):
 
 # ------------------------------------------------------------ F/G: model, loss, metrics
 
-from strata.operators import metrics as met  # noqa: E402
-from strata.operators import mlp  # noqa: E402
-from strata.operators import model as mdl  # noqa: E402
 
 EMB_LAYERS = [64, 16, 10]
 
@@ -422,8 +429,6 @@ def g5_running_loss(spark, sf_dir):
 
 # ------------------------------------------------------------ D: resampling
 
-from strata.operators import resample as rs  # noqa: E402
-
 
 def _rare2_vec(spark, sf_dir):
     return proj.assemble_features(fx.rare2(spark, sf_dir), fx.RARE2_FEATURES,
@@ -521,7 +526,6 @@ def d5_smote_undersample(spark, sf_dir):
 
 # ------------------------------------------------------------ F6-F11: gradients, Adam, training
 
-from strata.operators import train as tr  # noqa: E402
 
 SOFTMAX_LAYERS = [64, 10]
 
@@ -563,9 +567,6 @@ SELECT CAST(layer AS INTEGER) AS layer, CAST(i AS INTEGER) AS i, CAST(j AS INTEG
 FROM st"""
 
 
-import numpy as np  # noqa: E402
-
-
 @query("f7_adam_step", _adam_sql())
 def f7_adam_step(spark, sf_dir):
     g = tr.gradient(fx.emb10(spark, sf_dir), mlp.init_params(SOFTMAX_LAYERS, SEED))
@@ -615,7 +616,6 @@ def f11_resume_reports(spark, sf_dir):
 
 # ------------------------------------------------------------ H: search as tables
 
-from strata.operators import search as srch  # noqa: E402
 
 _SPACE_COLS = ["batch_size", "l1", "l2", "l3", "lr", "num_workers"]
 
@@ -639,9 +639,6 @@ SELECT CAST({key_expr} AS INTEGER) AS trial_id,
 FROM {src}"""
 
 
-import math  # noqa: E402
-
-
 def _user_trials(spark, sf_dir):
     users = table(spark, sf_dir, "events").select("user_id").distinct()
     return srch.trials_from_ids(users, "user_id", srch.reference_space(), SEED,
@@ -768,9 +765,6 @@ def h9_test_best(spark, sf_dir):
 
 # ------------------------------------------------------------ A: sources and sinks
 
-from strata.sources import csv as csvsrc  # noqa: E402
-from strata.sources import reports as repsrc  # noqa: E402
-
 
 def _scratch(spark, name):
     import uuid

@@ -1,7 +1,6 @@
 """End-to-end jobs on the smallest tables, plus quirk regressions (Q1, Q12)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from strata.operators import project as proj
 from strata.operators import split as spl

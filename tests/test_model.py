@@ -1,7 +1,6 @@
 """Model kernels: SQL forward = Arrow scoring, Spark init = NumPy init, metrics goldens."""
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from strata.operators import metrics as met
 from strata.operators import mlp

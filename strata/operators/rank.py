@@ -8,7 +8,9 @@ equal).  Two plans are offered:
 ``hash_rank``   every row gets its 1-based rank.  One shuffle by bucket
                 (window ``row_number`` inside a bucket) plus a broadcast of
                 the per-bucket offsets; the offset table has at most
-                ``16 ** BUCKET_DIGITS`` rows, a fixed bound.
+                ``16 ** BUCKET_DIGITS`` rows, a fixed bound.  A bucket far
+                above its binomial size means a non-unique key and is
+                refused rather than ranked in one task.
 
 ``cut_keys``    only the rows at a few target ranks are found (the last row
                 of each split).  Bucket counts are refined digit group by
@@ -35,23 +37,46 @@ def with_hash(df: DataFrame, key: str | Sequence[str], *parts: object) -> DataFr
     return df.withColumn(HASH, row_hash(key, *parts))
 
 
+class DuplicateKeyError(ValueError):
+    """The ordering key is not unique (a hot group of equal keys)."""
+
+
+def _check_buckets(counts: list[int], n: int) -> None:
+    """md5 buckets of distinct keys are binomial; a bucket far above that
+    holds many equal keys.  Refuse instead of ranking it in one task."""
+    mean = n / float(16 ** BUCKET_DIGITS)
+    limit = 8.0 * mean + 64.0 * mean ** 0.5 + 10_000
+    worst = max(counts) if counts else 0
+    if worst > limit:
+        raise DuplicateKeyError(
+            f"a hash bucket holds {worst} of {n} rows (expected about {mean:.1f}): the key "
+            "is not unique; order by a unique key")
+
+
 def hash_rank(df: DataFrame, key: str | Sequence[str], seed: object, *salt: object,
               rank_col: str = "rank") -> DataFrame:
-    """Add ``rank_col`` (1..n, long) ordering rows by ``(md5(seed:salt:key), key)``."""
+    """Add ``rank_col`` (1..n, long) ordering rows by ``(md5(seed:salt:key), key)``.
+
+    One small job counts rows per md5 bucket (at most 65,536 counts reach
+    the driver, where the offsets are summed and the bucket sizes checked);
+    the ranking itself is one shuffle by bucket and a broadcast join of the
+    offsets, whose size has that same fixed bound."""
     keys = as_list(key)
+    spark = df.sparkSession
     hd = with_hash(df, keys, seed, *salt).withColumn(
         "__b", F.substring(F.col(HASH), 1, BUCKET_DIGITS))
-    counts = hd.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
-    # <= 16**BUCKET_DIGITS rows: a fixed size bound, so one partition and a
-    # broadcast are both safe whatever the table size.
-    offsets = counts.select(
-        "__b",
-        (F.sum("__n").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("__off"))
-    offsets = offsets.fillna(0, subset=["__off"])
+    counts = sorted((r["__b"], r["__n"]) for r in
+                    hd.groupBy("__b").agg(F.count(F.lit(1)).alias("__n")).collect())
+    n = sum(c for _, c in counts)
+    _check_buckets([c for _, c in counts], n)
+    offsets, acc = [], 0
+    for b, c in counts:
+        offsets.append((b, acc))
+        acc += c
+    off_df = spark.createDataFrame(offsets or [("", 0)], "__b string, __off long")
     w = Window.partitionBy("__b").orderBy(HASH, *keys)
     ranked = hd.withColumn("__rn", F.row_number().over(w))
-    out = ranked.join(F.broadcast(offsets), "__b").withColumn(
+    out = ranked.join(F.broadcast(off_df), "__b").withColumn(
         rank_col, (F.col("__off") + F.col("__rn")).cast("long"))
     return out.drop("__b", "__off", "__rn", HASH)
 
@@ -109,6 +134,9 @@ def cut_keys(df: DataFrame, key: str | Sequence[str], targets: Sequence[int],
         nxt = {}
         final = []
         for h in hits:
+            if nlen >= 32 and h["n"] > 1:
+                raise DuplicateKeyError(
+                    f"{h['n']} rows share one key digest: the key is not unique")
             if h["n"] <= FINAL_BUCKET_ROWS or nlen >= 32:
                 final.append((h["t"], h["b"], h["r2"]))
             else:

@@ -86,3 +86,20 @@ def test_worker_batch_size():
     assert spl.worker_batch_size(30, 3) == 10
     with pytest.raises(ValueError):
         spl.worker_batch_size(1, 2)
+
+
+def test_hot_duplicate_key_refused(spark, monkeypatch):
+    """A key repeated for a third of the rows would put them in one task."""
+    monkeypatch.setattr(rk, "BUCKET_DIGITS", 2)
+    hot = spark.range(60000).select((F.when(F.col("id") % 3 == 0, F.lit(-1))
+                                     .otherwise(F.col("id"))).alias("k"))
+    with pytest.raises(rk.DuplicateKeyError):
+        rk.hash_rank(hot, "k", 1)
+
+
+def test_cut_search_refuses_duplicate_digest(spark, monkeypatch):
+    monkeypatch.setattr(rk, "FINAL_BUCKET_ROWS", 2)
+    monkeypatch.setattr(rk, "BUCKET_DIGITS", 16)
+    dup = spark.range(20).select(F.lit(7).alias("k"))
+    with pytest.raises(rk.DuplicateKeyError):
+        rk.cut_keys(dup, "k", [5], 1)

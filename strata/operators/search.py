@@ -225,13 +225,21 @@ class SearchResult:
 def run_search(train_df: DataFrame, key: str, trials: DataFrame, *, in_width: int,
                n_classes: int, max_epochs: int, grace_period: int = 1,
                reduction_factor: float = 2, seed: object = 0, checkpoint_path: str,
-               features: str = "features", label: str = "label") -> SearchResult:
-    """H5: train every trial, one job per epoch per world size, with ASHA
-    early stopping between epochs and a checkpoint of every live trial per
-    epoch (A4).  The trials table is small (one row per trial) and is read
-    on the driver; the data never is."""
+               features: str = "features", label: str = "label",
+               resume: bool = False) -> SearchResult:
+    """H5: train every trial, one job per epoch per trial chunk, with ASHA
+    early stopping between epochs.  Every epoch appends its reports (A5) to
+    ``<checkpoint_path>/reports`` and writes the state of every live trial
+    (A4) to ``<checkpoint_path>/state``; with ``resume`` a restarted search
+    replays the reports through the stopping rule, reloads each live trial's
+    last state strictly (A3, F11) and carries on, giving the same reports as
+    an uninterrupted run.  The trials table (one row per trial) and the
+    reports (one row per trial and epoch) are read on the driver; the data
+    never is."""
     from strata.operators import train as tr
+    from strata.sources.reports import append_reports, read_reports
     spark = train_df.sparkSession
+    state_path, reports_path = f"{checkpoint_path}/state", f"{checkpoint_path}/reports"
     rows = trials.select("trial_id", "config.*", "num_workers").collect()
     specs, states, by_w = {}, {}, {}
     for r in rows:
@@ -241,33 +249,59 @@ def run_search(train_df: DataFrame, key: str, trials: DataFrame, *, in_width: in
         states[r["trial_id"]] = tr.TrainState.fresh(layers, f"{seed}:{r['trial_id']}")
         by_w.setdefault(r["num_workers"], []).append(r["trial_id"])
     rule = AshaRule(max_epochs, grace_period, reduction_factor)
+    live = {r["trial_id"] for r in rows}
+    reports, decisions = [], []
+    seq, start = 0, 0
+    if resume:
+        done = _read_or_none(lambda: read_reports(spark, reports_path))
+        for r in (done.orderBy("report_seq").collect() if done is not None else []):
+            reports.append((r.trial_id, r.epoch, r.training_loss, r.report_seq))
+            keep = rule.on_report(r.trial_id, r.epoch, r.training_loss)
+            decisions.append((r.trial_id, r.epoch, keep))
+            if not keep:
+                live.discard(r.trial_id)
+            seq, start = r.report_seq + 1, max(start, r.epoch)
+        for t in live:
+            if start:
+                states[t] = tr.read_checkpoint(spark, state_path, t, specs[t].layers, start)
     slots = max(1, spark.sparkContext.defaultParallelism)
     bases = {w: tr.shard_table(train_df, key, w, seed, features, label) for w in by_w}
-    live = {t for r in rows for t in [r["trial_id"]]}
-    reports, decisions = [], []
-    seq = 0
     try:
-        for epoch in range(max_epochs):
+        for epoch in range(start, max_epochs):
             if not live:
                 break
             results = _search_epoch(bases, by_w, specs, states, live, key, seed, features,
                                     label, slots)
-            tr.write_checkpoints(spark, checkpoint_path,
-                                 {t: results[t][0] for t in sorted(results)})
+            tr.write_checkpoints(spark, state_path, {t: results[t][0] for t in sorted(results)})
+            new = []
             for t in sorted(results):
                 st, loss, _ = results[t]
-                reports.append((t, epoch + 1, float(loss), seq))
+                new.append((t, epoch + 1, float(loss), seq))
                 seq += 1
                 keep = rule.on_report(t, epoch + 1, loss)
                 decisions.append((t, epoch + 1, keep))
                 if not keep:
                     live.discard(t)
+            append_reports(spark.createDataFrame(new, REPORTS_SCHEMA), reports_path)
+            reports += new
     finally:
         for b in bases.values():
             b.unpersist()
-    rep = spark.createDataFrame(
-        reports, "trial_id int, epoch int, training_loss double, report_seq long")
-    return SearchResult(trials, rep, decisions, checkpoint_path)
+    rep = spark.createDataFrame(reports, REPORTS_SCHEMA)
+    return SearchResult(trials, rep, decisions, state_path)
+
+
+REPORTS_SCHEMA = "trial_id int, epoch int, training_loss double, report_seq long"
+
+
+def _read_or_none(read):
+    from pyspark.errors import AnalysisException
+    try:
+        df = read()
+        df.schema  # noqa: B018 - forces the path lookup
+        return df
+    except AnalysisException:
+        return None
 
 
 def _search_epoch(bases, by_w, specs, states, live, key, seed, features, label, slots):

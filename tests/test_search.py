@@ -67,3 +67,39 @@ def test_best_trial_uses_last_report(spark):
                                 "trial_id int, epoch int, training_loss double, report_seq long")
     b = srch.best_trial(rep).first()
     assert (b.trial_id, b.training_loss) == (2, 0.5)
+
+
+def test_search_resume_equals_uninterrupted(spark):
+    import uuid
+
+    import numpy as np
+
+    from strata.operators import mlp
+    from strata.operators import train as tr
+    from strata.session import scratch_path
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(120, 3))
+    rows = [(int(i), [float(v) for v in x[i]], int(x[i, 0] > 0)) for i in range(120)]
+    df = spark.createDataFrame(rows, "key long, features array<double>, label int")
+    space = {"batch_size": srch.choice([20, 40]), "l1": srch.pow2_randint(2, 4),
+             "l2": srch.pow2_randint(2, 4), "l3": srch.pow2_randint(2, 3),
+             "lr": srch.loguniform(1e-3, 1e-2), "num_workers": srch.choice([1, 2])}
+    trials = srch.make_trials(spark, 4, space, 5,
+                              config_cols=["batch_size", "l1", "l2", "l3", "lr"])
+    kw = dict(in_width=3, n_classes=2, seed=5)
+    full = srch.run_search(df, "key", trials, max_epochs=4,
+                           checkpoint_path=scratch_path(spark, uuid.uuid4().hex), **kw)
+    path = scratch_path(spark, uuid.uuid4().hex)
+    srch.run_search(df, "key", trials, max_epochs=2, checkpoint_path=path, **kw)
+    resumed = srch.run_search(df, "key", trials, max_epochs=4, checkpoint_path=path,
+                              resume=True, **kw)
+    a = sorted(map(tuple, full.reports.collect()))
+    b = sorted(map(tuple, resumed.reports.collect()))
+    assert [r[:2] + (r[3],) for r in a] == [r[:2] + (r[3],) for r in b]
+    np.testing.assert_allclose([r[2] for r in a], [r[2] for r in b], atol=1e-12)
+    best = srch.best_trial(full.reports).first().trial_id
+    layers = [3] + [r for r in trials.filter(f"trial_id = {best}")
+                    .select("config.l1", "config.l2", "config.l3").first()] + [2]
+    s1 = tr.read_checkpoint(spark, full.checkpoint_path, best, layers)
+    s2 = tr.read_checkpoint(spark, resumed.checkpoint_path, best, layers)
+    np.testing.assert_allclose(mlp.flatten(s1.params), mlp.flatten(s2.params), atol=1e-12)

@@ -54,13 +54,14 @@ def _check_buckets(counts: list[int], n: int) -> None:
 
 
 def hash_rank(df: DataFrame, key: str | Sequence[str], seed: object, *salt: object,
-              rank_col: str = "rank") -> DataFrame:
+              rank_col: str = "rank", with_count: bool = False):
     """Add ``rank_col`` (1..n, long) ordering rows by ``(md5(seed:salt:key), key)``.
 
     One small job counts rows per md5 bucket (at most 65,536 counts reach
     the driver, where the offsets are summed and the bucket sizes checked);
     the ranking itself is one shuffle by bucket and a broadcast join of the
-    offsets, whose size has that same fixed bound."""
+    offsets, whose size has that same fixed bound.  ``with_count`` also
+    returns the row count (the histogram's sum, no extra job)."""
     keys = as_list(key)
     spark = df.sparkSession
     hd = with_hash(df, keys, seed, *salt).withColumn(
@@ -78,7 +79,8 @@ def hash_rank(df: DataFrame, key: str | Sequence[str], seed: object, *salt: obje
     ranked = hd.withColumn("__rn", F.row_number().over(w))
     out = ranked.join(F.broadcast(off_df), "__b").withColumn(
         rank_col, (F.col("__off") + F.col("__rn")).cast("long"))
-    return out.drop("__b", "__off", "__rn", HASH)
+    out = out.drop("__b", "__off", "__rn", HASH)
+    return (out, n) if with_count else out
 
 
 def _tuple_le(keys: list[str], cut: tuple) -> Column:

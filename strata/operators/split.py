@@ -93,10 +93,10 @@ def batches(df: DataFrame, key: str | Sequence[str], batch_size: int, seed: obje
     E5 drop_last=False)."""
     if batch_size <= 0:
         raise ValueError("batch size must be positive")
-    out = hash_rank(df, key, seed, *salt, rank_col="__r").withColumn(
-        batch_col, F.floor((F.col("__r") - 1) / F.lit(batch_size)).cast("long"))
+    out, counted = hash_rank(df, key, seed, *salt, rank_col="__r", with_count=True)
+    out = out.withColumn(batch_col, F.floor((F.col("__r") - 1) / F.lit(batch_size)).cast("long"))
     if drop_last:
-        n = df.count() if n is None else n
+        n = counted if n is None else n
         out = out.filter(F.col(batch_col) < F.lit(n // batch_size))
     return out.drop("__r")
 
@@ -110,7 +110,7 @@ def worker_batch_size(batch_size: int, world_size: int) -> int:
 
 
 def shards(df: DataFrame, key: str | Sequence[str], world_size: int, seed: object,
-           *salt: object, pad: bool = True, n: int | None = None) -> DataFrame:
+           *salt: object, pad: bool = True, n: int | None = None, with_count: bool = False):
     """Deal rows to ``world_size`` shards round-robin in hash order.
 
     Adds ``pos`` (0-based position in the padded order), ``shard`` and
@@ -119,8 +119,8 @@ def shards(df: DataFrame, key: str | Sequence[str], world_size: int, seed: objec
     length, as a distributed sampler does."""
     if world_size <= 0:
         raise ValueError("world size must be positive")
-    n = df.count() if n is None else n
-    ranked = hash_rank(df, key, seed, *salt, rank_col="__r")
+    ranked, counted = hash_rank(df, key, seed, *salt, rank_col="__r", with_count=True)
+    n = counted if n is None else n
     extra = (-n) % world_size if pad else 0
     if extra > n:
         raise ValueError("cannot pad: fewer rows than shards")
@@ -133,9 +133,10 @@ def shards(df: DataFrame, key: str | Sequence[str], world_size: int, seed: objec
         ranked = ranked.select("*", pos.alias("pos"))
     else:
         ranked = ranked.withColumn("pos", F.col("__r") - 1)
-    return (ranked.withColumn("shard", (F.col("pos") % world_size).cast("int"))
-            .withColumn("local_pos", F.floor(F.col("pos") / world_size).cast("long"))
-            .drop("__r"))
+    out = (ranked.withColumn("shard", (F.col("pos") % world_size).cast("int"))
+           .withColumn("local_pos", F.floor(F.col("pos") / world_size).cast("long"))
+           .drop("__r"))
+    return (out, n) if with_count else out
 
 
 def shard_batches(sharded: DataFrame, batch_size: int, drop_last: bool = False,

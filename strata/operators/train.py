@@ -408,9 +408,9 @@ def evaluate(eval_base: DataFrame, state: TrainState, n_rows: int, world_size: i
 
 def eval_table(eval_df: DataFrame, key: str, world_size: int, batch_size: int, seed: object,
                features: str = "features", label: str = "label") -> tuple[DataFrame, int]:
-    n = eval_df.count()
-    sh = shards(eval_df.select(key, features, label), key, world_size, seed, "eval", pad=True,
-                n=n)
+    """The eval split dealt to shards (padded) with per-worker batch ids, cached."""
+    sh, n = shards(eval_df.select(key, features, label), key, world_size, seed, "eval",
+                   pad=True, with_count=True)
     sh = sh.withColumn("batch_id", F.floor(F.col("local_pos") / batch_size).cast("long"))
     return sh.persist(StorageLevel.MEMORY_AND_DISK), n
 

@@ -41,46 +41,42 @@ class DuplicateKeyError(ValueError):
     """The ordering key is not unique (a hot group of equal keys)."""
 
 
-def _check_buckets(counts: list[int], n: int) -> None:
-    """md5 buckets of distinct keys are binomial; a bucket far above that
-    holds many equal keys.  Refuse instead of ranking it in one task."""
-    mean = n / float(16 ** BUCKET_DIGITS)
-    limit = 8.0 * mean + 64.0 * mean ** 0.5 + 10_000
-    worst = max(counts) if counts else 0
-    if worst > limit:
-        raise DuplicateKeyError(
-            f"a hash bucket holds {worst} of {n} rows (expected about {mean:.1f}): the key "
-            "is not unique; order by a unique key")
+DUPLICATE_MESSAGE = "hash bucket far above its expected size: the ordering key is not unique"
+
+
+def _bucket_limit(total: Column) -> Column:
+    """md5 buckets of distinct keys are binomial with mean total/16^d; a
+    bucket above this limit holds a hot group of equal keys."""
+    mean = total / F.lit(float(16 ** BUCKET_DIGITS))
+    return F.lit(8.0) * mean + F.lit(64.0) * F.sqrt(mean) + F.lit(10_000.0)
 
 
 def hash_rank(df: DataFrame, key: str | Sequence[str], seed: object, *salt: object,
               rank_col: str = "rank", with_count: bool = False):
     """Add ``rank_col`` (1..n, long) ordering rows by ``(md5(seed:salt:key), key)``.
 
-    One small job counts rows per md5 bucket (at most 65,536 counts reach
-    the driver, where the offsets are summed and the bucket sizes checked);
-    the ranking itself is one shuffle by bucket and a broadcast join of the
-    offsets, whose size has that same fixed bound.  ``with_count`` also
-    returns the row count (the histogram's sum, no extra job)."""
+    One shuffle by bucket (``row_number`` inside a bucket) and a broadcast
+    join of the per-bucket offsets, computed in the same plan from the bucket
+    counts (at most 65,536 rows, a fixed bound).  The offsets carry a guard:
+    a bucket far above its binomial size (a non-unique key) fails the query
+    instead of being ranked in one task.  ``with_count`` also returns the
+    row count (one count job)."""
     keys = as_list(key)
-    spark = df.sparkSession
     hd = with_hash(df, keys, seed, *salt).withColumn(
         "__b", F.substring(F.col(HASH), 1, BUCKET_DIGITS))
-    counts = sorted((r["__b"], r["__n"]) for r in
-                    hd.groupBy("__b").agg(F.count(F.lit(1)).alias("__n")).collect())
-    n = sum(c for _, c in counts)
-    _check_buckets([c for _, c in counts], n)
-    offsets, acc = [], 0
-    for b, c in counts:
-        offsets.append((b, acc))
-        acc += c
-    off_df = spark.createDataFrame(offsets or [("", 0)], "__b string, __off long")
+    counts = hd.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
+    total = F.sum("__n").over(Window.partitionBy())
+    guard = F.assert_true(F.col("__n") <= _bucket_limit(total), F.lit(DUPLICATE_MESSAGE))
+    offsets = counts.select(
+        "__b", (F.coalesce(before, F.lit(0)) + F.coalesce(guard.cast("long"), F.lit(0)))
+        .alias("__off"))
     w = Window.partitionBy("__b").orderBy(HASH, *keys)
     ranked = hd.withColumn("__rn", F.row_number().over(w))
-    out = ranked.join(F.broadcast(off_df), "__b").withColumn(
+    out = ranked.join(F.broadcast(offsets), "__b").withColumn(
         rank_col, (F.col("__off") + F.col("__rn")).cast("long"))
     out = out.drop("__b", "__off", "__rn", HASH)
-    return (out, n) if with_count else out
+    return (out, df.count()) if with_count else out
 
 
 def _tuple_le(keys: list[str], cut: tuple) -> Column:

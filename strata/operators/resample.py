@@ -215,9 +215,8 @@ def _smote(df, key, label, features, ratio, seed, k, counts):
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
-    from strata.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    from strata.session import materialize
+    return materialize(df, "smote")
 
 
 def resample_plan(df: DataFrame, label: str, over: float = 0.03,

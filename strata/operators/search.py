@@ -161,9 +161,8 @@ def asha_prune(reports: DataFrame, max_t: int, grace_period: int = 1,
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
-    from strata.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    from strata.session import materialize
+    return materialize(df, "asha")
 
 
 class AshaRule:

@@ -50,7 +50,7 @@ def prepare_mixed2(spark: SparkSession, sf_dir: str, fractions=(0.7, 0.3), seed:
     rows), encode categories, assemble ``features`` (label kept out by name)."""
     # the join feeds five passes (count, cut, two fits, apply): materialise
     # its pruned output once instead of shuffling the join five times
-    df = materialize(fx.mixed2(spark, sf_dir))
+    df = materialize(fx.mixed2(spark, sf_dir), "mixed2")
     n = df.count()
     tagged = spl.assign_split(df, "o_orderkey", spl.split_sizes(n, list(fractions)), seed, n=n)
     train_raw = tagged.filter(F.col("split") == 0).drop("split")

@@ -66,9 +66,14 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, *parts])
 
 
-def materialize(df):
-    """Write ``df`` to the shared checkpoint folder and read it back (reliable
-    checkpoint): later passes scan it instead of recomputing joins, and a
-    lost executor costs a re-read, not a recomputation of the lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, name: str = "table"):
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it
+    back: lineage is cut (a lost executor costs a re-read, not a
+    recomputation), and later passes get Parquet column pruning and filter
+    pushdown on the written table."""
+    import uuid
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = scratch_path(spark, "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)

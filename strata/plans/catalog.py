@@ -947,3 +947,11 @@ def u1_map_shards(spark, sf_dir):
                         "shard int, rows long, value_sum double", 3)
     return out.groupBy("shard").agg(F.sum("rows").alias("rows"),
                                     F.round(F.sum("value_sum"), 6).alias("value_sum"))
+
+
+@query("f8_epoch_loop_fixed_order")
+def f8_epoch_loop_fixed_order(spark, sf_dir):
+    """F8 with E4: one worker, batches of 5 in a fixed order with the tail
+    dropped, whole-test-set loss and accuracy after every epoch."""
+    from strata.plans.jobs import multiclass_job
+    return multiclass_job(spark, sf_dir, epochs=3, batch_size=5, seed=SEED).metrics

@@ -135,3 +135,16 @@ def imbalanced_job(spark: SparkSession, sf_dir: str, epochs: int = 50, batch_siz
     layers = [prep.width, 128, 32, 8, 2]
     return tr.train_mlp(prep.train, "event_id", layers, lr=lr, batch_size=batch_size,
                         epochs=epochs, world_size=1, seed=seed, eval_df=prep.test)
+
+
+def multiclass_job(spark: SparkSession, sf_dir: str, epochs: int = 200, batch_size: int = 5,
+                   lr: float = 1e-3, hidden: int = 8, seed: object = 42):
+    """Multi-class MLP on one worker: exact 70/30 split, batches in a fixed
+    order with the short tail dropped, whole-test-set loss and accuracy per
+    epoch (``metrics.row_loss`` / ``metrics.accuracy``).  Uses the keyed
+    embeddings table (64 features, 10 classes)."""
+    df = fx.emb10(spark, sf_dir)
+    train, test = spl.train_test_split(df, "vec_id", 0.7, seed)
+    layers = [64, hidden, 10]
+    return tr.train_mlp(train, "vec_id", layers, lr=lr, batch_size=batch_size, epochs=epochs,
+                        world_size=1, seed=seed, shuffle=False, drop_last=True, eval_df=test)

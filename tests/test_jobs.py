@@ -58,3 +58,9 @@ def test_csv_bad_number_fails(spark):
 def test_skip_first_row(spark):
     df = spark.range(5).withColumnRenamed("id", "k")
     assert sorted(r.k for r in proj.skip_first(df, "k").collect()) == [1, 2, 3, 4]
+
+
+def test_multiclass_job(spark):
+    res = jobs.multiclass_job(spark, SF001, epochs=2)
+    m = res.metrics.collect()
+    assert len(m) == 2 and all(r.row_loss > 0 for r in m)

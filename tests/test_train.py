@@ -103,3 +103,20 @@ def test_checkpoint_roundtrip_and_strict_load(spark, tmp_path):
         tr.read_checkpoint(spark, path, 3, [3, 5, 2])
     with pytest.raises(FileNotFoundError):
         tr.read_checkpoint(spark, path, 99, layers)
+
+
+def test_fixed_order_drop_last_equals_numpy_loop(spark):
+    """shuffle=False keeps the hash order of the split every epoch; the tail is dropped."""
+    from strata.operators.rank import hash_rank
+    df = _separable(spark, 53)
+    layers = [3, 4, 2]
+    res = tr.train_mlp(df, "key", layers, lr=0.01, batch_size=5, epochs=2, world_size=1,
+                       seed=8, shuffle=False, drop_last=True)
+    pdf = hash_rank(df, "key", 8).toPandas().sort_values("rank")
+    x, y = np.stack(pdf.features.to_numpy()), pdf.label.to_numpy()
+    st = tr.TrainState.fresh(layers, 8)
+    p, m, v, step = st.params, st.m, st.v, 0
+    for _ in range(2):
+        p, m, v, step, _, _ = mlp.sgd_epoch(p, m, v, step, x, y, 5, 0.01, drop_last=True)
+    assert step == 20
+    np.testing.assert_allclose(mlp.flatten(res.state.params), mlp.flatten(p), atol=1e-12)

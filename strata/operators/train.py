@@ -164,6 +164,7 @@ def adam_step_table(params_df: DataFrame, grads_df: DataFrame, lr: float,
 
 EPOCH_SCHEMA = T.StructType([
     T.StructField("trial_id", T.IntegerType(), False),
+    T.StructField("shard", T.IntegerType(), False),
     T.StructField("pos", T.LongType(), False),
     T.StructField("wn", T.DoubleType(), False),
     T.StructField("mn", T.DoubleType(), False),
@@ -215,13 +216,14 @@ class _Runner:
         if full < len(y):
             self.bx, self.by, self.buffered = [x[full:]], [y[full:]], len(y) - full
 
-    def finish(self, trial_id):
+    def finish(self, trial_id, shard):
         if self.buffered and not self.spec["drop_last"]:
             self._train(np.concatenate(self.bx), np.concatenate(self.by))
         n = self.rows
         p, m, v = (mlp.flatten(t) for t in (self.p, self.m, self.v))
         k = len(p)
         cols = [pa.array(np.full(k + 1, trial_id, dtype=np.int32)),
+                pa.array(np.full(k + 1, shard, dtype=np.int32)),
                 pa.array(np.arange(-1, k, dtype=np.int64)),
                 pa.array(np.concatenate([[0.0], p * n])),
                 pa.array(np.concatenate([[0.0], m * n])),
@@ -230,7 +232,7 @@ class _Runner:
                 pa.array(np.concatenate([[self.loss_sum], np.zeros(k)])),
                 pa.array(np.concatenate([[self.steps], np.full(k, self.step)]).astype(np.int64))]
         return pa.RecordBatch.from_arrays(cols, schema=pa.schema(
-            [(f.name, pa.int32() if f.name == "trial_id" else
+            [(f.name, pa.int32() if isinstance(f.dataType, T.IntegerType) else
               pa.int64() if isinstance(f.dataType, T.LongType) else pa.float64())
              for f in EPOCH_SCHEMA.fields]))
 
@@ -266,24 +268,38 @@ def _epoch_job(sorted_df: DataFrame, specs: list[ModelSpec], states: dict, featu
                 if cur is None or shard[lo] != cur:
                     if runners is not None:
                         for t, r in runners.items():
-                            yield r.finish(t)
+                            yield r.finish(t, int(cur))
                     cur = shard[lo]
                     runners = {t: _Runner(spec, vecs) for t, (spec, vecs) in pl.items()}
                 for r in runners.values():
                     r.feed(x_all[lo:hi], y_all[lo:hi])
         if runners is not None:
             for t, r in runners.items():
-                yield r.finish(t)
+                yield r.finish(t, int(cur))
 
     return sorted_df.select("shard", features, label).mapInArrow(run, EPOCH_SCHEMA)
 
 
 def _average(parts: DataFrame, specs: list[ModelSpec], states: dict, epoch: int):
-    """Row-weighted average per model; returns new states and (loss, steps)."""
-    agg = parts.groupBy("trial_id", "pos").agg(
-        F.sum("wn").alias("wn"), F.sum("mn").alias("mn"), F.sum("vn").alias("vn"),
-        F.sum("n").alias("n"), F.sum("loss_sum").alias("loss_sum"),
-        F.max("steps").alias("steps"), F.sum("steps").alias("steps_total")).toPandas()
+    """Row-weighted average per model; returns new states and (loss, steps).
+
+    The W shard contributions of a parameter are added in shard order (a
+    sorted list of W entries per parameter), so the average is bit-for-bit
+    the same whatever order the shuffle delivers them in."""
+    fields = ["shard", "wn", "mn", "vn", "n", "loss_sum", "steps"]
+    grouped = parts.groupBy("trial_id", "pos").agg(
+        F.array_sort(F.collect_list(F.struct(*fields))).alias("l"))
+
+    def total(name, zero):
+        return F.aggregate("l", zero, lambda acc, x: acc + x[name]).alias(name)
+
+    agg = grouped.select(
+        "trial_id", "pos", total("wn", F.lit(0.0)), total("mn", F.lit(0.0)),
+        total("vn", F.lit(0.0)), total("n", F.lit(0).cast("long")),
+        total("loss_sum", F.lit(0.0)),
+        F.array_max(F.transform("l", lambda x: x["steps"])).alias("steps"),
+        F.aggregate("l", F.lit(0).cast("long"), lambda acc, x: acc + x["steps"])
+        .alias("steps_total")).toPandas()
     out = {}
     for s in specs:
         a = agg[agg.trial_id == s.trial_id].sort_values("pos")

@@ -120,3 +120,11 @@ def test_fixed_order_drop_last_equals_numpy_loop(spark):
         p, m, v, step, _, _ = mlp.sgd_epoch(p, m, v, step, x, y, 5, 0.01, drop_last=True)
     assert step == 20
     np.testing.assert_allclose(mlp.flatten(res.state.params), mlp.flatten(p), atol=1e-12)
+
+
+def test_local_mode_independent_of_input_partitioning(spark):
+    df = _separable(spark, 150)
+    kw = dict(lr=0.02, batch_size=12, epochs=2, world_size=4, seed=6)
+    a = tr.train_mlp(df.repartition(7), "key", [3, 5, 2], **kw)
+    b = tr.train_mlp(df.coalesce(1), "key", [3, 5, 2], **kw)
+    np.testing.assert_array_equal(mlp.flatten(a.state.params), mlp.flatten(b.state.params))

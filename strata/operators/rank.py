@@ -73,7 +73,9 @@ def hash_rank(df: DataFrame, key: str | Sequence[str], seed: object, *salt: obje
         .alias("__off"))
     w = Window.partitionBy("__b").orderBy(HASH, *keys)
     ranked = hd.withColumn("__rn", F.row_number().over(w))
-    out = ranked.join(F.broadcast(offsets), "__b").withColumn(
+    # left join: every bucket has an offset, and an inner join would make
+    # Catalyst push a second md5 evaluation down as an inferred not-null filter
+    out = ranked.join(F.broadcast(offsets), "__b", "left").withColumn(
         rank_col, (F.col("__off") + F.col("__rn")).cast("long"))
     out = out.drop("__b", "__off", "__rn", HASH)
     return (out, df.count()) if with_count else out

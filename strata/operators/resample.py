@@ -79,6 +79,7 @@ def _knn_block(queries: DataFrame, key: str, features: str, k: int, cand_keys: n
     order = np.argsort(cand_keys, kind="stable")
     bc = sc.broadcast((cand_keys[order], cand_x[order]))
     schema = T.StructType([T.StructField(key, key_type, False),
+                           T.StructField("nbr_rank", T.IntegerType(), False),
                            T.StructField("nbr_key", key_type, False),
                            T.StructField("d2", T.DoubleType(), False)])
 
@@ -92,7 +93,7 @@ def _knn_block(queries: DataFrame, key: str, features: str, k: int, cand_keys: n
             qk = b.column(key).to_numpy(zero_copy_only=False)
             qx = features_matrix(b.column(features), n)
             step = max(1, QUERY_CHUNK_CELLS // max(1, m * qx.shape[1]))
-            out_q, out_n, out_d = [], [], []
+            out_q, out_r, out_n, out_d = [], [], [], []
             for s in range(0, n, step):
                 xq, kq = qx[s:s + step], qk[s:s + step]
                 d2 = ((xq[:, None, :] - cx[None, :, :]) ** 2).sum(axis=2)
@@ -105,13 +106,15 @@ def _knn_block(queries: DataFrame, key: str, features: str, k: int, cand_keys: n
                     idx = idx[np.argsort(d2[r, idx], kind="stable")][:kk]
                     idx = idx[np.isfinite(d2[r, idx])]
                     out_q.append(np.full(len(idx), kq[r]))
+                    out_r.append(np.arange(len(idx), dtype=np.int32))
                     out_n.append(ck[idx])
                     out_d.append(d2[r, idx])
             if out_q:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(out_q)), pa.array(np.concatenate(out_n)),
+                    [pa.array(np.concatenate(out_q)), pa.array(np.concatenate(out_r)),
+                     pa.array(np.concatenate(out_n)),
                      pa.array(np.concatenate(out_d), type=pa.float64())],
-                    names=[key, "nbr_key", "d2"])
+                    names=[key, "nbr_rank", "nbr_key", "d2"])
 
     return queries.select(key, features).mapInArrow(run, schema)
 
@@ -140,6 +143,9 @@ def knn(df: DataFrame, key: str, features: str = "features", k: int = 5,
         ck = rows.column(key).to_numpy()
         cx = features_matrix(rows.column(features), rows.num_rows)
         parts.append(_knn_block(df, key, features, k, ck, cx, key_type))
+    if len(parts) == 1:
+        # one block: each task's top k is final, ranked in the task (no shuffle)
+        return parts[0].select(key, "nbr_rank", "nbr_key", "d2")
     cand = parts[0]
     for p in parts[1:]:
         cand = cand.unionByName(p)

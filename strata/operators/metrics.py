@@ -45,11 +45,10 @@ def shard_accuracy(scored: DataFrame, n_rows: int, world_size: int,
         "accuracy", F.col("correct") / F.lit(float(size)))
 
 
-def global_accuracy(scored: DataFrame, label: str = "label") -> DataFrame:
-    """The exact figure over distinct rows (padding excluded) that the
-    per-worker numbers approximate (Q6)."""
-    base = scored.filter(F.col("pos") < F.col("__n")) if "__n" in scored.columns else scored
-    return accuracy(base, label)
+def global_accuracy(scored: DataFrame, n_rows: int, label: str = "label") -> DataFrame:
+    """The exact figure over the distinct rows (padding copies, ``pos >= n``,
+    left out) that the per-worker numbers approximate (Q6)."""
+    return accuracy(scored.filter(F.col("pos") < F.lit(n_rows)), label)
 
 
 def running_loss(batch_losses: DataFrame, by: Sequence[str] = ("trial_id", "epoch"),

@@ -168,13 +168,17 @@ def _checkpoint(df: DataFrame) -> DataFrame:
 class AshaRule:
     """The same rule applied online to reports as they arrive (search loop)."""
 
-    def __init__(self, max_t: int, grace_period: int = 1, reduction_factor: float = 2):
+    def __init__(self, max_t: int, grace_period: int = 1, reduction_factor: float = 2,
+                 mode: str = "min"):
+        if mode not in ("min", "max"):
+            raise ValueError("mode is 'min' or 'max'")
         self.max_t = max_t
         self.rf = reduction_factor
+        self.mode = mode
         self.milestones = rung_milestones(max_t, grace_period, reduction_factor)
         self.recorded: dict[int, dict[int, float]] = {m: {} for m in self.milestones}
 
-    def on_report(self, trial_id: int, epoch: int, loss: float) -> bool:
+    def on_report(self, trial_id: int, epoch: int, value: float) -> bool:
         """True to continue, False to stop."""
         if epoch >= self.max_t:
             return False
@@ -187,9 +191,10 @@ class AshaRule:
             return True
         keep = True
         if rec:
-            cutoff = float(np.percentile(list(rec.values()), 100.0 / self.rf))
-            keep = not loss > cutoff
-        rec[trial_id] = loss
+            q = 100.0 / self.rf if self.mode == "min" else 100.0 * (1.0 - 1.0 / self.rf)
+            cutoff = float(np.percentile(list(rec.values()), q))
+            keep = not (value > cutoff if self.mode == "min" else value < cutoff)
+        rec[trial_id] = value
         return keep
 
 

@@ -58,3 +58,8 @@ def test_metric_lines(spark):
     m = spark.createDataFrame([(0, 0.123, 0.5)], "epoch int, loss double, accuracy double")
     assert met.format_metrics(m).first().line == \
         "Epoch 0 validation: Avg loss=0.12, Accuracy=50.0%"
+
+
+def test_global_accuracy_excludes_padding(spark):
+    df = spark.createDataFrame([(0, 1, 1), (1, 0, 1), (2, 1, 1)], "pos long, prediction int, label int")
+    assert met.global_accuracy(df, 2).first().accuracy == 0.5

@@ -103,3 +103,16 @@ def test_search_resume_equals_uninterrupted(spark):
     s1 = tr.read_checkpoint(spark, full.checkpoint_path, best, layers)
     s2 = tr.read_checkpoint(spark, resumed.checkpoint_path, best, layers)
     np.testing.assert_allclose(mlp.flatten(s1.params), mlp.flatten(s2.params), atol=1e-12)
+
+
+def test_max_mode_mirrors_min_mode(spark):
+    losses = [0.9, 0.5, 0.8, 0.4, 0.7]
+    lo = srch.AshaRule(2)
+    hi = srch.AshaRule(2, mode="max")
+    assert [lo.on_report(t, 1, v) for t, v in enumerate(losses)] == \
+        [hi.on_report(t, 1, -v) for t, v in enumerate(losses)]
+    rep = spark.createDataFrame([(t, 1, -v, t) for t, v in enumerate(losses)],
+                                "trial_id int, epoch int, training_loss double, report_seq long")
+    table = [r.stop for r in srch.asha_prune(rep, 2, mode="max").orderBy("report_seq").collect()]
+    assert table == [0 if k else 1 for k in
+                     [srch.AshaRule(2).on_report(t, 1, v) for t, v in enumerate(losses)]]

@@ -114,5 +114,5 @@ def test_max_mode_mirrors_min_mode(spark):
     rep = spark.createDataFrame([(t, 1, -v, t) for t, v in enumerate(losses)],
                                 "trial_id int, epoch int, training_loss double, report_seq long")
     table = [r.stop for r in srch.asha_prune(rep, 2, mode="max").orderBy("report_seq").collect()]
-    assert table == [0 if k else 1 for k in
-                     [srch.AshaRule(2).on_report(t, 1, v) for t, v in enumerate(losses)]]
+    online = srch.AshaRule(2)
+    assert table == [0 if online.on_report(t, 1, v) else 1 for t, v in enumerate(losses)]

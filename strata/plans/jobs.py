@@ -68,16 +68,32 @@ def prepare_mixed2(spark: SparkSession, sf_dir: str, fractions=(0.7, 0.3), seed:
 
 
 def prepare_rare2(spark: SparkSession, sf_dir: str, seed: object = 42, over: float = 0.03,
-                  under: float = 0.3, resample_train: bool = True) -> Prepared:
-    """Rare-positive table: split 0.7/0.3, scale on train, resample train."""
-    df = fx.rare2(spark, sf_dir)
+                  under: float = 0.3, resample_train: bool = True,
+                  reference_order: bool = False, skip_first_row: bool = False) -> Prepared:
+    """Rare-positive table.  Default: split 0.7/0.3 exactly, fit the scaler
+    on the train part, resample the train part only (no synthetic rows in the
+    test split).  ``reference_order`` resamples all rows first, optionally
+    skips the first row (by key), fits the scaler on everything and then
+    splits [0.7, 0.3] (the order that leaks, kept for comparison)."""
+    df = fx.rare2(spark, sf_dir).withColumn("label", F.col("Class").cast("int")).drop("Class")
+    if reference_order:
+        raw = proj.assemble_features(df, fx.RARE2_FEATURES, keep=["event_id", "label"])
+        res = rs.smote_then_undersample(raw, "event_id", "label", "features", over, under, seed)
+        if skip_first_row:
+            res = proj.skip_first(res, "event_id", 1)
+        res = materialize(res, "rare2-resampled")
+        cols = [F.col("features")[i].alias(c) for i, c in enumerate(fx.RARE2_FEATURES)]
+        wide = res.select("event_id", "label", *cols)
+        scaled = feat.minmax_scale(wide, fx.RARE2_FEATURES)
+        vec = proj.assemble_features(scaled, fx.RARE2_FEATURES, keep=["event_id", "label"])
+        train, test = spl.random_split(vec, "event_id", [0.7, 0.3], seed)
+        return Prepared(train, test, len(fx.RARE2_FEATURES), 2)
     train_raw, test_raw = spl.train_test_split(df, "event_id", 0.7, seed)
     scaler = feat.minmax_fit(train_raw, fx.RARE2_FEATURES)
 
     def prep(part):
-        scaled = scaler.apply(part, fx.RARE2_FEATURES).withColumn(
-            "label", F.col("Class").cast("int"))
-        return proj.assemble_features(scaled, fx.RARE2_FEATURES, keep=["event_id", "label"])
+        return proj.assemble_features(scaler.apply(part, fx.RARE2_FEATURES), fx.RARE2_FEATURES,
+                                      keep=["event_id", "label"])
 
     train = prep(train_raw)
     if resample_train:

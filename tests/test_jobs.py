@@ -64,3 +64,15 @@ def test_multiclass_job(spark):
     res = jobs.multiclass_job(spark, SF001, epochs=2)
     m = res.metrics.collect()
     assert len(m) == 2 and all(r.row_loss > 0 for r in m)
+
+
+def test_rare2_reference_order_sizes(spark):
+    from tests.conftest import SF01
+    p = jobs.prepare_rare2(spark, SF01, reference_order=True, skip_first_row=True)
+    n_tr, n_te = p.train.count(), p.test.count()
+    assert (n_tr, n_te) == (892, 381)  # 1274 resampled rows, first skipped, [0.7, 0.3]
+    syn_test = p.test.filter("event_id < 0").count()
+    assert syn_test > 0  # the leak this order has: synthetic rows reach the test split
+    d = jobs.prepare_rare2(spark, SF01)
+    assert d.test.filter("event_id < 0").count() == 0
+    assert d.test.count() == 3000

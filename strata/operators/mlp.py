@@ -41,10 +41,12 @@ def init_params(layers: Sequence[int], seed: object) -> Params:
     for lay in range(n):
         fi, fo = layers[lay], layers[lay + 1]
         bound = layer_bound(lay, n, fi, fo)
-        w = np.empty((fo, fi))
-        for i in range(fo):
-            for j in range(fi):
-                w[i, j] = bound * (2.0 * md5_uniform(f"{seed}:{lay}:{i}:{j}") - 1.0)
+        # first 4 digest bytes, big-endian == first 8 hex digits
+        md5 = hashlib.md5
+        raw = b"".join(md5(f"{seed}:{lay}:{i}:{j}".encode()).digest()[:4]
+                       for i in range(fo) for j in range(fi))
+        u = np.frombuffer(raw, dtype=">u4").astype(np.float64) / 4294967296.0
+        w = (bound * (2.0 * u - 1.0)).reshape(fo, fi)
         out.append((w, np.zeros(fo)))
     return out
 
@@ -159,3 +161,18 @@ def sgd_epoch(params: Params, m: Params, v: Params, step: int, x: np.ndarray,
         loss_total += ls / len(yb)
         steps += 1
     return params, m, v, step, loss_total, steps
+
+
+def flat_positions(layers: Sequence[int], lay: np.ndarray, i: np.ndarray,
+                   j: np.ndarray) -> np.ndarray:
+    """Flat index of (layer, i, j) entries (bias: j = -1); -1 where out of
+    range (a misshapen entry)."""
+    lay, i, j = (np.asarray(a, dtype=np.int64) for a in (lay, i, j))
+    fi = np.array(layers[:-1], dtype=np.int64)
+    fo = np.array(layers[1:], dtype=np.int64)
+    start = np.concatenate([[0], np.cumsum(fi * fo + fo)])[:-1]
+    ok = (lay >= 0) & (lay < len(fi))
+    L = np.where(ok, lay, 0)
+    ok &= (i >= 0) & (i < fo[L]) & (j >= -1) & (j < fi[L])
+    pos = np.where(j >= 0, start[L] + i * fi[L] + j, start[L] + fi[L] * fo[L] + i)
+    return np.where(ok, pos, -1)

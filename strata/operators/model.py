@@ -63,36 +63,33 @@ def params_rows(params: mlp.Params, layers: Sequence[int]):
 def params_to_df(spark: SparkSession, params: mlp.Params, layers: Sequence[int],
                  trial_id: int = 0, epoch: int = 0) -> DataFrame:
     """Model -> ``(trial_id, epoch, layer, i, j, w)`` table (A4 form)."""
-    import pandas as pd
     lay, ii, jj, vec = params_rows(params, layers)
-    pdf = pd.DataFrame({"trial_id": np.full(len(vec), trial_id, dtype=np.int32),
-                        "epoch": np.full(len(vec), epoch, dtype=np.int32),
-                        "layer": lay.astype(np.int32), "i": ii.astype(np.int32),
-                        "j": jj.astype(np.int32), "w": vec})
-    return spark.createDataFrame(pdf)
+    k = len(vec)
+    return spark.createDataFrame(pa.table({
+        "trial_id": np.full(k, trial_id, dtype=np.int32),
+        "epoch": np.full(k, epoch, dtype=np.int32),
+        "layer": lay.astype(np.int32), "i": ii.astype(np.int32), "j": jj.astype(np.int32),
+        "w": vec}))
 
 
 def params_from_df(df: DataFrame, layers: Sequence[int], value_col: str = "w") -> mlp.Params:
     """Table -> model.  Collects exactly ``n_params(layers)`` numbers (the
     model, a checked size); raises on a missing or extra entry (strict load)."""
     check_model_size(layers)
-    rows = df.select("layer", "i", "j", value_col).toPandas()
-    lay, ii, jj = mlp.param_index(layers)
-    if len(rows) != len(lay):
-        raise ValueError(f"expected {len(lay)} parameters, got {len(rows)}")
-    idx = {}
-    for pos, key in enumerate(zip(lay.tolist(), ii.tolist(), jj.tolist())):
-        idx[key] = pos
-    vec = np.empty(len(lay))
-    seen = np.zeros(len(lay), dtype=bool)
-    for r in rows.itertuples(index=False):
-        pos = idx.get((int(r.layer), int(r.i), int(r.j)))
-        if pos is None:
-            raise ValueError(f"unexpected parameter {(r.layer, r.i, r.j)}")
-        vec[pos] = getattr(r, value_col)
-        seen[pos] = True
-    if not seen.all():
-        raise ValueError("missing parameters")
+    rows = df.select("layer", "i", "j", value_col).toArrow()
+    n = mlp.n_params(layers)
+    if rows.num_rows != n:
+        raise ValueError(f"expected {n} parameters, got {rows.num_rows}")
+    pos = mlp.flat_positions(layers, rows.column("layer").to_numpy(),
+                             rows.column("i").to_numpy(), rows.column("j").to_numpy())
+    if (pos < 0).any():
+        raise ValueError("parameter outside the layer shapes")
+    seen = np.zeros(n, dtype=np.int64)
+    np.add.at(seen, pos, 1)
+    if (seen != 1).any():
+        raise ValueError("missing or repeated parameters")
+    vec = np.empty(n)
+    vec[pos] = rows.column(value_col).to_numpy()
     return mlp.unflatten(vec, layers)
 
 

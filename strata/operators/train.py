@@ -124,16 +124,14 @@ def gradient_and_loss(df: DataFrame, params: mlp.Params, features: str = "featur
     one model-sized vector)."""
     parts, layers = _gradient_parts(df, params, features, label)
     agg = parts.groupBy("layer", "i", "j").agg(F.sum("gsum").alias("g"),
-                                               F.sum("n").alias("n")).toPandas()
-    lay, ii, jj = mlp.param_index(layers)
-    order = {k: idx for idx, k in enumerate(zip(lay.tolist(), ii.tolist(), jj.tolist()))}
-    g = np.zeros(len(lay))
-    loss, n = 0.0, 0
-    for r in agg.itertuples(index=False):
-        if r.j == -2:
-            loss, n = r.g, int(r.n)
-        else:
-            g[order[(r.layer, r.i, r.j)]] = r.g
+                                               F.sum("n").alias("n")).toArrow()
+    lay, ii, jj = (agg.column(c).to_numpy() for c in ("layer", "i", "j"))
+    g_all, n_all = agg.column("g").to_numpy(), agg.column("n").to_numpy()
+    is_loss = jj == -2
+    loss = float(g_all[is_loss][0]) if is_loss.any() else 0.0
+    n = int(n_all[is_loss][0]) if is_loss.any() else 0
+    g = np.zeros(mlp.n_params(layers))
+    g[mlp.flat_positions(layers, lay[~is_loss], ii[~is_loss], jj[~is_loss])] = g_all[~is_loss]
     if n == 0:
         raise ValueError("empty batch")
     return g / n, loss / n, n
@@ -299,7 +297,7 @@ def _average(parts: DataFrame, specs: list[ModelSpec], states: dict, epoch: int)
         total("loss_sum", F.lit(0.0)),
         F.array_max(F.transform("l", lambda x: x["steps"])).alias("steps"),
         F.aggregate("l", F.lit(0).cast("long"), lambda acc, x: acc + x["steps"])
-        .alias("steps_total")).toPandas()
+        .alias("steps_total")).toArrow().to_pandas()
     out = {}
     for s in specs:
         a = agg[agg.trial_id == s.trial_id].sort_values("pos")
@@ -499,21 +497,21 @@ def write_checkpoint(spark: SparkSession, path: str, trial_id: int, state: Train
 
 
 def write_checkpoints(spark: SparkSession, path: str, states: dict) -> None:
-    """A4 for several trials at once: one write job per epoch."""
-    import pandas as pd
-    frames = []
+    """A4 for several trials at once: one write job per epoch.  The rows are
+    built as an Arrow table (fast whatever the session's pandas settings)."""
+    parts = []
     for trial_id, state in states.items():
         lay, ii, jj = mlp.param_index(state.layers)
-        frames.append(pd.DataFrame({
+        k = len(lay)
+        parts.append(pa.table({
             "layer": lay.astype(np.int32), "i": ii.astype(np.int32), "j": jj.astype(np.int32),
             "w": mlp.flatten(state.params), "m": mlp.flatten(state.m),
-            "v": mlp.flatten(state.v),
-            "step": np.full(len(lay), state.step, dtype=np.int64),
-            "trial_id": np.full(len(lay), trial_id, dtype=np.int32),
-            "epoch": np.full(len(lay), state.epoch, dtype=np.int32)}))
-    if not frames:
+            "v": mlp.flatten(state.v), "step": np.full(k, state.step, dtype=np.int64),
+            "trial_id": np.full(k, trial_id, dtype=np.int32),
+            "epoch": np.full(k, state.epoch, dtype=np.int32)}))
+    if not parts:
         return
-    (spark.createDataFrame(pd.concat(frames, ignore_index=True)).write.mode("overwrite")
+    (spark.createDataFrame(pa.concat_tables(parts)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("trial_id", "epoch").parquet(path))
 

@@ -72,6 +72,20 @@ def undersample_targets(counts: dict, ratio: float) -> dict:
 
 # ---------------------------------------------------------------- D2
 
+def _top_k(d2: np.ndarray, k: int) -> np.ndarray:
+    """Column indices of the k smallest entries of each row, ordered by
+    (value, column); columns are in key order, so ties go to the smaller key.
+    Vectorised: everything below the k-th value, then the first ties."""
+    kth = np.partition(d2, k - 1, axis=1)[:, k - 1:k]
+    lt = d2 < kth
+    eq = d2 == kth
+    need = k - lt.sum(axis=1, keepdims=True)
+    sel = lt | (eq & (np.cumsum(eq, axis=1) <= need))
+    idx = np.nonzero(sel)[1].reshape(len(d2), k)  # column order within each row
+    vals = np.take_along_axis(d2, idx, axis=1)
+    return np.take_along_axis(idx, np.argsort(vals, axis=1, kind="stable"), axis=1)
+
+
 def _knn_block(queries: DataFrame, key: str, features: str, k: int, cand_keys: np.ndarray,
                cand_x: np.ndarray, key_type: T.DataType) -> DataFrame:
     """Top-k candidates of one broadcast block for every query row."""
@@ -99,16 +113,14 @@ def _knn_block(queries: DataFrame, key: str, features: str, k: int, cand_keys: n
                 d2 = ((xq[:, None, :] - cx[None, :, :]) ** 2).sum(axis=2)
                 d2[kq[:, None] == ck[None, :]] = np.inf
                 kk = min(k, m)
-                part = np.argpartition(d2, kk - 1, axis=1)[:, :kk]
-                kth = np.take_along_axis(d2, part, axis=1).max(axis=1)
-                for r in range(len(xq)):
-                    idx = np.nonzero(d2[r] <= kth[r])[0]  # candidate order = key order
-                    idx = idx[np.argsort(d2[r, idx], kind="stable")][:kk]
-                    idx = idx[np.isfinite(d2[r, idx])]
-                    out_q.append(np.full(len(idx), kq[r]))
-                    out_r.append(np.arange(len(idx), dtype=np.int32))
-                    out_n.append(ck[idx])
-                    out_d.append(d2[r, idx])
+                idx = _top_k(d2, kk)  # (rows, kk), ordered by (d2, key)
+                dk = np.take_along_axis(d2, idx, axis=1)
+                ok = np.isfinite(dk)
+                rank = np.broadcast_to(np.arange(kk, dtype=np.int32), idx.shape)
+                out_q.append(np.broadcast_to(kq[:, None], idx.shape)[ok])
+                out_r.append(rank[ok])
+                out_n.append(ck[idx][ok])
+                out_d.append(dk[ok])
             if out_q:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(out_q)), pa.array(np.concatenate(out_r)),

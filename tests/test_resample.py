@@ -80,3 +80,14 @@ def test_undersample_exact_and_partition_independent(spark):
     ka = sorted(r.event_id for r in a.collect())
     assert ka == sorted(r.event_id for r in b.collect())
     assert rs.class_counts(a, "Class") == {1: 172, 0: 573}
+
+
+def test_top_k_ties_by_key():
+    d2 = np.array([[3.0, 1.0, 1.0, np.inf, 1.0, 0.5],
+                   [2.0, 2.0, 2.0, 2.0, 2.0, 2.0]])
+    assert rs._top_k(d2, 3).tolist() == [[5, 1, 2], [0, 1, 2]]
+    rng = np.random.default_rng(0)
+    d = rng.integers(0, 4, size=(50, 30)).astype(float)
+    got = rs._top_k(d, 5)
+    want = np.array([np.lexsort((np.arange(30), row))[:5] for row in d])
+    assert (got == want).all()

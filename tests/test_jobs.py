@@ -76,3 +76,22 @@ def test_rare2_reference_order_sizes(spark):
     d = jobs.prepare_rare2(spark, SF01)
     assert d.test.filter("event_id < 0").count() == 0
     assert d.test.count() == 3000
+
+
+def test_package_importable_from_any_directory(tmp_path):
+    """Executors import `strata` from the shipped zip, not from the working directory."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled','false')"
+        ".getOrCreate()\n"
+        "import __spark_entry__ as se\n"
+        "print('rows', se.queries()['f12_score'](s, %r).count())\n" % (root, SF001))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env,
+                         capture_output=True, text=True, timeout=300)
+    assert "rows 50" in out.stdout, out.stderr[-2000:]

@@ -164,3 +164,23 @@ def multiclass_job(spark: SparkSession, sf_dir: str, epochs: int = 200, batch_si
     layers = [64, hidden, 10]
     return tr.train_mlp(train, "vec_id", layers, lr=lr, batch_size=batch_size, epochs=epochs,
                         world_size=1, seed=seed, shuffle=False, drop_last=True, eval_df=test)
+
+
+def imbalanced_search_job(spark: SparkSession, sf_dir: str, num_trials: int = 15,
+                          max_epochs: int = 80, seed: object = 42,
+                          checkpoint_path: str | None = None):
+    """Resampled rare-positive table, 15-trial search (one worker per trial)
+    with successive halving, best trial tested with 2 workers."""
+    from strata.session import ensure_checkpoint_dir, scratch_path
+    import uuid
+    ensure_checkpoint_dir(spark)
+    prep = prepare_rare2(spark, sf_dir, seed=seed)
+    trials = srch.make_trials(spark, num_trials, srch.reference_space(workers=(1,)), seed,
+                              config_cols=["batch_size", "l1", "l2", "l3", "lr"])
+    res = srch.run_search(prep.train, "event_id", trials, in_width=prep.width, n_classes=2,
+                          max_epochs=max_epochs, seed=seed,
+                          checkpoint_path=checkpoint_path or scratch_path(
+                              spark, f"search-{uuid.uuid4().hex}"))
+    tested = srch.evaluate_best(res, prep.test, "event_id", in_width=prep.width, n_classes=2,
+                                world_size=2, batch_size=10, seed=seed)
+    return res, tested

@@ -95,3 +95,10 @@ def test_package_importable_from_any_directory(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env,
                          capture_output=True, text=True, timeout=300)
     assert "rows 50" in out.stdout, out.stderr[-2000:]
+
+
+def test_imbalanced_search_job(spark):
+    res, tested = jobs.imbalanced_search_job(spark, SF001, num_trials=3, max_epochs=2)
+    t = res.trials.select("num_workers").distinct().collect()
+    assert [r.num_workers for r in t] == [1]
+    assert res.reports.count() >= 3 and tested.count() == 2

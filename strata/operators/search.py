@@ -140,7 +140,7 @@ def asha_prune(reports: DataFrame, max_t: int, grace_period: int = 1,
          .rowsBetween(Window.unboundedPreceding, -1))
     stopped = None
     outs = []
-    for m in ms:
+    for pos, m in enumerate(ms):
         cand = first.filter(F.col("rung") == m)
         if stopped is not None:
             cand = cand.join(stopped, "trial_id", "left_anti")
@@ -150,7 +150,8 @@ def asha_prune(reports: DataFrame, max_t: int, grace_period: int = 1,
         dec = dec.withColumn("stop", F.coalesce(worse, F.lit(False)).cast("int"))
         # decisions of this rung feed every later one: write the (small)
         # table to the shared checkpoint folder so plans stay linear in rungs
-        dec = _checkpoint(dec)
+        if pos < len(ms) - 1:
+            dec = _checkpoint(dec)
         outs.append(dec)
         s = dec.filter(F.col("stop") == 1).select("trial_id")
         stopped = s if stopped is None else stopped.unionByName(s)

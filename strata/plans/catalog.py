@@ -955,3 +955,13 @@ def f8_epoch_loop_fixed_order(spark, sf_dir):
     dropped, whole-test-set loss and accuracy after every epoch."""
     from strata.plans.jobs import multiclass_job
     return multiclass_job(spark, sf_dir, epochs=3, batch_size=5, seed=SEED).metrics
+
+
+@query("h5_resampled_search_reports")
+def h5_resampled_search_reports(spark, sf_dir):
+    """H5 on the rare-positive table: split, scale on train, SMOTE(0.03) +
+    undersample(0.3) on the train split, 3 trials (one worker each) with
+    successive halving."""
+    from strata.plans.jobs import imbalanced_search_job
+    res, _ = imbalanced_search_job(spark, sf_dir, num_trials=3, max_epochs=3, seed=SEED)
+    return res.reports

@@ -177,8 +177,8 @@ class SmoteResult:
 
 def smote_rows(minority: DataFrame, key: str, features: str, n_new: int, seed: object,
                k: int = 5, neighbours: DataFrame | None = None,
-               n_min: int | None = None) -> SmoteResult:
-    """``n_new`` synthetic rows ``(key = -(i+1), features)`` from a minority
+               n_min: int | None = None, key_offset: int = 0) -> SmoteResult:
+    """``n_new`` synthetic rows ``(key = -(key_offset+i+1), features)`` from a minority
     table.  Row i draws ``idx = floor(u1 * n_min * k)`` (base row =
     idx // k in the hash order of the minority, neighbour = idx % k) and a
     gap u2, from ``md5("seed:smote:i")``."""
@@ -200,7 +200,7 @@ def smote_rows(minority: DataFrame, key: str, features: str, n_new: int, seed: o
                         ["__k", "nbr_rank"])
     nb_x = minority.select(F.col(key).alias("nbr_key"), F.col(features).alias("__nx"))
     syn = with_nb.join(nb_x, "nbr_key").select(
-        (-(F.col("i") + 1)).cast(minority.schema[key].dataType).alias(key),
+        (-(F.col("i") + 1 + F.lit(key_offset))).cast(minority.schema[key].dataType).alias(key),
         F.zip_with("__x", "__nx", lambda a, b: a + F.col("gap") * (b - a)).alias(features))
     return SmoteResult(syn, nbrs)
 
@@ -218,12 +218,14 @@ def _smote(df, key, label, features, ratio, seed, k, counts):
     targets = oversample_targets(counts, ratio)
     out = df.select(key, features, label)
     after = dict(counts)
+    offset = 0  # synthetic keys -(offset+1) ... stay unique across classes
     for cls, n_new in sorted(targets.items(), key=lambda t: str(t[0])):
         if n_new == 0:
             continue
         minority = df.filter(F.col(label) == F.lit(cls)).select(key, features)
         syn = smote_rows(minority, key, features, n_new, f"{seed}:{cls}" if len(targets) > 1
-                         else seed, k, n_min=counts[cls]).synthetic
+                         else seed, k, n_min=counts[cls], key_offset=offset).synthetic
+        offset += n_new
         # the synthetic rows are small (n_new rows) and the costly part to
         # recompute: write them to the shared checkpoint folder, cutting lineage
         syn = _checkpoint(syn)

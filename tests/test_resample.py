@@ -91,3 +91,18 @@ def test_top_k_ties_by_key():
     got = rs._top_k(d, 5)
     want = np.array([np.lexsort((np.arange(30), row))[:5] for row in d])
     assert (got == want).all()
+
+
+def test_smote_multiclass_targets_and_unique_keys(spark):
+    rng = np.random.default_rng(3)
+    rows, key = [], 0
+    for cls, n in (("a", 100), ("b", 10), ("c", 20)):
+        for _ in range(n):
+            rows.append((key, [float(v) for v in rng.normal(size=2)], cls))
+            key += 1
+    df = spark.createDataFrame(rows, "k long, features array<double>, y string")
+    assert rs.oversample_targets(rs.class_counts(df, "y"), 0.5) == {"b": 40, "c": 30}
+    out = rs.smote(df, "k", "y", "features", 0.5, seed=1)
+    assert rs.class_counts(out, "y") == {"a": 100, "b": 50, "c": 50}
+    keys = [r.k for r in out.collect()]
+    assert len(keys) == len(set(keys)) == 200

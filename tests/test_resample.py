@@ -106,3 +106,11 @@ def test_smote_multiclass_targets_and_unique_keys(spark):
     assert rs.class_counts(out, "y") == {"a": 100, "b": 50, "c": 50}
     keys = [r.k for r in out.collect()]
     assert len(keys) == len(set(keys)) == 200
+
+
+def test_undersample_multiclass(spark):
+    rows = [(i, "a") for i in range(100)] + [(100 + i, "b") for i in range(40)] + \
+           [(200 + i, "c") for i in range(9)]
+    df = spark.createDataFrame(rows, "k long, y string")
+    out = rs.undersample(df, "k", "y", 0.5, seed=2)
+    assert rs.class_counts(out, "y") == {"a": 18, "b": 18, "c": 9}

@@ -105,3 +105,22 @@ def test_cut_search_refuses_duplicate_digest(spark, monkeypatch):
     dup = spark.range(20).select(F.lit(7).alias("k"))
     with pytest.raises(rk.DuplicateKeyError):
         rk.cut_keys(dup, "k", [5], 1)
+
+
+def test_three_way_split_exact_and_disjoint(spark):
+    df = spark.range(1001).withColumnRenamed("id", "k")
+    parts = spl.random_split(df, "k", [0.5, 0.3, 0.2], 4)
+    sizes = [p.count() for p in parts]
+    assert sizes == spl.split_sizes(1001, [0.5, 0.3, 0.2]) and sum(sizes) == 1001
+    keys = [set(r.k for r in p.collect()) for p in parts]
+    assert not (keys[0] & keys[1]) and not (keys[1] & keys[2]) and not (keys[0] & keys[2])
+
+
+def test_composite_key_split_matches_rank(spark):
+    o = spark.read.parquet(f"{SF01}/orders.parquet").select("o_orderkey", "o_custkey")
+    n = o.count()
+    tagged = spl.assign_split(o, ["o_orderkey", "o_custkey"], [6000, n - 6000], 9, n=n)
+    ranked = rk.hash_rank(o, ["o_orderkey", "o_custkey"], 9)
+    first = {r.o_orderkey for r in ranked.filter("rank <= 6000").collect()}
+    train = {r.o_orderkey for r in tagged.filter("split = 0").collect()}
+    assert train == first and len(train) == 6000

@@ -128,3 +128,13 @@ def test_local_mode_independent_of_input_partitioning(spark):
     a = tr.train_mlp(df.repartition(7), "key", [3, 5, 2], **kw)
     b = tr.train_mlp(df.coalesce(1), "key", [3, 5, 2], **kw)
     np.testing.assert_array_equal(mlp.flatten(a.state.params), mlp.flatten(b.state.params))
+
+
+def test_eval_metrics_match_direct_scoring(spark):
+    from strata.operators.model import score
+    df = _separable(spark, 90)
+    res = tr.train_mlp(df, "key", [3, 6, 2], lr=0.02, batch_size=10, epochs=1, world_size=2,
+                       seed=3, eval_df=df)
+    m = res.metrics.first()
+    sc = score(df, res.state.params).toPandas()
+    assert abs(m.accuracy - (sc.prediction == sc.label).mean()) < 1e-12

@@ -171,7 +171,7 @@ def c4_dummies_drop_first(spark, sf_dir):
 
 @query("c5_one_hot_label", """
 SELECT e.vec_id, CAST(l.idx AS INTEGER) AS idx,
-       CASE WHEN e.label = l.label THEN 1.0 ELSE 0.0 END AS value
+       CAST(CASE WHEN e.label = l.label THEN 1.0 ELSE 0.0 END AS DOUBLE) AS value
 FROM embeddings e
 CROSS JOIN (SELECT label, row_number() OVER (ORDER BY label) - 1 AS idx
             FROM (SELECT DISTINCT label FROM embeddings)) l""")
@@ -395,7 +395,8 @@ padded AS (SELECT label, prediction, trnk - 1 AS pos FROM test_ranked
            UNION ALL
            SELECT label, prediction, trnk - 1 + tn AS pos FROM test_ranked
            WHERE trnk <= (3 - tn % 3) % 3)
-SELECT CAST(pos % 3 AS INTEGER) AS shard, sum(CAST(prediction = label AS BIGINT)) AS correct,
+SELECT CAST(pos % 3 AS INTEGER) AS shard,
+       CAST(sum(CAST(prediction = label AS BIGINT)) AS BIGINT) AS correct,
        count(*) AS rows,
        round(sum(CAST(prediction = label AS BIGINT)) / CAST((SELECT count(*) FROM test) // 3 AS DOUBLE), 9) AS accuracy
 FROM padded GROUP BY shard""")

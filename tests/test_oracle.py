@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as se
 from tests.conftest import SF001
-from tools.oracle_check import compare, duck_connect
+from tools.oracle_check import compare, duck_connect, type_mismatches
 
 SQL = se.oracle_sql()
 FAST_ROWS_ONLY = {"f9_train_sync_reports", "f11_resume_reports"}
@@ -17,9 +17,10 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, duck, name):
-    spdf = se.queries()[name](spark, SF001).toPandas()
-    dpdf = duck.sql(SQL[name]).df()
-    assert compare(spdf, dpdf) is None
+    sdf = se.queries()[name](spark, SF001)
+    rel = duck.sql(SQL[name])
+    assert type_mismatches(sdf.dtypes, rel) == []
+    assert compare(sdf.toPandas(), rel.df()) is None
 
 
 @pytest.mark.parametrize("name", sorted(FAST_ROWS_ONLY))

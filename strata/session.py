@@ -50,11 +50,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint folder; only when unset (tests, local
-    bench) create a fresh scratch folder and register it."""
+    """The session's checkpoint folder; only a local session (one machine, so
+    one disk) that has none gets a fresh scratch folder.  On a cluster an unset
+    folder raises: a folder of one machine is not seen by the others."""
     try:
         return checkpoint_dir(spark)
     except RuntimeError:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise
         d = tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
@@ -74,7 +77,6 @@ def materialize(df, name: str = "table"):
     pushdown on the written table."""
     import uuid
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     path = scratch_path(spark, "tables", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.parquet(path)

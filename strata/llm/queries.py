@@ -8,8 +8,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import mixing
-from strata.llm.common import remainder, table
+from strata.llm import mixing, quality, toxicity
+from strata.llm.common import labelled_sample, remainder, table
+
+
+#: Labelled texts that a classifier is fitted on, at most.
+MAX_TRAIN = 8_000
+
+
+def _held_out(mod: int, rest: int) -> F.Column:
+    return F.coalesce(remainder("doc_id", mod) == rest, F.lit(False))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; learned from rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    sample = labelled_sample(docs, table(spark, sf_dir, "labels"), "quality",
+                             ~_held_out(4, 2), MAX_TRAIN)
+    scored = quality.score(docs, quality.train(sample))
+    return scored.select("doc_id", _held_out(4, 2).alias("held_out"), "score",
+                         (F.col("score") >= quality.KEEP).cast("int").alias("predicted"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; learned from rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    sample = labelled_sample(docs, table(spark, sf_dir, "labels"), "toxic",
+                             ~_held_out(5, 0), MAX_TRAIN)
+    scored = toxicity.score(docs, toxicity.train(sample))
+    return scored.select("doc_id", _held_out(5, 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +52,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_quality": op4_quality,
+    "op7_toxicity": op7_toxicity,
     "op9_mixing": op9_mixing,
 }
 ORACLE: dict[str, str] = {"op9_mixing": mixing.ORACLE}

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,7 +58,7 @@ def slices(batch: pa.RecordBatch, text_col: str, limit: int = SLICE_BYTES
     if n == 0:
         return
     col = batch.column(batch.schema.get_field_index(text_col))
-    size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(col), 0), np.int64)
+    size = np.asarray(pc.fill_null(pc.binary_length(col), 0), np.int64)
     run = np.cumsum(size) // limit
     cuts = [0, *(np.flatnonzero(np.diff(run)) + 1), n]
     for a, b in zip(cuts, cuts[1:]):
@@ -68,7 +69,7 @@ def slices(batch: pa.RecordBatch, text_col: str, limit: int = SLICE_BYTES
 def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and the n + 1 offsets of its rows (null: empty)."""
     col = col.cast(pa.large_binary()) if not pa.types.is_large_binary(col.type) else col
-    col = pa.compute.fill_null(col, b"")
+    col = pc.fill_null(col, b"")
     _, offs, data = col.buffers()
     offsets = np.frombuffer(offs, np.int64)[col.offset:col.offset + len(col) + 1]
     raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)

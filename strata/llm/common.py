@@ -138,13 +138,33 @@ def mix64(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(31))
 
 
+def hash_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray, chunk: int = SLICE_BYTES
+               ) -> np.ndarray:
+    """Hash of ``data[begin:end]`` for ascending spans that do not overlap.
+
+    A polynomial in 64-bit integers over random byte values, finalised; equal
+    spans have equal hashes on every machine.
+    """
+    hashes = np.empty(len(begin), np.uint64)
+    done = 0
+    while done < len(begin):         # bounded steps of about ``chunk`` bytes
+        last = max(done + 1, int(np.searchsorted(end, begin[done] + chunk, "right")))
+        a, z = int(begin[done]), int(end[last - 1])
+        with np.errstate(over="ignore"):
+            sums = np.zeros(z - a + 1, np.uint64)
+            np.cumsum(_BYTE[data[a:z]] * _powers(_P, z - a), out=sums[1:])
+            s, e = begin[done:last] - a, end[done:last] - a
+            hashes[done:last] = mix64((sums[e] - sums[s]) * _powers(_P_INV, z - a + 1)[s]
+                                      + (e - s).astype(np.uint64))
+        done = last
+    return hashes
+
+
 def words_of(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray, chunk: int = SLICE_BYTES
              ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, first byte, last byte (exclusive) and row of every word.
 
     A word is a run of bytes that ``table`` does not map to 0, within one row.
-    The hash is a polynomial in 64-bit integers over random byte values,
-    finalised; equal words have equal hashes on every machine.
     """
     mapped = table[raw]
     on = mapped != 0
@@ -156,17 +176,6 @@ def words_of(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray, chunk: int
     begin, end = cuts[:-1], cuts[1:]
     good = on[begin] if len(begin) else np.empty(0, bool)
     begin, end = begin[good], end[good]
-    hashes = np.empty(len(begin), np.uint64)
-    done = 0
-    while done < len(begin):         # bounded steps: a word run per ~chunk bytes
-        last = max(done + 1, int(np.searchsorted(end, begin[done] + chunk, "right")))
-        a, z = int(begin[done]), int(end[last - 1])
-        with np.errstate(over="ignore"):
-            sums = np.zeros(z - a + 1, np.uint64)
-            np.cumsum(_BYTE[mapped[a:z]] * _powers(_P, z - a), out=sums[1:])
-            s, e = begin[done:last] - a, end[done:last] - a
-            hashes[done:last] = mix64((sums[e] - sums[s]) * _powers(_P_INV, z - a + 1)[s]
-                                      + (e - s).astype(np.uint64))
-        done = last
+    hashes = hash_spans(mapped, begin, end, chunk)
     row = np.searchsorted(offsets, begin, "right") - 1
     return hashes, begin, end, row

@@ -3,13 +3,15 @@ the operators return, over whole tables, with production parameters."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import mixing, quality, toxicity
+from strata.llm import dac, mixing, quality, toxicity
 from strata.llm.common import labelled_sample, remainder, table
+from strata.session import scratch_path
 
 
 #: Labelled texts that a classifier is fitted on, at most.
@@ -20,6 +22,24 @@ def _held_out(mod: int, rest: int) -> F.Column:
     return F.coalesce(remainder("doc_id", mod) == rest, F.lit(False))
 
 
+def tokenizer_path() -> str:
+    """The public byte-level tokenizer file (installed with the library on every machine)."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own in the shared checkpoint folder."""
+    return scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
+
+
+def op3_dac_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, read back: place, length and crc32 of each."""
+    path = new_folder(spark, "tokens")
+    dac.write(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return dac.digest(spark, path)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; learned from rows that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -52,6 +72,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_dac_tokens": op3_dac_tokens,
     "op4_quality": op4_quality,
     "op7_toxicity": op7_toxicity,
     "op9_mixing": op9_mixing,

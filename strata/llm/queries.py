@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import dac, mixing, quality, toxicity
+from strata.llm import contamination, dac, mixing, quality, toxicity
 from strata.llm.common import labelled_sample, remainder, table
 from strata.session import scratch_path
 
@@ -60,6 +60,16 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows found in every document."""
+    path = new_folder(spark, "postings")
+    contamination.write_index(table(spark, sf_dir, "documents"), path)
+    found = contamination.contamination(spark, path, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        contamination.is_contaminated().alias("contaminated"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies and words taken of every document in the 1-2-3 mix of sources."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -75,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_dac_tokens": op3_dac_tokens,
     "op4_quality": op4_quality,
     "op7_toxicity": op7_toxicity,
+    "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
 }
-ORACLE: dict[str, str] = {"op9_mixing": mixing.ORACLE}
+ORACLE: dict[str, str] = {"op8_decontamination": contamination.ORACLE, "op9_mixing": mixing.ORACLE}

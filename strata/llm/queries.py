@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import contamination, dac, mixing, quality, toxicity
+from strata.llm import contamination, dac, mixing, quality, secrets, toxicity
 from strata.llm.common import labelled_sample, remainder, table
 from strata.session import scratch_path
 
@@ -50,6 +50,16 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= quality.KEEP).cast("int").alias("predicted"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: base findings and what the network adds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.train(docs))
+    count = lambda kind: F.size(F.filter("findings", lambda f: f.kind == kind)).cast("long")
+    return found.select("doc_id", *(count(k).alias(f"n_{k}") for k in secrets.KINDS),
+                        F.sha2(secrets.joined("findings", base_only=True), 256).alias("base_sha256"),
+                        secrets.joined("findings").alias("spans"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; learned from rows that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -84,6 +94,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_dac_tokens": op3_dac_tokens,
     "op4_quality": op4_quality,
+    "op5_secrets": op5_secrets,
     "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import contamination, dac, mixing, quality, secrets, toxicity
+from strata.llm import contamination, dac, mixing, quality, secrets, simhash, toxicity
 from strata.llm.common import labelled_sample, remainder, table
 from strata.session import scratch_path
 
@@ -91,6 +91,13 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("_mix_copies").alias("copies"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs)
+    return found.select("doc_id", simhash.hex16("fp").alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_dac_tokens": op3_dac_tokens,
     "op4_quality": op4_quality,
@@ -98,5 +105,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
+    "op10_simhash": op10_simhash,
 }
 ORACLE: dict[str, str] = {"op8_decontamination": contamination.ORACLE, "op9_mixing": mixing.ORACLE}

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import contamination, dac, mixing, quality, secrets, simhash, toxicity
+from strata.llm import contamination, dac, mixing, quality, secrets, simhash, toxicity, wordpiece
 from strata.llm.common import labelled_sample, remainder, table
 from strata.session import scratch_path
 
@@ -33,6 +33,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
 
 
+def op2_wordpiece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and greedy word pieces of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return wordpiece.count_tokens(docs, tokenizer_path())
+
+
 def op3_dac_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, read back: place, length and crc32 of each."""
     path = new_folder(spark, "tokens")
@@ -99,6 +105,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_wordpiece_counts": op2_wordpiece_counts,
     "op3_dac_tokens": op3_dac_tokens,
     "op4_quality": op4_quality,
     "op5_secrets": op5_secrets,

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import contamination, dac, mixing, quality, secrets, simhash, toxicity, wordpiece
+from strata.llm import contamination, dac, mixing, quality, secrets, simhash, spotsigs, toxicity, wordpiece
 from strata.llm.common import labelled_sample, remainder, table
 from strata.session import scratch_path
 
@@ -33,6 +33,15 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
 
 
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edit with the next document's text."""
+    found = spotsigs.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", "edited_sha256",
+                        spotsigs.as_text("signatures").alias("fingerprint"),
+                        spotsigs.as_text("edited_signatures").alias("edited_fingerprint"),
+                        "near_edited", "near_next")
+
+
 def op2_wordpiece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words and greedy word pieces of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -105,6 +114,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_spotsigs": op1_spotsigs,
     "op2_wordpiece_counts": op2_wordpiece_counts,
     "op3_dac_tokens": op3_dac_tokens,
     "op4_quality": op4_quality,

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Bytes of text that one NumPy step works on (unless one text is longer).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -230,7 +230,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id",
         part, enc = TaskContext.get().partitionId(), encoder(tokenizer)
         ids, lengths, tokens, have, seq, start = [], [], [], 0, 0, 0
         for batch in batches:
-            for b in slices(batch, "text"):
+            for b in slices(batch, "text", 4 << 20):
                 flat, n = enc.encode(b.column(1))
                 out = np.full(len(flat) + len(n), end_id, np.int32)
                 out[np.arange(len(flat)) + np.repeat(np.arange(len(n)), n)] = flat

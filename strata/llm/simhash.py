@@ -299,8 +299,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, max_bits: int = MAX_BITS, heavy: int = HEAVY) -> DataFrame:
-    """All columns of ``docs`` but the text, plus ``fp`` and ``component_id``: the
-    smallest id that is reachable over links, the row's own included."""
+    """All columns of ``docs`` but the text, plus ``fp``, ``root`` (the component's
+    smallest fingerprint) and ``component_id``: the smallest id that is reachable
+    over links, the row's own included."""
     marked = materialize(fingerprints(docs, text_col, shingle), "fingerprints")
     distinct = materialize(marked.groupBy("fp").agg(F.min(id_col).alias("low")), "distinct")
     roots = components(links(distinct, max_bits, heavy))
@@ -308,7 +309,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = (distinct.join(roots, distinct.fp == roots.node, "left")
               .select("fp", "low", F.coalesce("root", "fp").alias("root")))
     low = member.groupBy("root").agg(F.min("low").alias("component_id"))
-    owner = member.select("fp", "root").join(low, "root").select(F.col("fp").alias("_fp"), "component_id")
+    owner = member.select("fp", "root").join(low, "root").select(F.col("fp").alias("_fp"), "root", "component_id")
     return marked.join(owner, marked.fp == F.col("_fp")).drop("_fp")
 
 

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import contamination, dac, mixing, quality, secrets, simhash, spotsigs, toxicity, wordpiece
+from strata.llm import contamination, dac, lines, mixing, quality, secrets, simhash, spotsigs, toxicity, wordpiece
 from strata.llm.common import labelled_sample, remainder, table
 from strata.session import scratch_path
 
@@ -75,6 +75,13 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.joined("findings").alias("spans"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that are copies, near copies, or stay."""
+    found = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select(F.col("doc").alias("doc_id"), "n_lines", "n_copies", "n_near",
+                        F.array_join(F.col("kept").cast("array<string>"), ",").alias("kept"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; learned from rows that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -119,9 +126,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_dac_tokens": op3_dac_tokens,
     "op4_quality": op4_quality,
     "op5_secrets": op5_secrets,
+    "op6_line_dedup": op6_line_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
     "op10_simhash": op10_simhash,
 }
-ORACLE: dict[str, str] = {"op8_decontamination": contamination.ORACLE, "op9_mixing": mixing.ORACLE}
+ORACLE: dict[str, str] = {"op6_line_dedup": lines.ORACLE, "op8_decontamination": contamination.ORACLE, "op9_mixing": mixing.ORACLE}

@@ -79,7 +79,9 @@ def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def map_texts(df: DataFrame, fields: dict[str, str], fn: Callable[..., dict],
               text_col: str = "text") -> DataFrame:
     """Replace the text column by ``fields`` (name -> SQL type), computed by
-    ``fn(text column as an Arrow array) -> {name: array}`` slice by slice."""
+    ``fn(text column as an Arrow array) -> {name: array}`` slice by slice.  Other
+    columns pass through; one that is named like a field is replaced."""
+    df = df.drop(*(n for n in fields if n != text_col))
     keep = [f for f in df.schema.fields if f.name != text_col]
     schema = T.StructType(keep + [T.StructField(n, T._parse_datatype_string(t))
                                   for n, t in fields.items()])

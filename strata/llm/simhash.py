@@ -24,7 +24,7 @@ links, each written to the shared folder.
 Defined results: a text without words (null, empty, blank) has fingerprint zero
 and is linked like any other; a text of fewer words than a shingle is one
 shingle; repeated rows link; a component of null ids only has a null
-component id; an empty table gives no rows; extra columns are not touched.
+component id; an empty table gives no rows; other columns are left out.
 """
 
 from __future__ import annotations
@@ -298,11 +298,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = SHINGLE, max_bits: int = MAX_BITS, heavy: int = HEAVY) -> DataFrame:
-    """All columns of ``docs`` but the text, plus ``fp``, ``root`` (the component's
+                    shingle: int = SHINGLE, max_bits: int = MAX_BITS, heavy: int = HEAVY,
+                    keep: tuple[str, ...] = ()) -> DataFrame:
+    """The id (and columns ``keep``) of every row, plus ``fp``, ``root`` (the component's
     smallest fingerprint) and ``component_id``: the smallest id that is reachable
     over links, the row's own included."""
-    marked = materialize(fingerprints(docs, text_col, shingle), "fingerprints")
+    rows = docs.select(id_col, *keep, text_col)
+    marked = materialize(fingerprints(rows, text_col, shingle), "fingerprints")
     distinct = materialize(marked.groupBy("fp").agg(F.min(id_col).alias("low")), "distinct")
     roots = components(links(distinct, max_bits, heavy))
     # Linked fingerprints take the smallest id of their component.

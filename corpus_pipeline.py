@@ -27,34 +27,34 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     The classifier learns from the labels of the rows of this input that are not held out."""
     keep = ~F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
     model = quality.train(labelled_sample(docs, table(spark, sf_dir, "labels"), "quality", keep, MAX_TRAIN))
-    scored = quality.score(docs.withColumn("_seen", F.col("text")), model, "_seen", "_score")
-    return scored.where(F.col("_score") >= quality.KEEP).select(*docs.columns)
+    scored = quality.score(docs.withColumn("_pipe_seen", F.col("text")), model, "_pipe_seen", "_pipe_score")
+    return scored.where(F.col("_pipe_score") >= quality.KEEP).select(*docs.columns)
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component: the smallest id, then the
     smallest hash of the text; of repeated rows one."""
     same = F.xxhash64("text")
-    found = simhash.near_duplicates(docs.select("doc_id", same.alias("_same"), "text"))
+    found = simhash.near_duplicates(docs.select("doc_id", same.alias("_pipe_same"), "text"), keep=("_pipe_same",))
     # Per component one (id, text hash), pre-aggregated: a component may hold a third of all rows.
-    first = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("_same").alias("s"))
+    first = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("_pipe_same").alias("s"))
     keep = found.groupBy("root").agg(F.min(first).alias("k")).select(
-        F.col("k.d").alias("_d"), F.col("k.s").alias("_s"))
-    kept = docs.withColumn("_same", same).join(
-        keep, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_same") == F.col("_s")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_same"]).select(*docs.columns)
+        F.col("k.d").alias("_pipe_d"), F.col("k.s").alias("_pipe_s"))
+    kept = docs.withColumn("_pipe_same", same).join(
+        keep, F.col("doc_id").eqNullSafe(F.col("_pipe_d")) & (F.col("_pipe_same") == F.col("_pipe_s")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_pipe_same"]).select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words lie in benchmark passages."""
     path = new_folder(spark, "postings")
-    keyed = docs.withColumn("_key", F.struct("doc_id", F.xxhash64("text").alias("same")))
-    contamination.write_index(keyed, path, id_col="_key")
+    keyed = docs.withColumn("_pipe_key", F.struct("doc_id", F.xxhash64("text").alias("same")))
+    contamination.write_index(keyed, path, id_col="_pipe_key")
     found = contamination.contamination(spark, path, table(spark, sf_dir, "benchmark"))
     bad = found.where(contamination.is_contaminated()).select(
-        F.col("doc_id.doc_id").alias("_d"), F.col("doc_id.same").alias("_s")).distinct()
-    return (docs.withColumn("_same", F.xxhash64("text"))
-            .join(bad, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_same") == F.col("_s")), "left_anti")
+        F.col("doc_id.doc_id").alias("_pipe_d"), F.col("doc_id.same").alias("_pipe_s")).distinct()
+    return (docs.withColumn("_pipe_same", F.xxhash64("text"))
+            .join(bad, F.col("doc_id").eqNullSafe(F.col("_pipe_d")) & (F.col("_pipe_same") == F.col("_pipe_s")), "left_anti")
             .select(*docs.columns))
 
 

@@ -1,7 +1,7 @@
 """Min-max scaling, label encoding, drop-first dummies, one-hot labels.
 
 Fitting is a small aggregate job whose result (a handful of numbers, or the
-sorted level list of a categorical column) is held by a model object and can
+sorted level list of a column that becomes dummies) is held by a model object and can
 be exported as a table and re-applied to new data (unlike a re-fitted
 encoder whose mapping is lost).  Applying is a pure projection: fitted
 values are inlined as literals, so the plan stays one codegen stage with no
@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 from strata.functions.vectors import one_hot
 
-MAX_LEVELS = 4096  # a categorical column with more levels is not a category
+#: Widest column that becomes 0/1 columns (C4) or an inlined level list; label
+#: codes (C3) have no such limit.
+MAX_WIDTH = 4096
 
 
 # ---------------------------------------------------------------- min-max
@@ -116,45 +118,56 @@ class LabelEncoderModel:
 
 
 def label_encoder_fit(df: DataFrame, cols: Sequence[str],
-                      max_levels: int = MAX_LEVELS) -> LabelEncoderModel:
-    """C3 fit: sorted distinct non-null values per column.
-
-    Two jobs whatever the number of columns: a HyperLogLog cardinality check
-    (bounded memory) that refuses id-like columns, then one shuffle of the
-    distinct (column, value) pairs, at most ``len(cols) * max_levels`` rows,
-    which is what reaches the driver."""
-    cols = list(cols)
-    card = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).collect()[0]
-    for c in cols:
-        if card[c] > max_levels * 1.1:
-            raise ValueError(f"column {c} has about {card[c]} levels (> {max_levels})")
-    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
-                      for c in cols])
-    rows = (df.select(F.explode(pairs).alias("p")).select("p.c", "p.v")
-            .where(F.col("v").isNotNull()).distinct().collect())
-    types = dict(df.dtypes)
-    levels: dict[str, list] = {c: [] for c in cols}
-    for r in rows:
-        levels[r["c"]].append(_native(r["v"], types[r["c"]]))
+                      max_width: int = MAX_WIDTH) -> LabelEncoderModel:
+    """C3 fit for dummies: the sorted distinct non-null values of each column,
+    in the column's own type and Spark's order of it.
+
+    The values become columns or literals, so at most ``max_width`` of one
+    column come to the driver; a wider column raises (``label_encode`` takes any)."""
+    levels: dict[str, list] = {}
     for c in cols:
-        if len(levels[c]) > max_levels:
-            raise ValueError(f"column {c} has more than {max_levels} levels")
-        levels[c].sort()
+        rows = (df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c)
+                .limit(max_width + 1).collect())
+        if len(rows) > max_width:
+            raise ValueError(f"column {c} has more than {max_width} levels")
+        levels[c] = [r[0] for r in rows]
     return LabelEncoderModel(levels)
 
 
-def _native(v: str, dtype: str):
-    if dtype in ("tinyint", "smallint", "int", "bigint"):
-        return int(v)
-    if dtype in ("float", "double"):
-        return float(v)
-    if dtype == "boolean":
-        return v == "true"
-    return v
+def level_table(df: DataFrame, col: str) -> DataFrame:
+    """C3 fit as a table ``(level, code)`` of any size: the distinct non-null
+    values are range-partitioned and sorted, and a code is the place in the
+    partition plus the counts of the partitions before it (one number per
+    partition reaches the driver)."""
+    from strata.session import materialize
+    spark = df.sparkSession
+    placed = (df.select(F.col(col).alias("level")).where(F.col("level").isNotNull()).distinct()
+              .repartitionByRange("level").sortWithinPartitions("level")
+              .select("level", F.monotonically_increasing_id().alias("id")))
+    placed = materialize(placed, "levels").select(
+        "level", F.shiftright("id", 33).alias("part"),
+        F.col("id").bitwiseAND(F.lit((1 << 33) - 1)).alias("place"))
+    before, base = 0, []
+    for r in placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect():
+        base.append((r["part"], before))
+        before += r["n"]
+    offsets = spark.createDataFrame(base, "part long, before long")
+    return placed.join(F.broadcast(offsets), "part").select(
+        "level", (F.col("before") + F.col("place")).alias("code"))
 
 
 def label_encode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return label_encoder_fit(df, cols).encode(df, cols)
+    """Replace each column by the rank of its value among the column's
+    sorted distinct values (null stays null).  Any type and any number of
+    levels: the level table is joined, so Spark broadcasts a small one and
+    shuffles a large one."""
+    out = df
+    for c in cols:
+        lv = level_table(df, c).select(F.col("level").alias("__level"),
+                                       F.col("code").cast("int").alias("__code"))
+        out = out.join(lv, F.col(c) == F.col("__level"), "left").withColumn(
+            c, F.col("__code")).drop("__level", "__code")
+    return out
 
 
 def get_dummies(df: DataFrame, cols: Sequence[str], drop_first: bool = True) -> DataFrame:

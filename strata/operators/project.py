@@ -66,10 +66,10 @@ def cast_features(df: DataFrame, cols: Sequence[str], dtype: str = "float") -> D
     return df.withColumns({c: F.col(c).cast(dtype) for c in cols})
 
 
-def concat_columns(features: DataFrame, label: DataFrame, key: str) -> DataFrame:
-    """Glue label columns to feature columns of the same rows by key
-    (never a positional zip)."""
-    return features.join(label, key)
+def concat_columns(df: DataFrame, features: Sequence[str], label: str | Sequence[str]) -> DataFrame:
+    """Feature columns and label columns side by side.  Both come from the
+    same rows, so this is a projection: no join and no positional zip."""
+    return df.select(*features, *as_list(label))
 
 
 def overwrite(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
@@ -94,6 +94,13 @@ def dataset_length(df: DataFrame) -> int:
     return df.count()
 
 
-def fetch_rows(df: DataFrame, pos_col: str, positions: Sequence[int]) -> DataFrame:
-    """Rows at given 0-based positions (``pos_col`` from E0/E3)."""
-    return df.filter(F.col(pos_col).isin([int(p) for p in positions]))
+def fetch_rows(df: DataFrame, pos_col: str, positions: Sequence[int] | DataFrame) -> DataFrame:
+    """Rows at given 0-based positions (``pos_col`` from E0/E3).
+    ``request`` is the place in the request; a position asked for twice comes twice.
+
+    ``positions`` is a short list, or a table ``(request, <pos_col>)`` of any
+    size: both are joined, so Spark broadcasts what is small and shuffles what is not."""
+    if not isinstance(positions, DataFrame):
+        positions = df.sparkSession.createDataFrame(
+            [(i, int(p)) for i, p in enumerate(positions)], f"request long, {pos_col} long")
+    return df.join(positions.select("request", pos_col), pos_col)

@@ -3,14 +3,16 @@
 Rows are ordered by ``(md5("<seed>:...:<key>"), key)``.  md5 digests are
 uniform, so a prefix of the hex digest is a balanced bucket id whatever the
 key distribution (a unique key is required; the digest of equal keys is
-equal).  Two plans are offered:
+equal).  A null key fails the query; so does a repeated one wherever it would
+make an order or a cut ambiguous.  Two plans are offered:
 
 ``hash_rank``   every row gets its 1-based rank.  One shuffle by bucket
                 (window ``row_number`` inside a bucket) plus a broadcast of
                 the per-bucket offsets; the offset table has at most
-                ``16 ** BUCKET_DIGITS`` rows, a fixed bound.  A bucket far
-                above its binomial size means a non-unique key and is
-                refused rather than ranked in one task.
+                ``16 ** BUCKET_DIGITS`` rows, a fixed bound.  Two neighbours
+                with one digest mean a repeated key and fail the query; a
+                bucket far above its binomial size is refused before it is
+                ranked in one task.
 
 ``cut_keys``    only the rows at a few target ranks are found (the last row
                 of each split).  Bucket counts are refined digit group by
@@ -29,21 +31,27 @@ from pyspark.sql import functions as F
 from strata.functions.hashing import as_list, row_hash
 
 BUCKET_DIGITS = 4          # 65,536 buckets per refinement level
-FINAL_BUCKET_ROWS = 200_000  # rank a boundary bucket directly below this size
+FINAL_BUCKET_ROWS = 200_000  # refine a boundary bucket until it is no larger than this
 HASH = "__h"
 
 
+NULL_MESSAGE = "null ordering key: rows cannot be ordered, split or sampled by it"
+DUPLICATE_MESSAGE = "the ordering key is not unique"
+
+
 def with_hash(df: DataFrame, key: str | Sequence[str], *parts: object) -> DataFrame:
-    return df.withColumn(HASH, row_hash(key, *parts))
+    """Add the digest; a row with a null in its key fails the query."""
+    null = F.lit(False)
+    for k in as_list(key):
+        null = null | F.col(k).isNull()
+    return df.withColumn(HASH, F.when(null, F.raise_error(F.lit(NULL_MESSAGE)).cast("string"))
+                         .otherwise(row_hash(key, *parts)))
 
 
 class DuplicateKeyError(ValueError):
     """The ordering key is not unique (a hot group of equal keys)."""
 
 
-DUPLICATE_MESSAGE = "hash bucket far above its expected size: the ordering key is not unique"
-
-
 def _bucket_limit(total: Column) -> Column:
     """md5 buckets of distinct keys are binomial with mean total/16^d; a
     bucket above this limit holds a hot group of equal keys."""
@@ -52,15 +60,15 @@ def _bucket_limit(total: Column) -> Column:
 
 
 def hash_rank(df: DataFrame, key: str | Sequence[str], seed: object, *salt: object,
-              rank_col: str = "rank", with_count: bool = False):
+              rank_col: str = "rank") -> DataFrame:
     """Add ``rank_col`` (1..n, long) ordering rows by ``(md5(seed:salt:key), key)``.
 
     One shuffle by bucket (``row_number`` inside a bucket) and a broadcast
     join of the per-bucket offsets, computed in the same plan from the bucket
-    counts (at most 65,536 rows, a fixed bound).  The offsets carry a guard:
-    a bucket far above its binomial size (a non-unique key) fails the query
-    instead of being ranked in one task.  ``with_count`` also returns the
-    row count (one count job)."""
+    counts (at most 65,536 rows, a fixed bound).  Equal keys have equal
+    digests, so they are neighbours in a bucket: the same window fails the
+    query on a repeated key.  The offsets carry a guard against a hot key:
+    a bucket far above its binomial size fails before it is ranked."""
     keys = as_list(key)
     hd = with_hash(df, keys, seed, *salt).withColumn(
         "__b", F.substring(F.col(HASH), 1, BUCKET_DIGITS))
@@ -72,13 +80,15 @@ def hash_rank(df: DataFrame, key: str | Sequence[str], seed: object, *salt: obje
         "__b", (F.coalesce(before, F.lit(0)) + F.coalesce(guard.cast("long"), F.lit(0)))
         .alias("__off"))
     w = Window.partitionBy("__b").orderBy(HASH, *keys)
-    ranked = hd.withColumn("__rn", F.row_number().over(w))
+    repeated = F.coalesce(F.lag(HASH).over(w) == F.col(HASH), F.lit(False))
+    ranked = hd.withColumn("__rn", F.row_number().over(w)).withColumn(
+        "__rn", F.when(repeated, F.raise_error(F.lit(DUPLICATE_MESSAGE)).cast("int"))
+        .otherwise(F.col("__rn")))
     # left join: every bucket has an offset, and an inner join would make
     # Catalyst push a second md5 evaluation down as an inferred not-null filter
     out = ranked.join(F.broadcast(offsets), "__b", "left").withColumn(
         rank_col, (F.col("__off") + F.col("__rn")).cast("long"))
-    out = out.drop("__b", "__off", "__rn", HASH)
-    return (out, df.count()) if with_count else out
+    return out.drop("__b", "__off", "__rn", HASH)
 
 
 def _tuple_le(keys: list[str], cut: tuple) -> Column:
@@ -93,12 +103,13 @@ def _tuple_le(keys: list[str], cut: tuple) -> Column:
 
 
 def cut_keys(df: DataFrame, key: str | Sequence[str], targets: Sequence[int],
-             seed: object, *salt: object, n: int | None = None) -> dict[int, tuple]:
+             seed: object, *salt: object) -> dict[int, tuple]:
     """For each 1-based target rank t, the ``(hash, key...)`` of the row at rank t.
 
     Each level is one scan of the key column and an aggregation to at most
     ``16**BUCKET_DIGITS`` counts per open bucket; only the rows answering the
-    query reach the driver.
+    query reach the driver.  A row at a target must be the only one with its
+    key, else the rows up to it are not ``target`` many: that fails.
     """
     keys = as_list(key)
     spark = df.sparkSession
@@ -107,12 +118,6 @@ def cut_keys(df: DataFrame, key: str | Sequence[str], targets: Sequence[int],
     pending = {t: ("", int(t)) for t in sorted(set(int(t) for t in targets)) if t > 0}
     found: dict[int, tuple] = {}
     plen = 0
-    if pending and n is not None and n <= FINAL_BUCKET_ROWS:
-        # small table: rank it directly (one bounded window, one job)
-        fb = spark.createDataFrame([(t, t) for t in pending], "t long, r2 long")
-        rows = (hk.withColumn("r2", F.row_number().over(Window.orderBy(HASH, *keys)).cast("long"))
-                .join(F.broadcast(fb), "r2").select("t", HASH, *keys).collect())
-        return {r["t"]: tuple(r[c] for c in [HASH, *keys]) for r in rows}
     while pending:
         nlen = min(plen + BUCKET_DIGITS, 32)
         prefixes = sorted({p for p, _ in pending.values()})
@@ -148,9 +153,12 @@ def cut_keys(df: DataFrame, key: str | Sequence[str], targets: Sequence[int],
                    .withColumn("b", F.substring(HASH, 1, nlen))
                    .withColumn("r2", F.row_number().over(
                        Window.partitionBy("b").orderBy(HASH, *keys)).cast("long"))
+                   .withColumn("same", F.count(F.lit(1)).over(Window.partitionBy("b", HASH)))
                    .join(F.broadcast(fb), ["b", "r2"])
-                   .select("t", HASH, *keys).collect())
+                   .select("t", "same", HASH, *keys).collect())
             for row in fin:
+                if row["same"] > 1:
+                    raise DuplicateKeyError(f"{row['same']} rows share the key at a cut: {DUPLICATE_MESSAGE}")
                 found[row["t"]] = tuple(row[c] for c in [HASH, *keys])
         pending = nxt
         plen = nlen

@@ -28,16 +28,20 @@ from strata.functions.hashing import uniform
 from strata.operators.model import features_matrix
 from strata.operators.rank import cut_keys, hash_rank, rank_at_most, with_hash, HASH
 
-MAX_BLOCK_BYTES = 64 * 1024 * 1024   # candidate block broadcast per kNN pass
-QUERY_CHUNK_CELLS = 8_000_000         # (query rows x candidates x dims) per NumPy step
+CELL_ROWS = 2_000             # rows of one kNN cell: what a task compares a query with
+MAX_RINGS = 4_096             # distance rings around the pivot (their bounds reach the driver)
+QUERY_CHUNK_CELLS = 8_000_000  # (query rows x candidates x dims) per NumPy step
 
 
 # ---------------------------------------------------------------- D1
 
 def class_counts(df: DataFrame, label: str) -> dict:
     """Per-class row counts (one small aggregate; k rows reach the driver)."""
-    return {r[label]: r["n"] for r in
-            df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {r[label]: r["n"] for r in
+              df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if None in counts:
+        raise ValueError(f"{counts[None]} rows have no label in column {label}")
+    return counts
 
 
 def oversample_targets(counts: dict, ratio: float) -> dict:
@@ -86,49 +90,42 @@ def _top_k(d2: np.ndarray, k: int) -> np.ndarray:
     return np.take_along_axis(idx, np.argsort(vals, axis=1, kind="stable"), axis=1)
 
 
-def _knn_block(queries: DataFrame, key: str, features: str, k: int, cand_keys: np.ndarray,
-               cand_x: np.ndarray, key_type: T.DataType) -> DataFrame:
-    """Top-k candidates of one broadcast block for every query row."""
-    sc = queries.sparkSession.sparkContext
-    order = np.argsort(cand_keys, kind="stable")
-    bc = sc.broadcast((cand_keys[order], cand_x[order]))
-    schema = T.StructType([T.StructField(key, key_type, False),
-                           T.StructField("nbr_rank", T.IntegerType(), False),
-                           T.StructField("nbr_key", key_type, False),
-                           T.StructField("d2", T.DoubleType(), False)])
-
-    def run(batches):
-        ck, cx = bc.value
-        m = len(ck)
-        for b in batches:
-            n = b.num_rows
-            if n == 0 or m == 0:
-                continue
-            qk = b.column(key).to_numpy(zero_copy_only=False)
-            qx = features_matrix(b.column(features), n)
-            step = max(1, QUERY_CHUNK_CELLS // max(1, m * qx.shape[1]))
-            out_q, out_r, out_n, out_d = [], [], [], []
-            for s in range(0, n, step):
-                xq, kq = qx[s:s + step], qk[s:s + step]
-                d2 = ((xq[:, None, :] - cx[None, :, :]) ** 2).sum(axis=2)
-                d2[kq[:, None] == ck[None, :]] = np.inf
-                kk = min(k, m)
-                idx = _top_k(d2, kk)  # (rows, kk), ordered by (d2, key)
-                dk = np.take_along_axis(d2, idx, axis=1)
-                ok = np.isfinite(dk)
-                rank = np.broadcast_to(np.arange(kk, dtype=np.int32), idx.shape)
-                out_q.append(np.broadcast_to(kq[:, None], idx.shape)[ok])
-                out_r.append(rank[ok])
-                out_n.append(ck[idx][ok])
-                out_d.append(dk[ok])
-            if out_q:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(out_q)), pa.array(np.concatenate(out_r)),
-                     pa.array(np.concatenate(out_n)),
-                     pa.array(np.concatenate(out_d), type=pa.float64())],
-                    names=[key, "nbr_rank", "nbr_key", "d2"])
-
-    return queries.select(key, features).mapInArrow(run, schema)
+def _nearest(qk: np.ndarray, qx: np.ndarray, ck: np.ndarray, cx: np.ndarray, k: int
+             ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query row, candidate row and squared distance of each query's top k by
+    (distance, key), itself excluded; candidates are in key order."""
+    out: list[tuple] = []
+    step = max(1, QUERY_CHUNK_CELLS // max(1, len(ck) * qx.shape[1]))
+    for s in range(0, len(qk), step):
+        xq, kq = qx[s:s + step], qk[s:s + step]
+        d2 = ((xq[:, None, :] - cx[None, :, :]) ** 2).sum(axis=2)
+        d2[kq[:, None] == ck[None, :]] = np.inf
+        idx = _top_k(d2, min(k, len(ck)))
+        dk = np.take_along_axis(d2, idx, axis=1)
+        row = np.broadcast_to(np.arange(s, s + len(kq))[:, None], idx.shape)
+        ok = np.isfinite(dk)
+        out.append((row[ok], idx[ok], dk[ok]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _cells(base: DataFrame, n: int) -> tuple[DataFrame, list[tuple]]:
+    """Deal rows into rings of equal counts by distance ``__r`` to the pivot, and
+    a ring with too many rows (ties) into hashed parts.  Returns the rows with
+    ``__cell`` and per cell ``(cell, smallest r, largest r)``."""
+    rings = min(MAX_RINGS, max(1, math.ceil(n / CELL_ROWS)))
+    cuts = base.agg(F.percentile_approx("__r", [i / rings for i in range(1, rings)] or [0.5], 10 * rings)
+                    ).first()[0] if rings > 1 else []
+    cuts = sorted(set(cuts))
+    ring = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]).cast("array<double>"),
+                           lambda c: c < F.col("__r")))
+    per = {r["ring"]: r for r in base.groupBy(ring.alias("ring")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("__r").alias("lo"), F.max("__r").alias("hi")).collect()}
+    parts = [max(1, math.ceil(per[i]["n"] / CELL_ROWS)) if i in per else 1 for i in range(len(cuts) + 1)]
+    first = [sum(parts[:i]) for i in range(len(parts))]
+    at = lambda xs: F.element_at(F.array(*[F.lit(x) for x in xs]), F.col("__ring") + 1)
+    dealt = base.withColumn("__ring", ring).withColumn(
+        "__cell", (at(first) + F.pmod(F.xxhash64("__k"), at(parts))).cast("int")).drop("__ring")
+    return dealt, [(first[i] + j, per[i]["lo"], per[i]["hi"]) for i in per for j in range(parts[i])]
 
 
 def knn(df: DataFrame, key: str, features: str = "features", k: int = 5,
@@ -136,35 +133,62 @@ def knn(df: DataFrame, key: str, features: str = "features", k: int = 5,
     """Exact k nearest neighbours inside ``df`` (self excluded), as rows
     ``(key, nbr_rank, nbr_key, d2)`` ordered by (squared distance, key).
 
-    Candidates are broadcast block by block (each block under
-    ``MAX_BLOCK_BYTES``); every query partition keeps only its top k per
-    block, so at most k rows per query and block are ever emitted, never all
-    pairs.  With more than one block the per-query candidates (k per block)
-    are merged by a window over the query key."""
+    Rows are written once, dealt into cells by distance r to a pivot (the mean).
+    A query first meets its own cell: the k-th distance there is a radius R.
+    As |r(q) - r(x)| <= d(q, x), only cells whose r range meets [r - R, r + R] can
+    hold something nearer, so the query goes to those alone; each cell
+    returns at most k rows of it, and a window over the query merges them.
+    Nothing but the mean vector, ring bounds and ring counts reaches the driver."""
+    from strata.session import materialize
     n = df.count() if n is None else n
     if n <= k:
         raise ValueError(f"need more than k={k} rows for k nearest neighbours, got {n}")
-    first = df.select(F.size(features).alias("d")).first()["d"]
-    nblocks = max(1, math.ceil(n * first * 8 / MAX_BLOCK_BYTES))
     key_type = df.schema[key].dataType
-    base = df.select(key, features).withColumn(
-        "__blk", F.pmod(F.xxhash64(F.col(key)), F.lit(nblocks)))
-    parts = []
-    for blk in range(nblocks):
-        rows = base.filter(F.col("__blk") == blk).select(key, features).toArrow()
-        ck = rows.column(key).to_numpy()
-        cx = features_matrix(rows.column(features), rows.num_rows)
-        parts.append(_knn_block(df, key, features, k, ck, cx, key_type))
-    if len(parts) == 1:
-        # one block: each task's top k is final, ranked in the task (no shuffle)
-        return parts[0].select(key, "nbr_rank", "nbr_key", "d2")
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    w = Window.partitionBy(key).orderBy("d2", "nbr_key")
-    return (cand.withColumn("nbr_rank", (F.row_number().over(w) - 1).cast("int"))
+    rows = materialize(df.select(F.col(key).alias("__k"), F.col(features).alias("__x")), "knn-rows")
+    width = rows.select(F.size("__x")).first()[0]
+    mean = rows.agg(F.array(*[F.avg(F.get("__x", F.lit(i))) for i in range(width)])).first()[0]
+    centre = F.array(*[F.lit(float(m)) for m in mean])
+    gap = F.zip_with("__x", centre, lambda a, b: (a - b) * (a - b))
+    base, cells = _cells(rows.withColumn("__r", F.sqrt(F.aggregate(gap, F.lit(0.0), lambda s, x: s + x))), n)
+    schema = T.StructType([T.StructField("__k", key_type, False),
+                           T.StructField("nbr_key", key_type, False),
+                           T.StructField("d2", T.DoubleType(), False)])
+
+    def run(q: pa.Table, c: pa.Table) -> pa.Table:
+        order = np.argsort(c.column("__ck").to_numpy(), kind="stable")
+        ck = c.column("__ck").to_numpy()[order]
+        cx = features_matrix(c.column("__cx").combine_chunks(), c.num_rows)[order]
+        qk = q.column("__k").to_numpy()
+        if not len(qk) or not len(ck):
+            return pa.Table.from_pydict({"__k": qk[:0], "nbr_key": ck[:0], "d2": np.empty(0)})
+        qx = features_matrix(q.column("__x").combine_chunks(), q.num_rows)
+        row, idx, d2 = _nearest(qk, qx, ck, cx, k)
+        return pa.Table.from_pydict({"__k": qk[row], "nbr_key": ck[idx], "d2": d2})
+
+    held = base.select(F.col("__cell").alias("__c"), F.col("__k").alias("__ck"), F.col("__x").alias("__cx"))
+
+    def lookup(queries: DataFrame) -> DataFrame:
+        return (queries.select("__cell", "__k", "__x").groupBy("__cell")
+                .cogroup(held.groupBy("__c")).applyInArrow(run, schema))
+
+    found = lookup(base)
+    if len(cells) > 1:
+        found = materialize(found, "knn-own-cell")
+        radius = found.groupBy("__k").agg(F.count(F.lit(1)).alias("__n"), F.max("d2").alias("__m")).select(
+            F.col("__k").alias("__q"),
+            F.when(F.col("__n") >= k, F.sqrt("__m") * (1 + 1e-9) + 1e-9).alias("__reach"))
+        ranges = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(float(lo)).alias("lo"),
+                                    F.lit(float(hi)).alias("hi")) for c, lo, hi in cells])
+        reach = F.coalesce("__reach", F.lit(math.inf))
+        others = F.filter(ranges, lambda x: (x.c != F.col("__cell")) & (x.lo <= F.col("__r") + reach)
+                          & (x.hi >= F.col("__r") - reach))
+        asked = (base.join(radius, F.col("__k") == F.col("__q"), "left")
+                 .select("__k", "__x", F.explode(F.transform(others, lambda x: x.c)).alias("__cell")))
+        found = found.unionByName(lookup(asked))
+    w = Window.partitionBy("__k").orderBy("d2", "nbr_key")
+    return (found.withColumn("nbr_rank", (F.row_number().over(w) - 1).cast("int"))
             .filter(F.col("nbr_rank") < k)
-            .select(key, "nbr_rank", "nbr_key", "d2"))
+            .select(F.col("__k").alias(key), "nbr_rank", "nbr_key", "d2"))
 
 
 # ---------------------------------------------------------------- D3
@@ -178,7 +202,7 @@ class SmoteResult:
 def smote_rows(minority: DataFrame, key: str, features: str, n_new: int, seed: object,
                k: int = 5, neighbours: DataFrame | None = None,
                n_min: int | None = None, key_offset: int = 0) -> SmoteResult:
-    """``n_new`` synthetic rows ``(key = -(key_offset+i+1), features)`` from a minority
+    """``n_new`` synthetic rows ``(key = key_offset-i-1, features)`` from a minority
     table.  Row i draws ``idx = floor(u1 * n_min * k)`` (base row =
     idx // k in the hash order of the minority, neighbour = idx % k) and a
     gap u2, from ``md5("seed:smote:i")``."""
@@ -200,7 +224,7 @@ def smote_rows(minority: DataFrame, key: str, features: str, n_new: int, seed: o
                         ["__k", "nbr_rank"])
     nb_x = minority.select(F.col(key).alias("nbr_key"), F.col(features).alias("__nx"))
     syn = with_nb.join(nb_x, "nbr_key").select(
-        (-(F.col("i") + 1 + F.lit(key_offset))).cast(minority.schema[key].dataType).alias(key),
+        (F.lit(key_offset) - F.col("i") - 1).cast(minority.schema[key].dataType).alias(key),
         F.zip_with("__x", "__nx", lambda a, b: a + F.col("gap") * (b - a)).alias(features))
     return SmoteResult(syn, nbrs)
 
@@ -218,14 +242,18 @@ def _smote(df, key, label, features, ratio, seed, k, counts):
     targets = oversample_targets(counts, ratio)
     out = df.select(key, features, label)
     after = dict(counts)
-    offset = 0  # synthetic keys -(offset+1) ... stay unique across classes
+    # synthetic keys count down from below the smallest key (0 if none is
+    # negative), so they are unique across classes and differ from all originals
+    low = df.agg(F.min(key)).first()[0] if any(targets.values()) else 0
+    offset = min(0, low or 0)
     for cls, n_new in sorted(targets.items(), key=lambda t: str(t[0])):
         if n_new == 0:
             continue
-        minority = df.filter(F.col(label) == F.lit(cls)).select(key, features)
+        # read by the neighbour search, the ranking and the draws: written once
+        minority = _checkpoint(df.filter(F.col(label) == F.lit(cls)).select(key, features))
         syn = smote_rows(minority, key, features, n_new, f"{seed}:{cls}" if len(targets) > 1
                          else seed, k, n_min=counts[cls], key_offset=offset).synthetic
-        offset += n_new
+        offset -= n_new
         # the synthetic rows are small (n_new rows) and the costly part to
         # recompute: write them to the shared checkpoint folder, cutting lineage
         syn = _checkpoint(syn)
@@ -241,17 +269,16 @@ def _checkpoint(df: DataFrame) -> DataFrame:
 
 def resample_plan(df: DataFrame, label: str, over: float = 0.03,
                   under: float = 0.3) -> DataFrame:
-    """D1 as a table: per class the count before, after SMOTE(over) and
-    after undersampling(under).  One aggregate; the window runs over one row
-    per class."""
-    w = Window.partitionBy()
-    c = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    n_maj = F.max("n").over(w)
-    c = c.withColumn("n_smote", F.when(F.col("n") == n_maj, F.col("n")).otherwise(
-        F.col("n") + F.floor(F.lit(over) * n_maj - F.col("n"))).cast("long"))
-    n_min = F.min("n_smote").over(w)
-    return c.withColumn("n_final", F.when(F.col("n_smote") == n_min, F.col("n_smote"))
-                        .otherwise(F.floor(n_min / F.lit(under))).cast("long"))
+    """D1 as a table: per class the count before, after SMOTE(over) and after
+    undersampling(under), by the rules the resamplers follow; raises where
+    they do.  One aggregate; one row per class reaches the driver."""
+    counts = class_counts(df, label)
+    after = {c: n + oversample_targets(counts, over).get(c, 0) for c, n in counts.items()}
+    final = after | undersample_targets(after, under)
+    kind = df.schema[label].dataType.simpleString()
+    return df.sparkSession.createDataFrame(
+        [(c, n, after[c], final[c]) for c, n in counts.items()],
+        f"{label} {kind}, n long, n_smote long, n_final long")
 
 
 # ---------------------------------------------------------------- D4
@@ -267,7 +294,7 @@ def undersample(df: DataFrame, key: str, label: str, ratio: float = 0.3,
     for cls, n_keep in keep.items():
         part = df.filter(F.col(label) == F.lit(cls))
         n = counts[cls]
-        cuts = cut_keys(part, key, [n_keep] if 0 < n_keep < n else [], seed, "under", n=n)
+        cuts = cut_keys(part, key, [n_keep] if 0 < n_keep < n else [], seed, "under")
         conds.append((F.col(label) == F.lit(cls)) &
                       rank_at_most([key], cuts.get(n_keep), n, n_keep))
     kept_others = ~F.col(label).isin([F.lit(c) for c in keep])

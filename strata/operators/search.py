@@ -231,8 +231,9 @@ def run_search(train_df: DataFrame, key: str, trials: DataFrame, *, in_width: in
                n_classes: int, max_epochs: int, grace_period: int = 1,
                reduction_factor: float = 2, seed: object = 0, checkpoint_path: str,
                features: str = "features", label: str = "label",
-               resume: bool = False) -> SearchResult:
-    """H5: train every trial, one job per epoch per trial chunk, with ASHA
+               resume: bool = False, shuffle: bool = True) -> SearchResult:
+    """H5: train every trial, one job per epoch for all live trials of one
+    world size (more only past the broadcast limit), with ASHA
     early stopping between epochs.  Every epoch appends its reports (A5) to
     ``<checkpoint_path>/reports`` and writes the state of every live trial
     (A4) to ``<checkpoint_path>/state``; with ``resume`` a restarted search
@@ -269,14 +270,13 @@ def run_search(train_df: DataFrame, key: str, trials: DataFrame, *, in_width: in
         for t in live:
             if start:
                 states[t] = tr.read_checkpoint(spark, state_path, t, specs[t].layers, start)
-    slots = max(1, spark.sparkContext.defaultParallelism)
     bases = {w: tr.shard_table(train_df, key, w, seed, features, label) for w in by_w}
     try:
         for epoch in range(start, max_epochs):
             if not live:
                 break
             results = _search_epoch(bases, by_w, specs, states, live, key, seed, features,
-                                    label, slots)
+                                    label, shuffle)
             tr.write_checkpoints(spark, state_path, {t: results[t][0] for t in sorted(results)})
             new = []
             for t in sorted(results):
@@ -309,39 +309,17 @@ def _read_or_none(read):
         return None
 
 
-def _search_epoch(bases, by_w, specs, states, live, key, seed, features, label, slots):
-    """One epoch for all live trials.  Trials with the same world size W
-    share the cached shard table; they are dealt into ``slots // W`` chunks
-    and each chunk is one job (every task trains the chunk's trials on its
-    shard), the jobs running concurrently.  The data is scanned once per
-    chunk, never copied per trial."""
-    from concurrent.futures import ThreadPoolExecutor
-
+def _search_epoch(bases, by_w, specs, states, live, key, seed, features, label, shuffle):
+    """One epoch for all live trials.  Trials with the same world size share the
+    cached shard table and one job: the data is sorted and scanned once per
+    epoch, and every task trains all of them on its shard."""
     from strata.operators import train as tr
-    jobs = []
-    for w, ids in sorted(by_w.items()):
-        grp = [specs[t] for t in sorted(ids) if t in live]
-        if not grp:
-            continue
-        n_chunks = max(1, min(len(grp), slots // w))
-        for c in range(n_chunks):
-            chunk = grp[c::n_chunks]
-            jobs.append((w, chunk))
     results = {}
-
-    def one(job):
-        w, chunk = job
-        got = {}
-        local = {s.trial_id: states[s.trial_id] for s in chunk}
-        tr.run_epochs(bases[w], key, chunk, local, seed, 1, features, label,
-                      on_epoch=lambda e, res: got.update(res))
-        return got
-
-    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
-        for got in pool.map(one, jobs):
-            results.update(got)
-    for t, (st, _, _) in results.items():
-        states[t] = st
+    for w, ids in sorted(by_w.items()):
+        group = [specs[t] for t in sorted(ids) if t in live]
+        if group:
+            tr.run_epochs(bases[w], key, group, states, seed, 1, features, label, shuffle,
+                          on_epoch=lambda e, res: results.update(res))
     return results
 
 

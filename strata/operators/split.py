@@ -52,7 +52,7 @@ def assign_split(df: DataFrame, key: str | Sequence[str], sizes: Sequence[int],
     for s in sizes[:-1]:
         acc += s
         bounds.append(acc)
-    cuts = cut_keys(df, keys, [b for b in bounds if 0 < b < n], seed, *salt, n=n)
+    cuts = cut_keys(df, keys, [b for b in bounds if 0 < b < n], seed, *salt)
     part = F.lit(len(sizes) - 1)
     for i in reversed(range(len(bounds))):
         part = F.when(rank_at_most(keys, cuts.get(bounds[i]), n, bounds[i]), F.lit(i)) \
@@ -93,10 +93,10 @@ def batches(df: DataFrame, key: str | Sequence[str], batch_size: int, seed: obje
     E5 drop_last=False)."""
     if batch_size <= 0:
         raise ValueError("batch size must be positive")
-    out, counted = hash_rank(df, key, seed, *salt, rank_col="__r", with_count=True)
+    out = hash_rank(df, key, seed, *salt, rank_col="__r")
     out = out.withColumn(batch_col, F.floor((F.col("__r") - 1) / F.lit(batch_size)).cast("long"))
     if drop_last:
-        n = counted if n is None else n
+        n = df.count() if n is None else n
         out = out.filter(F.col(batch_col) < F.lit(n // batch_size))
     return out.drop("__r")
 
@@ -119,8 +119,9 @@ def shards(df: DataFrame, key: str | Sequence[str], world_size: int, seed: objec
     length, as a distributed sampler does."""
     if world_size <= 0:
         raise ValueError("world size must be positive")
-    ranked, counted = hash_rank(df, key, seed, *salt, rank_col="__r", with_count=True)
-    n = counted if n is None else n
+    ranked = hash_rank(df, key, seed, *salt, rank_col="__r")
+    if n is None and (pad or with_count):
+        n = df.count()
     extra = (-n) % world_size if pad else 0
     if extra > n:
         raise ValueError("cannot pad: fewer rows than shards")

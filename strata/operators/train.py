@@ -26,12 +26,13 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from strata.functions.hashing import row_hash
 from strata.operators import mlp
 from strata.operators.model import (MAX_MODEL_BYTES, check_model_size, features_matrix,
                                     score, with_loss)
-from strata.operators.split import batches, shards, worker_batch_size
+from strata.operators.split import shards, worker_batch_size
 
 
 @dataclass
@@ -72,69 +73,117 @@ class TrainResult:
 
 # ---------------------------------------------------------------- F6 / F7 as tables
 
-def _gradient_parts(df: DataFrame, params: mlp.Params, features: str, label: str
-                    ) -> tuple[DataFrame, list]:
-    """Per-partition gradient sums as rows ``(layer, i, j, gsum, n)``; the
-    row ``(-1, -1, -2, loss_sum, n)`` carries the loss sum."""
+#: Parameters per row of a partial sum: rows per task stay few, whatever the model.
+CHUNK_PARAMS = 8192
+#: Partial sums that one task adds; more are added in two rounds.
+FAN_IN = 64
+
+
+def _chunked(vec: np.ndarray) -> list[np.ndarray]:
+    return [vec[a:a + CHUNK_PARAMS] for a in range(0, max(1, len(vec)), CHUNK_PARAMS)]
+
+
+def _add_rows(parts: DataFrame, keys: list[str], arrays: list[str], sums: list[str],
+              largest: Sequence[str] = ()) -> DataFrame:
+    """Add partial rows element by element, in the order of their ``src``.
+
+    Two rounds (by ``src // FAN_IN``, then all), so a task adds at most ``FAN_IN``
+    rows of one task each, or one row per group; the order is fixed, so sums are
+    bit-identical however the shuffle delivers them."""
+    schema = parts.schema
+    cols = [*keys, "src", *arrays, *sums, *largest]
+
+    def add(t: pa.Table) -> pa.Table:
+        order = np.argsort(t.column("src").to_numpy(), kind="stable")
+        t = t.take(pa.array(order))
+        out = {c: [t.column(c)[0].as_py()] for c in [*keys, "src"]}
+        for a in arrays:
+            rows = [np.asarray(x.values) for x in t.column(a).combine_chunks()]
+            total = rows[0].copy()
+            for x in rows[1:]:
+                total += x
+            out[a] = [total]
+        for c in sums:
+            total = 0
+            for x in t.column(c).to_pylist():
+                total += x
+            out[c] = [total]
+        for c in largest:
+            out[c] = [max(t.column(c).to_pylist())]
+        return pa.Table.from_pydict(out, schema=to_arrow_schema(T.StructType([schema[c] for c in cols])))
+
+    kind = T.StructType([schema[c] for c in cols])
+    first = (parts.select(*cols).withColumn("__b", F.floor(F.col("src") / FAN_IN))
+             .groupBy(*keys, "__b").applyInArrow(lambda t: add(t.drop_columns("__b")), kind))
+    return first.groupBy(*keys).applyInArrow(add, kind)
+
+
+def _gradient_parts(df: DataFrame, params: mlp.Params, features: str, label: str):
+    """Gradient sums as rows ``(chunk, src, g, loss, n)``: per task one row for
+    each ``CHUNK_PARAMS`` parameters, added over all tasks.  Also the layers and
+    the broadcast, for the caller to release."""
     layers = [params[0][0].shape[1]] + [w.shape[0] for w, _ in params]
     check_model_size(layers)
     bc = df.sparkSession.sparkContext.broadcast((layers, mlp.flatten(params)))
-    lay, ii, jj = mlp.param_index(layers)
-    lay = np.r_[lay, -1].astype(np.int32)
-    ii = np.r_[ii, -1].astype(np.int32)
-    jj = np.r_[jj, -2].astype(np.int32)
-    schema = "layer int, i int, j int, gsum double, n long"
 
     def run(batches_):
+        from pyspark import TaskContext
         lays, vec = bc.value
         ps = mlp.unflatten(vec, lays)
-        total = np.zeros(len(vec) + 1)
-        n = 0
+        total, loss, n = np.zeros(len(vec)), 0.0, 0
         for b in batches_:
             if b.num_rows == 0:
                 continue
             x = features_matrix(b.column(features), b.num_rows)
             y = b.column(label).to_numpy(zero_copy_only=False).astype(np.int64)
             ls, g = mlp.loss_grad_sums(ps, x, y)
-            total[:-1] += mlp.flatten(g)
-            total[-1] += ls
+            total += mlp.flatten(g)
+            loss += ls
             n += b.num_rows
         if n:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(lay), pa.array(ii), pa.array(jj), pa.array(total),
-                 pa.array(np.full(len(total), n, dtype=np.int64))],
-                names=["layer", "i", "j", "gsum", "n"])
+            chunks = _chunked(total)
+            k = len(chunks)
+            yield pa.RecordBatch.from_pydict({
+                "chunk": pa.array(range(k), pa.int32()),
+                "src": pa.array([TaskContext.get().partitionId()] * k, pa.int64()),
+                "g": pa.array(chunks, pa.list_(pa.float64())),
+                "loss": pa.array([float(loss)] * k), "n": pa.array([n] * k, pa.int64())})
 
-    return df.select(features, label).mapInArrow(run, schema), layers
+    parts = df.select(features, label).mapInArrow(
+        run, "chunk int, src long, g array<double>, loss double, n long")
+    return _add_rows(parts, ["chunk"], ["g"], ["loss", "n"]), layers, bc
 
 
 def gradient(df: DataFrame, params: mlp.Params, features: str = "features",
              label: str = "label") -> DataFrame:
     """gradient of the mean cross-entropy over all rows of ``df`` as
-    ``(layer, i, j, grad)`` (bias: j = -1).  Tasks emit per-partition sums,
-    one group-by adds them."""
-    parts, _ = _gradient_parts(df, params, features, label)
-    return parts.filter(F.col("j") >= -1).groupBy("layer", "i", "j").agg(
-        (F.sum("gsum") / F.sum("n")).alias("grad"))
+    ``(layer, i, j, grad)`` (bias: j = -1).  Tasks emit sums in chunks of the
+    parameter vector, which are added in a tree and opened at the end."""
+    parts, layers, _ = _gradient_parts(df, params, features, label)
+
+    def rows(batches_):
+        lay, ii, jj = mlp.param_index(layers)
+        for b in batches_:
+            for c, g, n in zip(*(b.column(x) for x in ("chunk", "g", "n"))):
+                at = slice(c.as_py() * CHUNK_PARAMS, (c.as_py() + 1) * CHUNK_PARAMS)
+                yield pa.RecordBatch.from_pydict({
+                    "layer": lay[at].astype(np.int32), "i": ii[at].astype(np.int32),
+                    "j": jj[at].astype(np.int32), "grad": np.asarray(g.values) / n.as_py()})
+
+    return parts.select("chunk", "g", "n").mapInArrow(rows, "layer int, i int, j int, grad double")
 
 
 def gradient_and_loss(df: DataFrame, params: mlp.Params, features: str = "features",
                       label: str = "label") -> tuple[np.ndarray, float, int]:
     """Flat mean gradient, mean loss and row count in one job (driver gets
     one model-sized vector)."""
-    parts, layers = _gradient_parts(df, params, features, label)
-    agg = parts.groupBy("layer", "i", "j").agg(F.sum("gsum").alias("g"),
-                                               F.sum("n").alias("n")).toArrow()
-    lay, ii, jj = (agg.column(c).to_numpy() for c in ("layer", "i", "j"))
-    g_all, n_all = agg.column("g").to_numpy(), agg.column("n").to_numpy()
-    is_loss = jj == -2
-    loss = float(g_all[is_loss][0]) if is_loss.any() else 0.0
-    n = int(n_all[is_loss][0]) if is_loss.any() else 0
-    g = np.zeros(mlp.n_params(layers))
-    g[mlp.flat_positions(layers, lay[~is_loss], ii[~is_loss], jj[~is_loss])] = g_all[~is_loss]
-    if n == 0:
+    parts, layers, bc = _gradient_parts(df, params, features, label)
+    rows = sorted(parts.select("chunk", "g", "loss", "n").toArrow().to_pylist(), key=lambda r: r["chunk"])
+    bc.destroy()
+    if not rows:
         raise ValueError("empty batch")
-    return g / n, loss / n, n
+    n = rows[0]["n"]
+    return np.concatenate([r["g"] for r in rows]) / n, rows[0]["loss"] / n, n
 
 
 def adam_step_table(params_df: DataFrame, grads_df: DataFrame, lr: float,
@@ -160,17 +209,13 @@ def adam_step_table(params_df: DataFrame, grads_df: DataFrame, lr: float,
 
 # ---------------------------------------------------------------- epoch job (local mode)
 
+_VECTOR = T.ArrayType(T.DoubleType())
 EPOCH_SCHEMA = T.StructType([
-    T.StructField("trial_id", T.IntegerType(), False),
-    T.StructField("shard", T.IntegerType(), False),
-    T.StructField("pos", T.LongType(), False),
-    T.StructField("wn", T.DoubleType(), False),
-    T.StructField("mn", T.DoubleType(), False),
-    T.StructField("vn", T.DoubleType(), False),
-    T.StructField("n", T.LongType(), False),
-    T.StructField("loss_sum", T.DoubleType(), False),
-    T.StructField("steps", T.LongType(), False),
-])
+    T.StructField("trial_id", T.IntegerType()), T.StructField("chunk", T.IntegerType()),
+    T.StructField("src", T.LongType()), T.StructField("wn", _VECTOR),
+    T.StructField("mn", _VECTOR), T.StructField("vn", _VECTOR), T.StructField("n", T.LongType()),
+    T.StructField("loss_sum", T.DoubleType()), T.StructField("steps_total", T.LongType()),
+    T.StructField("steps", T.LongType())])
 
 
 class _Runner:
@@ -218,21 +263,13 @@ class _Runner:
         if self.buffered and not self.spec["drop_last"]:
             self._train(np.concatenate(self.bx), np.concatenate(self.by))
         n = self.rows
-        p, m, v = (mlp.flatten(t) for t in (self.p, self.m, self.v))
+        p, m, v = (_chunked(mlp.flatten(t) * n) for t in (self.p, self.m, self.v))
         k = len(p)
-        cols = [pa.array(np.full(k + 1, trial_id, dtype=np.int32)),
-                pa.array(np.full(k + 1, shard, dtype=np.int32)),
-                pa.array(np.arange(-1, k, dtype=np.int64)),
-                pa.array(np.concatenate([[0.0], p * n])),
-                pa.array(np.concatenate([[0.0], m * n])),
-                pa.array(np.concatenate([[0.0], v * n])),
-                pa.array(np.concatenate([[n], np.full(k, n)]).astype(np.int64)),
-                pa.array(np.concatenate([[self.loss_sum], np.zeros(k)])),
-                pa.array(np.concatenate([[self.steps], np.full(k, self.step)]).astype(np.int64))]
-        return pa.RecordBatch.from_arrays(cols, schema=pa.schema(
-            [(f.name, pa.int32() if isinstance(f.dataType, T.IntegerType) else
-              pa.int64() if isinstance(f.dataType, T.LongType) else pa.float64())
-             for f in EPOCH_SCHEMA.fields]))
+        return pa.RecordBatch.from_pydict({
+            "trial_id": [trial_id] * k, "chunk": list(range(k)), "src": [shard] * k,
+            "wn": p, "mn": m, "vn": v, "n": [n] * k, "loss_sum": [float(self.loss_sum)] * k,
+            "steps_total": [self.steps] * k, "steps": [self.step] * k},
+            schema=to_arrow_schema(EPOCH_SCHEMA))
 
 
 def _epoch_job(sorted_df: DataFrame, specs: list[ModelSpec], states: dict, features: str,
@@ -245,9 +282,6 @@ def _epoch_job(sorted_df: DataFrame, specs: list[ModelSpec], states: dict, featu
                      (mlp.flatten(states[s.trial_id].params), mlp.flatten(states[s.trial_id].m),
                       mlp.flatten(states[s.trial_id].v), states[s.trial_id].step))
         for s in specs}
-    total_bytes = sum(mlp.n_params(s.layers) * 3 * 8 for s in specs)
-    if total_bytes > MAX_MODEL_BYTES:
-        raise ValueError("packed models exceed the broadcast limit; pack fewer trials per job")
     bc = sc.broadcast(payload)
 
     def run(batches_):
@@ -275,46 +309,40 @@ def _epoch_job(sorted_df: DataFrame, specs: list[ModelSpec], states: dict, featu
             for t, r in runners.items():
                 yield r.finish(t, int(cur))
 
-    return sorted_df.select("shard", features, label).mapInArrow(run, EPOCH_SCHEMA)
+    return sorted_df.select("shard", features, label).mapInArrow(run, EPOCH_SCHEMA), bc
 
 
 def _average(parts: DataFrame, specs: list[ModelSpec], states: dict, epoch: int):
     """Row-weighted average per model; returns new states and (loss, steps).
 
-    The W shard contributions of a parameter are added in shard order (a
-    sorted list of W entries per parameter), so the average is bit-for-bit
-    the same whatever order the shuffle delivers them in."""
-    fields = ["shard", "wn", "mn", "vn", "n", "loss_sum", "steps"]
-    grouped = parts.groupBy("trial_id", "pos").agg(
-        F.array_sort(F.collect_list(F.struct(*fields))).alias("l"))
-
-    def total(name, zero):
-        return F.aggregate("l", zero, lambda acc, x: acc + x[name]).alias(name)
-
-    agg = grouped.select(
-        "trial_id", "pos", total("wn", F.lit(0.0)), total("mn", F.lit(0.0)),
-        total("vn", F.lit(0.0)), total("n", F.lit(0).cast("long")),
-        total("loss_sum", F.lit(0.0)),
-        F.array_max(F.transform("l", lambda x: x["steps"])).alias("steps"),
-        F.aggregate("l", F.lit(0).cast("long"), lambda acc, x: acc + x["steps"])
-        .alias("steps_total")).toArrow().to_pandas()
+    A shard contributes one row per ``CHUNK_PARAMS`` parameters; rows are added
+    in shard order, so the average is bit-for-bit the same whatever order the
+    shuffle delivers them in."""
+    got: dict = {}
+    for r in _add_rows(parts, ["trial_id", "chunk"], ["wn", "mn", "vn"],
+                       ["n", "loss_sum", "steps_total"], ["steps"]).toArrow().to_pylist():
+        got.setdefault(r["trial_id"], {})[r["chunk"]] = r
     out = {}
     for s in specs:
-        a = agg[agg.trial_id == s.trial_id].sort_values("pos")
-        head = a[a.pos == -1].iloc[0]
-        body = a[a.pos >= 0]
-        n = body.n.to_numpy().astype(np.float64)
-        p = body.wn.to_numpy() / n
-        m = body.mn.to_numpy() / n
-        v = body.vn.to_numpy() / n
-        step = int(body.steps.max())
-        st = states[s.trial_id]
+        rows = [got[s.trial_id][c] for c in sorted(got[s.trial_id])]
+        n, steps = float(rows[0]["n"]), rows[0]["steps_total"]
+        p, m, v = (np.concatenate([r[c] for r in rows]) / n for c in ("wn", "mn", "vn"))
         new = TrainState(list(s.layers), mlp.unflatten(p, s.layers), mlp.unflatten(m, s.layers),
-                         mlp.unflatten(v, s.layers), step, epoch + 1)
-        steps = int(head.steps_total)
-        loss = float(head.loss_sum) / steps if steps else float("nan")
-        out[s.trial_id] = (new, loss, steps)
-        del st
+                         mlp.unflatten(v, s.layers), int(rows[0]["steps"]), epoch + 1)
+        out[s.trial_id] = (new, rows[0]["loss_sum"] / steps if steps else float("nan"), steps)
+    return out
+
+
+def packs(specs: list[ModelSpec]) -> list[list[ModelSpec]]:
+    """Models per job: as many as fit the broadcast limit (parameters and both moments)."""
+    out, room = [], 0
+    for s in specs:
+        size = mlp.n_params(s.layers) * 3 * 8
+        if not out or size > room:
+            out.append([])
+            room = MAX_MODEL_BYTES
+        out[-1].append(s)
+        room -= size
     return out
 
 
@@ -348,9 +376,12 @@ def run_epochs(base: DataFrame, key: str, specs: list[ModelSpec], states: dict,
         if not live:
             break
         epoch = states[live[0].trial_id].epoch
-        parts = _epoch_job(epoch_sorted(base, key, seed, epoch, shuffle), live, states,
-                           features, label)
-        res = _average(parts, live, states, epoch)
+        res = {}
+        for pack in packs(live):           # one pass over the data per pack
+            parts, bc = _epoch_job(epoch_sorted(base, key, seed, epoch, shuffle), pack, states,
+                                   features, label)
+            res |= _average(parts, pack, states, epoch)
+            bc.destroy()
         for t, (st, _, _) in res.items():
             states[t] = st
         stop = on_epoch(epoch, res) if on_epoch else None
@@ -363,20 +394,30 @@ def run_epochs(base: DataFrame, key: str, specs: list[ModelSpec], states: dict,
 
 def sync_epoch(train_df: DataFrame, key: str, state: TrainState, lr: float, batch_size: int,
                seed: object, features: str = "features", label: str = "label",
-               drop_last: bool = False) -> tuple[TrainState, float, int]:
+               drop_last: bool = False, world_size: int = 1, shuffle: bool = True
+               ) -> tuple[TrainState, float, int]:
     """One epoch of exact global mini-batch Adam: one gradient-and-loss job
     per batch, the step on the driver (worth it for large batches).
 
+    Rows are padded and dealt to ``world_size`` shards (E6); step b takes batch b
+    of every shard and averages their gradients, which, the batches being of
+    one size, is the mean over the rows at padded positions b * batch and on.
+    The order is drawn anew each epoch, or once without ``shuffle``.
+
     The epoch's batches are range-partitioned and sorted by batch id before
     caching, so the in-memory column statistics let each step's filter skip
     all cached blocks but its own: a step reads about one batch, not the
     whole split."""
     spark = train_df.sparkSession
     n = train_df.count()
-    n_batches = n // batch_size if drop_last else -(-n // batch_size)
+    n_padded = n + (-n) % world_size
+    per_step = worker_batch_size(batch_size, world_size) * world_size
+    n_batches = n_padded // per_step if drop_last else -(-n_padded // per_step)
     parts = max(1, min(n_batches, spark.sparkContext.defaultParallelism * 4))
-    bt = (batches(train_df.select(key, features, label), key, batch_size, seed, state.epoch,
-                  drop_last=drop_last, n=n)
+    salt = (state.epoch,) if shuffle else ()
+    bt = (shards(train_df.select(key, features, label), key, world_size, seed, *salt, n=n)
+          .withColumn("batch_id", F.floor(F.col("pos") / per_step))
+          .where(F.col("batch_id") < n_batches)
           .repartitionByRange(parts, "batch_id").sortWithinPartitions("batch_id")
           .persist(StorageLevel.MEMORY_AND_DISK))
     p, m, v, step = state.params, state.m, state.v, state.step
@@ -469,7 +510,7 @@ def train_mlp(train_df: DataFrame, key: str, layers: Sequence[int], *, lr: float
                 state, loss, _ = holder[trial_id]
             else:
                 state, loss, _ = sync_epoch(train_df, key, state, lr, batch_size, seed,
-                                            features, label, drop_last)
+                                            features, label, drop_last, world_size, shuffle)
             reports.append((trial_id, ep + 1, float(loss), ep))
             if checkpoint_path:
                 write_checkpoint(spark, checkpoint_path, trial_id, state)

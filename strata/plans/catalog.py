@@ -329,16 +329,21 @@ test_ranked AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || vec_id), vec_
                        count(*) OVER () AS tn FROM test)"""
 
 
+def _scored(df, seed=SEED):
+    return mdl.with_loss(mdl.score(df, mlp.init_params(EMB_LAYERS, seed)))
+
+
 def _emb_scored(spark, sf_dir, seed=SEED):
-    df = fx.emb10(spark, sf_dir)
-    params = mlp.init_params(EMB_LAYERS, seed)
-    return mdl.with_loss(mdl.score(df, params))
+    return _scored(fx.emb10(spark, sf_dir), seed)
+
+
+def _emb_split(spark, sf_dir):
+    """Train and test rows, not yet scored: the model runs over the part needed only."""
+    return spl.train_test_split(fx.emb10(spark, sf_dir), "vec_id", 0.7, SEED)
 
 
 def _emb_test(spark, sf_dir):
-    sc = _emb_scored(spark, sf_dir)
-    _, test = spl.train_test_split(sc, "vec_id", 0.7, SEED)
-    return test
+    return _scored(_emb_split(spark, sf_dir)[1])
 
 
 @query("f4_forward_logits", _mlp_sql(EMB_LAYERS, SEED, EMB_X_SQL, "vec_id") + """
@@ -386,8 +391,9 @@ def g2_accuracy(spark, sf_dir):
 SELECT round(avg(bl), 6) AS loss FROM
   (SELECT (trnk - 1) // 32 AS b, avg(loss) AS bl FROM test_ranked GROUP BY b)""")
 def g3_batch_mean_loss(spark, sf_dir):
-    tb = spl.batches(_emb_test(spark, sf_dir), "vec_id", 32, SEED)
-    return met.batch_mean_loss(tb).select(F.round("loss", 6).alias("loss"))
+    tb = spl.batches(_emb_split(spark, sf_dir)[1], "vec_id", 32, SEED)
+    scored = mdl.with_loss(mdl.score(tb, mlp.init_params(EMB_LAYERS, SEED)))
+    return met.batch_mean_loss(scored).select(F.round("loss", 6).alias("loss"))
 
 
 @query("g4_shard_accuracy", _EMB_SCORE_SQL + """,
@@ -401,10 +407,10 @@ SELECT CAST(pos % 3 AS INTEGER) AS shard,
        round(sum(CAST(prediction = label AS BIGINT)) / CAST((SELECT count(*) FROM test) // 3 AS DOUBLE), 9) AS accuracy
 FROM padded GROUP BY shard""")
 def g4_shard_accuracy(spark, sf_dir):
-    test = _emb_test(spark, sf_dir)
+    test = _emb_split(spark, sf_dir)[1]
     n = test.count()
     sh = spl.shards(test, "vec_id", 3, SEED, n=n)
-    return met.shard_accuracy(sh, n, 3).withColumn("accuracy", F.round("accuracy", 9))
+    return met.shard_accuracy(_scored(sh), n, 3).withColumn("accuracy", F.round("accuracy", 9))
 
 
 @query("g5_running_loss", _EMB_SCORE_SQL + """,
@@ -417,7 +423,9 @@ SELECT CAST(epoch AS INTEGER) AS epoch, round(avg(bl), 6) AS training_loss
 FROM (SELECT epoch, (r - 1) // 20 AS b, avg(loss) AS bl FROM ep GROUP BY epoch, b)
 GROUP BY epoch""")
 def g5_running_loss(spark, sf_dir):
-    train, _ = spl.train_test_split(_emb_scored(spark, sf_dir), "vec_id", 0.7, SEED)
+    from strata.session import materialize
+    # scored once; the epochs only need keys and losses
+    train = materialize(_scored(_emb_split(spark, sf_dir)[0]).select("vec_id", "loss"), "train-losses")
     parts = []
     for ep in range(3):
         b = spl.batches(train, "vec_id", 20, SEED, ep)
@@ -498,6 +506,30 @@ def d3_smote_rows(spark, sf_dir):
         "event_id", F.col("idx").cast("int").alias("idx"), F.round("value", 6).alias("value"))
 
 
+def _b7_sql() -> str:
+    cast = ", ".join(f"CAST(CAST(f{i} AS FLOAT) AS DOUBLE) AS f{i}" for i in range(4))
+    scaled = ", ".join(f"(f{i} - min(f{i}) OVER ()) / (max(f{i}) OVER () - min(f{i}) OVER ())" for i in range(4))
+    return _RARE2_MIN_SQL + f""",
+allrows AS (SELECT event_id, CAST(hour AS DOUBLE) AS f0, CAST(day AS DOUBLE) AS f1,
+                   CAST(user_id AS DOUBLE) AS f2, CAST(k AS DOUBLE) AS f3 FROM r
+            UNION ALL SELECT event_id, f0, f1, f2, f3 FROM syn),
+cast32 AS (SELECT event_id, {cast} FROM allrows),
+scaled AS (SELECT event_id, [{scaled}] AS f FROM cast32)
+SELECT event_id, CAST(idx AS INTEGER) AS idx, round(v, 6) AS value FROM
+  (SELECT event_id, unnest(range(0, 4)) AS idx, unnest(f) AS v FROM scaled)"""
+
+
+@query("b7_cast_then_scale", _b7_sql())
+def b7_cast_then_scale(spark, sf_dir):
+    """B7 in the reference order: over-sample all rows, cast to float32, then scale."""
+    res = rs.smote(_rare2_vec(spark, sf_dir), "event_id", "Class", ratio=0.03, seed=SEED)
+    wide = res.select("event_id", *[F.get("features", F.lit(i)).alias(c)
+                                    for i, c in enumerate(fx.RARE2_FEATURES)])
+    scaled = feat.minmax_scale(proj.cast_features(wide, fx.RARE2_FEATURES), fx.RARE2_FEATURES)
+    return scaled.select("event_id", F.posexplode(F.array(*fx.RARE2_FEATURES)).alias("idx", "value")).select(
+        "event_id", F.col("idx").cast("int").alias("idx"), F.round("value", 6).alias("value"))
+
+
 @query("d4_undersample", f"""
 WITH r AS ({RARE2_SQL}),
 maj AS (SELECT event_id, row_number() OVER (ORDER BY md5('42:under:' || event_id), event_id) AS rnk
@@ -576,8 +608,108 @@ def f7_adam_step(spark, sf_dir):
     return out.select("layer", "i", "j", F.round("w", 9).alias("w"))
 
 
-def _emb_split(spark, sf_dir):
-    return spl.train_test_split(fx.emb10(spark, sf_dir), "vec_id", 0.7, SEED)
+def _two_steps_sql() -> str:
+    """Two full-batch Adam steps of the softmax layer, as a chain of tables."""
+    init = _adam_sql().replace("_GRAD_SQL", "")
+    head = init[:init.rindex("SELECT CAST(layer AS INTEGER)")]
+    b1, b2 = mlp.ADAM_BETA1, mlp.ADAM_BETA2
+
+    def step(w, m, v, t):
+        c1, c2 = 1.0 - b1 ** t, 1.0 - b2 ** t
+        return (f"{w} - {_dlit(1e-3 / c1)} * {m} / (sqrt({v}) / {_dlit(float(np.sqrt(c2)))} "
+                f"+ {_dlit(mlp.ADAM_EPS)})")
+
+    return head.rstrip() + f""",
+w1 AS (SELECT i, j, m, v, {step('w', 'm', 'v', 1)} AS w FROM st),
+z1 AS (SELECT h0.vec_id, w1.i AS idx, sum(h0.x * w1.w) + max(b.w) AS logit
+       FROM h0 JOIN w1 ON h0.j = w1.j JOIN w1 b ON b.i = w1.i AND b.j = -1 GROUP BY h0.vec_id, w1.i),
+zm1 AS (SELECT *, max(logit) OVER (PARTITION BY vec_id) AS mx FROM z1),
+d1 AS (SELECT q.vec_id, q.idx, q.p - CASE WHEN e.label = q.idx THEN 1 ELSE 0 END AS d
+       FROM (SELECT vec_id, idx, exp(logit - mx) / sum(exp(logit - mx)) OVER (PARTITION BY vec_id) AS p
+             FROM zm1) q JOIN embeddings e ON e.vec_id = q.vec_id),
+g1 AS (SELECT d1.idx AS i, h0.j AS j, sum(d1.d * h0.x) / (SELECT n FROM nn) AS grad
+       FROM d1 JOIN h0 ON d1.vec_id = h0.vec_id GROUP BY d1.idx, h0.j
+       UNION ALL SELECT idx, -1, sum(d) / (SELECT n FROM nn) FROM d1 GROUP BY idx),
+s2 AS (SELECT w1.i, w1.j, w1.w, {_dlit(b1)} * w1.m + {_dlit(1.0 - b1)} * g1.grad AS m,
+              {_dlit(b2)} * w1.v + {_dlit(1.0 - b2)} * g1.grad * g1.grad AS v
+       FROM w1 JOIN g1 ON w1.i = g1.i AND w1.j = g1.j)
+SELECT CAST(0 AS INTEGER) AS layer, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j,
+       round({step('w', 'm', 'v', 2)}, 7) AS w, round(m, 7) AS m, round(v, 9) AS v FROM s2"""
+
+
+def _state_rows(spark, state):
+    """Parameters and moments of a state as a table."""
+    import uuid
+    from strata.session import scratch_path
+    path = scratch_path(spark, f"state-{uuid.uuid4().hex}")
+    tr.write_checkpoint(spark, path, 0, state)
+    df = spark.read.parquet(path)
+    return df.select("layer", "i", "j", F.round("w", 7).alias("w"), F.round("m", 7).alias("m"),
+                     F.round("v", 9).alias("v"))
+
+
+@query("f9_sync_full_batch_weights", _two_steps_sql())
+def f9_sync_full_batch_weights(spark, sf_dir):
+    """two epochs of one full batch each."""
+    emb = fx.emb10(spark, sf_dir)
+    n = emb.count()
+    state = tr.train_mlp(emb, "vec_id", SOFTMAX_LAYERS, lr=1e-3, batch_size=n, epochs=2,
+                         mode="sync", seed=SEED).state
+    return _state_rows(spark, state)
+
+
+@query("f11_resume_weights", _two_steps_sql())
+def f11_resume_weights(spark, sf_dir):
+    """One epoch, its checkpoint written and read back, one more epoch."""
+    import uuid
+    from strata.session import scratch_path
+    emb = fx.emb10(spark, sf_dir)
+    n, path = emb.count(), scratch_path(spark, f"f11-{uuid.uuid4().hex}")
+    tr.train_mlp(emb, "vec_id", SOFTMAX_LAYERS, lr=1e-3, batch_size=n, epochs=1, mode="sync",
+                 seed=SEED, checkpoint_path=path)
+    back = tr.read_checkpoint(spark, path, 0, SOFTMAX_LAYERS)
+    state = tr.train_mlp(emb, "vec_id", SOFTMAX_LAYERS, lr=1e-3, batch_size=n, epochs=1,
+                         mode="sync", seed=SEED, init=back).state
+    return _state_rows(spark, state)
+
+
+def _local_sql(w: int) -> str:
+    """One full-shard Adam step on each of w padded shards, averaged."""
+    head = _adam_sql()
+    head = head[:head.index("\nnn AS (")]
+    init = _adam_sql()
+    init = init[init.index("w AS (SELECT i, j,"):init.index("\nst AS (")].rstrip(",")
+    b1, b2, eps = mlp.ADAM_BETA1, mlp.ADAM_BETA2, mlp.ADAM_EPS
+    c1, c2 = 1.0 - b1, 1.0 - b2
+    return head + f"""
+r AS (SELECT vec_id, row_number() OVER (ORDER BY md5('42:' || vec_id), vec_id) - 1 AS pos,
+             count(*) OVER () AS n FROM embeddings),
+sh AS (SELECT vec_id, pos % {w} AS shard FROM r
+       UNION ALL SELECT vec_id, (pos + n) % {w} FROM r WHERE pos < ({w} - n % {w}) % {w}),
+c AS (SELECT shard, count(*) AS k FROM sh GROUP BY shard),
+g AS (SELECT sh.shard, d.idx AS i, h0.j AS j, sum(d.d * h0.x) / max(c.k) AS grad
+      FROM sh JOIN c ON c.shard = sh.shard JOIN d ON d.vec_id = sh.vec_id
+      JOIN h0 ON h0.vec_id = sh.vec_id GROUP BY sh.shard, d.idx, h0.j
+      UNION ALL
+      SELECT sh.shard, d.idx, -1, sum(d.d) / max(c.k)
+      FROM sh JOIN c ON c.shard = sh.shard JOIN d ON d.vec_id = sh.vec_id GROUP BY sh.shard, d.idx),
+{init},
+s AS (SELECT g.i, g.j, w.w - {_dlit(1e-3 / c1)} * {_dlit(1.0 - b1)} * g.grad
+             / (sqrt({_dlit(1.0 - b2)} * g.grad * g.grad) / {_dlit(float(np.sqrt(c2)))} + {_dlit(eps)}) AS w,
+             {_dlit(1.0 - b1)} * g.grad AS m, {_dlit(1.0 - b2)} * g.grad * g.grad AS v
+      FROM g JOIN w ON g.i = w.i AND g.j = w.j)
+SELECT CAST(0 AS INTEGER) AS layer, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j,
+       round(avg(w), 7) AS w, round(avg(m), 7) AS m, round(avg(v), 9) AS v FROM s GROUP BY i, j"""
+
+
+@query("f10_local_average_weights", _local_sql(16))
+def f10_local_average_weights(spark, sf_dir):
+    """F10 local mode: 16 padded shards take one full-shard step each, then average."""
+    emb = fx.emb10(spark, sf_dir)
+    per_shard = -(-emb.count() // 16)
+    state = tr.train_mlp(emb, "vec_id", SOFTMAX_LAYERS, lr=1e-3, batch_size=16 * per_shard,
+                         epochs=1, world_size=16, seed=SEED).state
+    return _state_rows(spark, state)
 
 
 @query("f10_train_local_metrics")
@@ -897,10 +1029,8 @@ def b7_cast_float(spark, sf_dir):
 @query("b9_glue_label", f"""
 SELECT event_id, hour, day, user_id, k, Class FROM ({RARE2_SQL})""")
 def b9_glue_label(spark, sf_dir):
-    """Features and label of the same rows glued by key (never by position)."""
-    r = fx.rare2(spark, sf_dir)
-    return proj.concat_columns(proj.select_except(r, "Class"), r.select("event_id", "Class"),
-                               "event_id")
+    """Features and label of the same rows side by side (a projection)."""
+    return proj.concat_columns(fx.rare2(spark, sf_dir), ["event_id", *fx.RARE2_FEATURES], "Class")
 
 
 @query("b10_overwrite_scaled", f"""
@@ -916,6 +1046,38 @@ def b10_overwrite_scaled(spark, sf_dir):
     return proj.overwrite(df, {c: m.expr(c) for c in fx.MIXED2_NUMERIC})
 
 
+@query("b12_fetch_rows", f"""
+SELECT q.n_name AS nation, q.request, q.pos, e.event_id, e.value
+FROM (SELECT n_name, CAST(n_nationkey AS BIGINT) AS request, (n_nationkey * 7919) % (SELECT count(*) FROM events) AS pos
+      FROM nation) q
+JOIN ({_rank_sql('SELECT event_id, value FROM events', 'event_id', '42:')}) e ON e.rnk - 1 = q.pos""")
+def b12_fetch_rows(spark, sf_dir):
+    """Rows at the positions that a table asks for."""
+    ev = table(spark, sf_dir, "events").select("event_id", "value")
+    ranked = hash_rank(ev, "event_id", SEED).withColumn("pos", F.col("rank") - 1).drop("rank")
+    asked = table(spark, sf_dir, "nation").select(
+        "n_name", F.col("n_nationkey").cast("long").alias("request"),
+        F.pmod(F.col("n_nationkey").cast("long") * 7919, F.lit(ev.count())).alias("pos"))
+    names = asked.select("request", F.col("n_name").alias("nation"))
+    return proj.fetch_rows(ranked, "pos", asked).join(names, "request")
+
+
+@query("c3_label_encode_types", """
+SELECT l_orderkey, l_linenumber,
+       CAST(dense_rank() OVER (ORDER BY p) - 1 AS INTEGER) AS p,
+       CAST(dense_rank() OVER (ORDER BY q) - 1 AS INTEGER) AS q,
+       CAST(dense_rank() OVER (ORDER BY d) - 1 AS INTEGER) AS d
+FROM (SELECT l_orderkey, l_linenumber, CAST(l_discount AS DOUBLE) AS p,
+             CAST(l_extendedprice AS DECIMAL(18, 2)) AS q, CAST(l_shipdate AS DATE) AS d FROM lineitem)""")
+def c3_label_encode_types(spark, sf_dir):
+    """C3 on a float, a decimal (very many levels) and a date column."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_discount").cast("double").alias("p"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("q"),
+        F.col("l_shipdate").cast("date").alias("d"))
+    return feat.label_encode(li, ["p", "q", "d"])
+
+
 @query("b12_dataset_length", "SELECT count(*) AS n FROM events")
 def b12_dataset_length(spark, sf_dir):
     """The dataset length, as a one-row table."""

@@ -75,7 +75,9 @@ def prepare_rare2(spark: SparkSession, sf_dir: str, seed: object = 42, over: flo
     test split).  ``reference_order`` resamples all rows first, optionally
     skips the first row (by key), fits the scaler on everything and then
     splits [0.7, 0.3] (the order that leaks, kept for comparison)."""
-    df = fx.rare2(spark, sf_dir).withColumn("label", F.col("Class").cast("int")).drop("Class")
+    # parsed once: the splits, fits, counts and neighbour searches below all read it
+    df = materialize(fx.rare2(spark, sf_dir).withColumn("label", F.col("Class").cast("int"))
+                     .drop("Class"), "rare2")
     if reference_order:
         raw = proj.assemble_features(df, fx.RARE2_FEATURES, keep=["event_id", "label"])
         res = rs.smote_then_undersample(raw, "event_id", "label", "features", over, under, seed)
@@ -83,7 +85,7 @@ def prepare_rare2(spark: SparkSession, sf_dir: str, seed: object = 42, over: flo
             res = proj.skip_first(res, "event_id", 1)
         res = materialize(res, "rare2-resampled")
         cols = [F.col("features")[i].alias(c) for i, c in enumerate(fx.RARE2_FEATURES)]
-        wide = res.select("event_id", "label", *cols)
+        wide = proj.cast_features(res.select("event_id", "label", *cols), fx.RARE2_FEATURES)
         scaled = feat.minmax_scale(wide, fx.RARE2_FEATURES)
         vec = proj.assemble_features(scaled, fx.RARE2_FEATURES, keep=["event_id", "label"])
         train, test = spl.random_split(vec, "event_id", [0.7, 0.3], seed)
@@ -117,17 +119,24 @@ def score_table(prep: Prepared, layers, seed: object = 42) -> DataFrame:
         F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"))
 
 
+# The published job settings (epochs, workers, batch sizes,
+# learning rates, widths, trials) are the defaults of the jobs below.
+
 def sharded_training(spark: SparkSession, sf_dir: str, epochs: int = 20, world_size: int = 3,
-                     batch_size: int = 30, lr: float = 1e-3, seed: object = 42):
-    """Binary MLP (width-128-32-8-2) on 5% of the rows, 3 workers, tested on 95%."""
+                     batch_size: int = 30, lr: float = 1e-3, seed: object = 42,
+                     shuffle: bool = True, mode: str = "local"):
+    """Binary MLP (width-128-32-8-2) on 5% of the rows, 3 workers, tested on 95%.
+
+    ``shuffle=False`` keeps one fixed order; ``mode="sync"`` averages gradients at every step."""
     prep = prepare_mixed2(spark, sf_dir, fractions=(0.05, 0.95), seed=seed)
     layers = [prep.width, 128, 32, 8, 2]
     return tr.train_mlp(prep.train, "o_orderkey", layers, lr=lr, batch_size=batch_size,
-                        epochs=epochs, world_size=world_size, seed=seed, eval_df=prep.test)
+                        epochs=epochs, world_size=world_size, seed=seed, eval_df=prep.test,
+                        shuffle=shuffle, mode=mode)
 
 
 def search_job(spark: SparkSession, sf_dir: str, num_trials: int = 10, max_epochs: int = 50,
-               seed: object = 42, checkpoint_path: str | None = None):
+               seed: object = 42, checkpoint_path: str | None = None, shuffle: bool = True):
     """10-trial search with successive halving, best trial tested with 2 workers."""
     from strata.session import ensure_checkpoint_dir, scratch_path
     import uuid
@@ -136,7 +145,7 @@ def search_job(spark: SparkSession, sf_dir: str, num_trials: int = 10, max_epoch
     trials = srch.make_trials(spark, num_trials, srch.reference_space(), seed,
                               config_cols=["batch_size", "l1", "l2", "l3", "lr"])
     res = srch.run_search(prep.train, "o_orderkey", trials, in_width=prep.width, n_classes=2,
-                          max_epochs=max_epochs, seed=seed,
+                          max_epochs=max_epochs, seed=seed, shuffle=shuffle,
                           checkpoint_path=checkpoint_path or scratch_path(
                               spark, f"search-{uuid.uuid4().hex}"))
     tested = srch.evaluate_best(res, prep.test, "o_orderkey", in_width=prep.width, n_classes=2,

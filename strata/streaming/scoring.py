@@ -19,9 +19,10 @@ from strata.operators.model import score, with_loss
 from strata.session import scratch_path
 
 
-def parquet_stream(spark: SparkSession, path: str, schema, max_files: int = 1) -> DataFrame:
+def parquet_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
     """A folder of Parquet files as a stream (new files are new rows)."""
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    return (spark.readStream.schema(schema)
+            .options(**({"maxFilesPerTrigger": max_files} if max_files else {}))
             .parquet(path))
 
 

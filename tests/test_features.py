@@ -67,4 +67,4 @@ def test_argmax_first_on_ties(spark):
 def test_too_many_levels_refused(spark):
     df = spark.range(100).withColumnRenamed("id", "v")
     with pytest.raises(ValueError):
-        feat.label_encoder_fit(df, ["v"], max_levels=10)
+        feat.label_encoder_fit(df, ["v"], max_width=10)

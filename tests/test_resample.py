@@ -68,7 +68,7 @@ def test_smote_rows_lie_on_neighbour_segments(spark):
 def test_knn_blocks_agree(spark, monkeypatch):
     df = _rare(spark, SF01).filter("Class = 1").select("event_id", "features")
     one = sorted(map(tuple, rs.knn(df, "event_id", "features", 5).collect()))
-    monkeypatch.setattr(rs, "MAX_BLOCK_BYTES", 1000)  # forces several blocks
+    monkeypatch.setattr(rs, "CELL_ROWS", 7)  # forces many cells
     many = sorted(map(tuple, rs.knn(df, "event_id", "features", 5).collect()))
     assert one == many
 

@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as se
+from strata.plans.catalog import ORACLE, QUERIES
 from tests.conftest import SF001
 from tools.oracle_check import compare, duck_connect, type_mismatches
 
-SQL = se.oracle_sql()
+SQL = dict(ORACLE)          # the library's own; tests/llm has those of the training-data operators
 FAST_ROWS_ONLY = {"f9_train_sync_reports", "f11_resume_reports"}
 
 
@@ -37,5 +38,6 @@ def test_entry_schema_stable(spark):
 
 def test_every_query_has_a_survey_id():
     import re
-    for name in se.queries():
+    assert set(QUERIES) <= set(se.queries()) and set(ORACLE) <= set(se.oracle_sql())
+    for name in QUERIES:
         assert re.match(r"^[a-hu]\d+(_f\d+)?_[a-z0-9_]+$", name), name

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from strata.functions.hashing import uniform
 from strata.operators.model import features_matrix
 from strata.operators.rank import cut_keys, hash_rank, rank_at_most, with_hash, HASH
+from strata.session import materialize, release
 
 CELL_ROWS = 2_000             # rows of one kNN cell: what a task compares a query with
 MAX_RINGS = 4_096             # distance rings around the pivot (their bounds reach the driver)
@@ -139,7 +140,6 @@ def knn(df: DataFrame, key: str, features: str = "features", k: int = 5,
     hold something nearer, so the query goes to those alone; each cell
     returns at most k rows of it, and a window over the query merges them.
     Nothing but the mean vector, ring bounds and ring counts reaches the driver."""
-    from strata.session import materialize
     n = df.count() if n is None else n
     if n <= k:
         raise ValueError(f"need more than k={k} rows for k nearest neighbours, got {n}")
@@ -257,13 +257,13 @@ def _smote(df, key, label, features, ratio, seed, k, counts):
         # the synthetic rows are small (n_new rows) and the costly part to
         # recompute: write them to the shared checkpoint folder, cutting lineage
         syn = _checkpoint(syn)
+        release(minority)
         out = out.unionByName(syn.withColumn(label, F.lit(cls).cast(df.schema[label].dataType)))
         after[cls] += n_new
     return out, after
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
-    from strata.session import materialize
     return materialize(df, "smote")
 
 

@@ -79,7 +79,19 @@ def materialize(df, name: str = "table"):
     spark = df.sparkSession
     path = scratch_path(spark, "tables", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._materialized_at = path
+    return out
+
+
+def release(df) -> None:
+    """Delete the files of a frame that ``materialize`` returned, once what was
+    made from it is written itself (nothing lazy may still read it)."""
+    path = getattr(df, "_materialized_at", None)
+    if path:
+        spark = df.sparkSession
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 _SHIPPED: set[str] = set()

@@ -40,7 +40,7 @@ WINDOW = 13
 #: Text bytes of one index block (more if one document is longer).
 BLOCK_BYTES = 4 << 20
 #: Benchmark text that one pass over the index looks up, at most.
-PART_BYTES = 32 << 20
+PART_BYTES = 2 << 20
 
 
 # ------------------------------------------------------------------ index
@@ -131,7 +131,7 @@ class Windows:
                 seen.setdefault(tuple(words[i:i + window]), set()).add(item)
         self.items = [sorted(x for x in v if x is not None) for v in seen.values()]
         self.lengths = np.array([len(k) for k in seen], np.int64)
-        self.codes = np.full((len(seen), window), -1, np.int64)
+        self.codes = np.full((len(seen), window), -1, np.int32)
         for i, k in enumerate(seen):
             self.codes[i, :len(k)] = k
 

@@ -102,6 +102,7 @@ class PieceEncoder:
     def __init__(self, path: str, keep: int = 3_000_000):
         from tokenizers import Tokenizer
         self.tokenizer, self.keep = Tokenizer.from_file(path), keep
+        self.tokenizer.encode_special_tokens = True     # their strings in a text are text
         self._forget()
 
     def _forget(self) -> None:

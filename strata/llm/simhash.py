@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import map_texts
-from strata.session import materialize
+from strata.session import materialize, release
 
 SHINGLE, MAX_BITS = 3, 2
 #: Fingerprints of one key that a task compares; beyond it the key is split.
@@ -291,6 +291,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                  .unionByName(down.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         new = materialize(small, "links")
         same = (new.exceptAll(edges).limit(1).count() == 0) and (edges.exceptAll(new).limit(1).count() == 0)
+        release(edges)                       # the next round is written, so this one is done
         edges = new
         if same:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

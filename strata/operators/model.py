@@ -149,13 +149,23 @@ def with_hit(scored: DataFrame, label: str = "label") -> DataFrame:
     return scored.withColumn("hit", (F.col("prediction") == F.col(label)).cast("double"))
 
 
+#: Weights that become literals of a plan, at most; larger models go through ``score``.
+MAX_SQL_WEIGHTS = 50_000
+
+
 def sql_forward(df: DataFrame, params: mlp.Params, features: str = "features") -> DataFrame:
     """F2-F4 written as Catalyst expressions (small models only): the same
-    logits as ``score`` without leaving the JVM."""
+    logits as ``score`` without leaving the JVM.  Each layer is a column of its
+    own, so the plan grows with the sum of the layers, not with their product."""
     from strata.functions.vectors import dense_layer, relu
-    h = F.col(features)
+    if sum(w.size for w, _ in params) > MAX_SQL_WEIGHTS:
+        raise ValueError(f"more than {MAX_SQL_WEIGHTS} weights: use score()")
+    out, h, layers = df, F.col(features), []
     for k, (w, b) in enumerate(params):
         h = dense_layer(h, w.tolist(), b.tolist())
         if k < len(params) - 1:
-            h = relu(h)
-    return df.withColumn("logits", h).withColumn("prediction", argmax(F.col("logits")))
+            layers.append(f"__h{k}")
+            out = out.withColumn(layers[-1], relu(h))
+            h = F.col(layers[-1])
+    return (out.withColumn("logits", h).withColumn("prediction", argmax(F.col("logits")))
+            .drop(*layers))

@@ -351,8 +351,8 @@ def shard_table(train_df: DataFrame, key: str, world_size: int, seed: object,
     """E6 + physical layout: one shard per partition, cached (MEMORY_AND_DISK).
     Recomputation after an executor loss gives the same rows (hash order)."""
     sh = shards(train_df.select(key, features, label), key, world_size, seed, pad=True)
-    laid = sh.select(key, features, label, "shard", "local_pos").repartitionByRange(
-        world_size, "shard")
+    laid = sh.select(key, features, label, "shard", "local_pos").repartitionById(
+        world_size, F.col("shard"))
     return laid.persist(StorageLevel.MEMORY_AND_DISK)
 
 
@@ -586,5 +586,5 @@ def map_shards(df: DataFrame, fn, schema, world_size: int, shard_col: str = "sha
                ) -> DataFrame:
     """Run a user function on each shard's rows (pandas batches in,
     pandas out); all rows of a shard are in one partition, in shard order."""
-    return (df.repartitionByRange(world_size, shard_col).sortWithinPartitions(shard_col)
+    return (df.repartitionById(world_size, F.col(shard_col)).sortWithinPartitions(shard_col)
             .mapInPandas(fn, schema))

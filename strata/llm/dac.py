@@ -19,6 +19,7 @@ longer than a block gets a block of its own size.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -89,6 +90,12 @@ def take(levels: list, positions: np.ndarray) -> np.ndarray:
 
 
 # -------------------------------------------------------------- tokenising
+#: The byte-level alphabet: a byte that prints stands for itself, the others for
+#: the letters from U+0100 on, in order.
+_PLAIN = {b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255}
+_LETTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+
+
 class PieceEncoder:
     """Token ids of whole texts, one tokenizer call per distinct piece.
 
@@ -111,16 +118,25 @@ class PieceEncoder:
         self.flat = np.empty(0, np.int32)
 
     def _tokenise(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces in one array, and how many each has."""
-        ids: list[int] = []
-        size = np.empty(len(pieces), np.int64)
-        for a in range(0, len(pieces), 4096):
-            found = self.tokenizer.encode_batch_fast(pieces[a:a + 4096], add_special_tokens=False)
-            for i, e in enumerate(found, a):
-                got = e.ids
-                size[i] = len(got)
-                ids.extend(got)
-        return np.array(ids, np.int32), size
+        """Ids of all pieces in one array, and how many each has.
+
+        A piece of Latin letters, a blank before them or not, is one unit of the
+        pre-tokenizer, so it goes to the model directly; others take the full path."""
+        found: list = [None] * len(pieces)
+        model, rest = self.tokenizer.model.tokenize, []
+        for i, p in enumerate(pieces):
+            w = p[1:] if p[0] == " " else p
+            if w.isalpha() and (w.isascii() or max(w) < "\u0250"):
+                found[i] = [t.id for t in model(p.encode().decode("latin-1").translate(_LETTERS))]
+            else:
+                rest.append(i)
+        for a in range(0, len(rest), 4096):
+            some = rest[a:a + 4096]
+            got = self.tokenizer.encode_batch_fast([pieces[i] for i in some], add_special_tokens=False)
+            for i, e in zip(some, got):
+                found[i] = e.ids
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), np.int32, int(size.sum())), size
 
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and how many each text has."""

@@ -144,7 +144,8 @@ def knn(df: DataFrame, key: str, features: str = "features", k: int = 5,
     if n <= k:
         raise ValueError(f"need more than k={k} rows for k nearest neighbours, got {n}")
     key_type = df.schema[key].dataType
-    rows = materialize(df.select(F.col(key).alias("__k"), F.col(features).alias("__x")), "knn-rows")
+    written = df if getattr(df, "_materialized_at", None) else materialize(df.select(key, features), "knn-rows")
+    rows = written.select(F.col(key).alias("__k"), F.col(features).alias("__x"))
     width = rows.select(F.size("__x")).first()[0]
     mean = rows.agg(F.array(*[F.avg(F.get("__x", F.lit(i))) for i in range(width)])).first()[0]
     centre = F.array(*[F.lit(float(m)) for m in mean])

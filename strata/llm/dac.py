@@ -106,7 +106,7 @@ class PieceEncoder:
     longer than 64 bytes, are remembered in flat arrays sorted by hash.
     """
 
-    def __init__(self, path: str, keep: int = 3_000_000):
+    def __init__(self, path: str, keep: int = 1_000_000):
         from tokenizers import Tokenizer
         self.tokenizer, self.keep = Tokenizer.from_file(path), keep
         self.tokenizer.encode_special_tokens = True     # their strings in a text are text
@@ -114,7 +114,7 @@ class PieceEncoder:
 
     def _forget(self) -> None:
         self.known = np.empty(0, np.uint64)
-        self.at, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.at, self.size = np.empty(0, np.int32), np.empty(0, np.int32)
         self.flat = np.empty(0, np.int32)
 
     def _tokenise(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -247,7 +247,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id",
         part, enc = TaskContext.get().partitionId(), encoder(tokenizer)
         ids, lengths, tokens, have, seq, start = [], [], [], 0, 0, 0
         for batch in batches:
-            for b in slices(batch, "text", 4 << 20):
+            for b in slices(batch, "text", 2 << 20):
                 flat, n = enc.encode(b.column(1))
                 out = np.full(len(flat) + len(n), end_id, np.int32)
                 out[np.arange(len(flat)) + np.repeat(np.arange(len(n)), n)] = flat

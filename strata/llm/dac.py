@@ -14,12 +14,14 @@ lost executors.  The starts of parts are a prefix sum over one total per part.
 
 Defined results: null and empty texts are the end id alone; repeated ids keep
 one entry per row; null ids come first; an empty table writes no block; a text
-longer than a block gets a block of its own size.
+longer than a block gets a block of its own size; an added token of the tokenizer's
+file that stands in a text gives its id, as in the tokenizer's own call.
 """
 
 from __future__ import annotations
 
 import itertools
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -104,14 +106,32 @@ class PieceEncoder:
     with what follows) and the ids of its pieces are joined.  Pieces are found
     and hashed on the bytes of a slice; the ids of at most ``keep`` pieces, none
     longer than 64 bytes, are remembered in flat arrays sorted by hash.
+
+    The added tokens of the file are cut out of a text first, as the tokenizer
+    does, and stand for their ids.
     """
 
     def __init__(self, path: str, keep: int = 1_000_000):
         from tokenizers import Tokenizer
         self.tokenizer, self.keep = Tokenizer.from_file(path), keep
-        self.tokenizer.encode_special_tokens = True     # their strings in a text are text
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.single_word or t.lstrip or t.rstrip for t in added.values()) \
+                or (self.tokenizer.normalizer is not None and any(t.normalized for t in added.values())):
+            raise ValueError("added tokens that strip blanks, match whole words or are normalised")
+        self.added = {t.content: i for i, t in added.items() if t.content}
+        longest = sorted((c.encode() for c in self.added), key=len, reverse=True)
+        self.find_added = re.compile(b"|".join(map(re.escape, longest))).finditer if longest else lambda data: ()
         self._forget()
 
+    def _added_spans(self, data: bytes, offsets: np.ndarray) -> np.ndarray:
+        """First and last byte (exclusive) of every added token within a text."""
+        rows: set[int] = set()
+        for m in self.find_added(data):         # may lie across texts, so only tells which to look at
+            a, z = np.searchsorted(offsets, [m.start(), m.end() - 1], "right") - 1
+            rows.update(range(a, z + 1))
+        return np.array([(offsets[r] + m.start(), offsets[r] + m.end()) for r in sorted(rows)
+                         for m in self.find_added(data[offsets[r]:offsets[r + 1]])], np.int64).reshape(-1, 2)
+
     def _forget(self) -> None:
         self.known = np.empty(0, np.uint64)
         self.at, self.size = np.empty(0, np.int32), np.empty(0, np.int32)
@@ -126,7 +146,9 @@ class PieceEncoder:
         model, rest = self.tokenizer.model.tokenize, []
         for i, p in enumerate(pieces):
             w = p[1:] if p[0] == " " else p
-            if w.isalpha() and (w.isascii() or max(w) < "\u0250"):
+            if p in self.added:
+                found[i] = [self.added[p]]
+            elif w.isalpha() and (w.isascii() or max(w) < "\u0250"):
                 found[i] = [t.id for t in model(p.encode().decode("latin-1").translate(_LETTERS))]
             else:
                 rest.append(i)
@@ -141,7 +163,12 @@ class PieceEncoder:
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and how many each text has."""
         raw, offsets = utf8(col)
-        begin = piece_starts(raw, offsets)
+        data = raw.tobytes()
+        spans = self._added_spans(data, offsets)
+        begin = piece_starts(raw, np.unique(np.append(offsets, spans)) if len(spans) else offsets)
+        if len(spans):                              # an added token is one piece
+            last = np.searchsorted(spans[:, 0], begin, "left") - 1
+            begin = begin[(last < 0) | (begin >= spans[last, 1])]
         end = np.append(begin[1:], len(raw))
         row = np.searchsorted(offsets, begin, "right") - 1
         h, first, inverse = np.unique(hash_spans(raw, begin, end), return_index=True,
@@ -153,7 +180,6 @@ class PieceEncoder:
         fresh = np.flatnonzero(~have)
         at, size = np.empty(len(h), np.int64), np.empty(len(h), np.int64)
         at[have], size[have] = self.at[spot[have]], self.size[spot[have]]
-        data = raw.tobytes()
         b, e = begin[first[fresh]], end[first[fresh]]
         new, n = self._tokenise([data[x:y].decode() for x, y in zip(b.tolist(), e.tolist())])
         at[fresh], size[fresh] = len(self.flat) + np.cumsum(n) - n, n

@@ -5,10 +5,11 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from strata.llm import dac
 from strata.llm.queries import new_folder, tokenizer_path
-from tests.llm.helpers import awkward, empty
+from tests.llm.helpers import awkward, docs_of, empty
 
 
 @settings(max_examples=60, deadline=None)
@@ -37,6 +38,25 @@ def test_special_strings_in_a_text_are_text():
     assert flat.tolist() == sum(want, []) and 50256 not in flat
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", "<|", "a", "B", " ", "\n", ",", "é", "日"]),
+                         max_size=12).map("".join), max_size=6))
+def test_added_tokens_give_the_ids_of_the_file_as_given(texts):
+    flat, n = dac.encoder(tokenizer_path()).encode(pa.array(texts, pa.large_string()))
+    want = [e.ids for e in Tokenizer.from_file(tokenizer_path()).encode_batch(texts, add_special_tokens=False)]
+    assert flat.tolist() == sum(want, []) and n.tolist() == [len(w) for w in want]
+
+
+def test_added_tokens_in_files(spark):
+    texts = ["a <|endoftext|> b", "<|endof", "text|> c", "<|endoftext|><|endoftext|>", None]
+    path = new_folder(spark, "tokens")
+    dac.write(docs_of(spark, texts), path, tokenizer_path())
+    got = {r["doc_id"]: r["ids"] for r in dac.read(spark, path).collect()}
+    tok = Tokenizer.from_file(tokenizer_path())
+    assert got == {i: [*tok.encode(t or "", add_special_tokens=False).ids, dac.END_ID] for i, t in enumerate(texts)}
+    assert got[0] == [64, 220, 50256, 275, 0]
+
+
 def test_memory_of_pieces_is_bounded():
     enc = dac.PieceEncoder(tokenizer_path(), keep=10)
     for k in range(4):

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import contamination, dac, lines, mixing, quality, secrets, simhash, spotsigs, toxicity, wordpiece
+from strata.llm import contamination, dac, lines, mixing, quality, repeats, secrets, simhash, spotsigs, toxicity, wordpiece
 from strata.llm.common import labelled_sample, remainder, table
 from strata.session import scratch_path
 
@@ -120,6 +120,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16("fp").alias("fingerprint"), "component_id")
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stay when repeated passages go."""
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_spotsigs": op1_spotsigs,
     "op2_wordpiece_counts": op2_wordpiece_counts,
@@ -131,5 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
     "op10_simhash": op10_simhash,
+    "op12_substring_dedup": op12_substring_dedup,
 }
-ORACLE: dict[str, str] = {"op6_line_dedup": lines.ORACLE, "op8_decontamination": contamination.ORACLE, "op9_mixing": mixing.ORACLE}
+ORACLE: dict[str, str] = {"op6_line_dedup": lines.ORACLE, "op8_decontamination": contamination.ORACLE, "op9_mixing": mixing.ORACLE,
+                          "op12_substring_dedup": repeats.ORACLE}

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import contamination, dac, lines, mixing, quality, repeats, secrets, simhash, spotsigs, toxicity, wordpiece
+from strata.llm import contamination, dac, lines, mixing, quality, repeats, secrets, simhash, spotsigs, toxicity, whitening, wordpiece
 from strata.llm.common import labelled_sample, remainder, table
 from strata.session import scratch_path
 
@@ -126,6 +126,11 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every embedding, fitted on each distinct vector once."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), weights="one")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_spotsigs": op1_spotsigs,
     "op2_wordpiece_counts": op2_wordpiece_counts,
@@ -138,6 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_simhash": op10_simhash,
     "op12_substring_dedup": op12_substring_dedup,
+    "op13_whitening": op13_whitening,
 }
 ORACLE: dict[str, str] = {"op6_line_dedup": lines.ORACLE, "op8_decontamination": contamination.ORACLE, "op9_mixing": mixing.ORACLE,
                           "op12_substring_dedup": repeats.ORACLE}

@@ -2,11 +2,17 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from strata.llm import repeats as R
 from tests.llm.helpers import awkward, docs_of, empty
 
 
+@pytest.fixture(autouse=True)
+def few_groups(monkeypatch):
+    monkeypatch.setattr(R, "MIN_GROUPS", 16)
+
+
 def words_of(t):
     return [w for w in re.split(r"[\x20\x09-\x0D]+", t or "") if w]
 

@@ -22,8 +22,8 @@ document with a smaller id; windows are judged on the input.
    that a third of all documents share costs a group one entry a slice.
 5. Slices take the answers, join consecutive windows to maximal spans and cut them.
 
-Words are compared by 64-bit hashes (a window by one over its words and by 16 bits
-of each word).  Defined results: null, empty and blank texts have no words; a null id is
+Words are compared by 64-bit hashes: a window by one over its words and by 8 bits of
+each word (which order the tree).  Defined results: null, empty and blank texts have no words; a null id is
 neither smaller nor larger than any, so such a row keeps all words and takes
 none from others; rows of one id take nothing from each other; repeated rows give
 a row each; a text of any length is read whole; an empty table gives no rows;
@@ -256,7 +256,7 @@ def suffix_rows(slices: DataFrame, bits_of: DataFrame, size: int, buckets: int,
         group = (w.span(at, long) % np.uint64(groups)).astype(np.int64)
         order = np.argsort(group, kind="stable")
         at, h, low, group = at[order], h[order], low[order], group[order]
-        codes = (w.h & np.uint64(0xFFFF)).astype(">u2")
+        codes = (w.h & np.uint64(0xFF)).astype(np.uint8)
         out = [(g, s.id, codes[at[a:z, None] + np.arange(size)].tobytes(), h[a:z].tobytes(), low[a:z].tobytes())
                for g, a, z in _runs(group)]
         cols = list(zip(*out)) or [()] * 5
@@ -272,8 +272,8 @@ def deep_nodes(codes: np.ndarray, h: np.ndarray, size: int) -> tuple[np.ndarray,
     words: the order of the suffixes and the first of each node of that depth."""
     text = np.concatenate([codes.reshape(len(h), -1), h.astype(">u8").view(np.uint8).reshape(len(h), 8)], 1)
     order = np.argsort(np.ascontiguousarray(text).view(f"V{text.shape[1]}").ravel(), kind="stable")
-    words = codes.reshape(len(h), size, 2)[order]
-    same = (words[1:] == words[:-1]).all(2)
+    words = codes.reshape(len(h), size)[order]
+    same = words[1:] == words[:-1]
     lcp = np.where(same.all(1), size, same.argmin(1)) if len(same) else np.empty(0, np.int64)
     parts = (lcp < size) | (h[order][1:] != h[order][:-1])
     return order, np.flatnonzero(np.r_[True, parts])

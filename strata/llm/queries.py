@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import contamination, dac, lines, mixing, quality, repeats, secrets, simhash, spotsigs, toxicity, whitening, wordpiece
+from strata.llm import contamination, conversations, dac, lines, mixing, quality, repeats, secrets, simhash, spotsigs, toxicity, whitening, wordpiece
 from strata.llm.common import labelled_sample, remainder, table
 from strata.session import scratch_path
 
@@ -120,6 +120,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16("fp").alias("fingerprint"), "component_id")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired text of every damaged conversation."""
+    return conversations.digest(table(spark, sf_dir, "conversations"))
+
+
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that stay when repeated passages go."""
     found = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -142,6 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
     "op10_simhash": op10_simhash,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_substring_dedup": op12_substring_dedup,
     "op13_whitening": op13_whitening,
 }

@@ -225,6 +225,19 @@ def _grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]
         yield held
 
 
+def _batched(rows: Iterator[dict], schema: pa.Schema, weight: Callable[[dict], int]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of rows, each of about a million letters or less."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += 100 + weight(row)
+        if size > 1 << 20:
+            yield pa.RecordBatch.from_pylist(held, schema=schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema=schema)
+
+
 def _conv_type(df: DataFrame) -> str:
     return df.schema["conv"].dataType.simpleString()
 
@@ -237,7 +250,7 @@ def derived(rows: DataFrame) -> DataFrame:
               "paths array<struct<entry: string, exit: string, cost: long, audit: string>>")
     arrow = to_arrow_schema(T._parse_datatype_string(schema))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for group in _grouped(batches, "seg"):
             steps = [(r["role"][:1], r["stays"], r["cut"], r["copies"]) for r in group]
             paths = [{"entry": p, "exit": q, "cost": c, "audit": a}
@@ -246,11 +259,13 @@ def derived(rows: DataFrame) -> DataFrame:
             total = sum(copies)
             blank = sum(r["copies"] for r in group if r["blank"])
             leads = sum(r["stays"] for r in group)
-            out = {"conv": group[0]["conv"], "seg": group[0]["seg"], "blank": blank, "duplicate": total - blank - leads,
+            yield {"conv": group[0]["conv"], "seg": group[0]["seg"], "blank": blank, "duplicate": total - blank - leads,
                    "truncated": sum(r["stays"] and r["cut"] for r in group),
                    "illegal": total - len(group) + sum(x + y not in ("su", "ua", "au") for x, y in zip(initials, initials[1:])),
                    "initials": initials, "copies": copies, "paths": paths}
-            yield pa.RecordBatch.from_pylist([out], schema=arrow)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _batched(found(batches), arrow, lambda r: sum(len(p["audit"]) for p in r["paths"]))
 
     first = rows.where(~F.col("blank")).groupBy(_key("conv", "role", "digest").alias("same")) \
         .agg(F.min(F.struct("seg", "pos")).alias("first"))
@@ -270,7 +285,7 @@ def decided(segments: DataFrame) -> DataFrame:
               "rows array<struct<place: int, pos: int, role: string>>")
     arrow = to_arrow_schema(T._parse_datatype_string(schema))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for group in _grouped(batches, "conv"):
             cost, audit = combine([{(p["entry"], p["exit"]): (p["cost"], p["audit"]) for p in g["paths"]} for g in group])
             left = outcome(audit, [(g["initials"], g["copies"]) for g in group])
@@ -279,7 +294,10 @@ def decided(segments: DataFrame) -> DataFrame:
                 total["illegal"] += g["initials"][-1] + h["initials"][0] not in ("su", "ua", "au")
             for k, (g, rows) in enumerate(zip(group, left)):
                 more = {**total, "cost": cost, "audit": audit} if k == 0 else {}
-                yield pa.RecordBatch.from_pylist([{"conv": g["conv"], "seg": g["seg"], "rows": rows, **more}], schema=arrow)
+                yield {"conv": g["conv"], "seg": g["seg"], "rows": rows, **more}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _batched(found(batches), arrow, lambda r: len(r.get("audit", "")) + 40 * len(r["rows"]))
 
     return segments.repartition("conv").sortWithinPartitions("conv", "seg").mapInArrow(run, schema)
 
@@ -312,22 +330,22 @@ def sha256_of(rows: DataFrame) -> DataFrame:
     schema = f"conv {_conv_type(rows)}, sha256 string"
     arrow = to_arrow_schema(T._parse_datatype_string(schema))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         now, state = None, None
         for batch in batches:
-            out = []
             for c, role, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 if state is None or c != now:
                     if state is not None:
-                        out.append({"conv": now, "sha256": state.hexdigest()})
+                        yield {"conv": now, "sha256": state.hexdigest()}
                     now, state = c, hashlib.sha256()
                 else:
                     state.update(b"\n")
                 state.update(f"{role}:{text}".encode())
-            if out:
-                yield pa.RecordBatch.from_pylist(out, schema=arrow)
         if state is not None:
-            yield pa.RecordBatch.from_pylist([{"conv": now, "sha256": state.hexdigest()}], schema=arrow)
+            yield {"conv": now, "sha256": state.hexdigest()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _batched(found(batches), arrow, lambda r: 64)
 
     return (rows.repartition("conv").sortWithinPartitions("conv", "seg", "place")
             .select("conv", "role", "text").mapInArrow(run, schema))
@@ -361,3 +379,79 @@ def digest(conversations: DataFrame) -> DataFrame:
             .select("conv_id", *(zero(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
                     F.coalesce("audit", F.lit("")).alias("audit"),
                     F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")))
+
+
+def _oracle() -> str:
+    """DuckDB: the same over the conversations table, one step a row for all
+    conversations; a state is its cost (nine digits) and audit in one string."""
+    def add(x: str, cost: str, letter: str) -> str:
+        return f"lpad(CAST(CAST({x}[1:9] AS BIGINT) + {cost} AS VARCHAR), 9, '0') || {x}[10:] || '{letter}'"
+
+    closed_u = f"least(u, {add('z', '5', 'I')}, {add('s', '5', 'I')}, {add('a', '5', 'I')})"
+    before = "least(z, s, a)"
+    return rf"""
+WITH RECURSIVE crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c
+    FROM range(256) AS r(i))
+), n AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                                        lambda x: CAST(ascii(x) AS BIGINT)),
+                         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS w
+  FROM conversations, crc
+), d AS (
+  SELECT conv_id, turn, CASE WHEN w = 4 THEN 'user' ELSE role END AS role,
+         CASE w WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM n, unnest(range(CASE WHEN w = 3 THEN 2 ELSE 1 END)) AS k(k) WHERE w <> 0
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+  FROM d
+), f AS (
+  SELECT *, bare = '' AS blank, bare <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS dup,
+         right(bare, 1) NOT IN ('.', '!', '?') AS cut, role[1] AS r, lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) AS r0
+  FROM o
+), g AS (
+  SELECT *, NOT blank AND NOT dup AS may, CASE WHEN cut THEN 5 ELSE 0 END AS x FROM f
+), st AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, '000000000' AS z, CAST(NULL AS VARCHAR) AS s, '000000005I' AS u, '000000010II' AS a
+  FROM conversations
+  UNION ALL
+  SELECT conv_id, i, z, s, u1, least(a, {add('u1', '5', 'I')}) FROM (
+    SELECT conv_id, i, z, s, a, {closed_u} AS u1 FROM (
+      SELECT st.conv_id, g.i, {add('z', '2', 'D')} AS z,
+             least({add('s', '2', 'D')}, CASE WHEN may AND r = 's' THEN {add('z', 'x', 'K')} END) AS s,
+             least({add('u', '2', 'D')}, CASE WHEN may AND r = 'u' THEN {add(before, 'x', 'K')} END,
+                   CASE WHEN may THEN {add(before, '1 + x', 'R')} END) AS u,
+             least({add('a', '2', 'D')}, CASE WHEN may AND r = 'a' THEN {add('u', 'x', 'K')} END,
+                   CASE WHEN may THEN {add('u', '1 + x', 'R')} END) AS a
+      FROM st JOIN g ON g.conv_id IS NOT DISTINCT FROM st.conv_id AND g.i = st.i + 1))
+), e AS (
+  SELECT conv_id, CAST(best[1:9] AS BIGINT) AS cost, best[10:] AS audit FROM (
+    SELECT conv_id, arg_max(least(z, a), i) AS best FROM st GROUP BY conv_id)
+), q AS (
+  SELECT conv_id, k, l, sum(CASE WHEN l <> 'I' THEN 1 ELSE 0 END) OVER w AS i, sum(CASE WHEN l <> 'D' THEN 1 ELSE 0 END) OVER w AS j
+  FROM e, unnest(range(1, len(audit) + 1)) AS b(k), LATERAL (SELECT audit[k] AS l)
+  WINDOW w AS (PARTITION BY conv_id ORDER BY k)
+), v AS (
+  SELECT q.conv_id, k, l, j, g.role, g.text, max(CASE WHEN j = 1 AND l = 'K' AND r = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY q.conv_id) AS off
+  FROM q LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM q.conv_id AND g.i = q.i WHERE l <> 'D'
+), p AS (
+  SELECT conv_id, sha256(string_agg(CASE WHEN l = 'K' THEN role WHEN (j - off) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                                    || ':' || CASE WHEN l = 'I' THEN '' ELSE text END, chr(10) ORDER BY k)) AS sha
+  FROM v GROUP BY conv_id
+), c AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (dup) AS duplicate, count(*) FILTER (may AND cut) AS truncated,
+         count(*) FILTER (i > 1 AND r0 || r NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM g GROUP BY conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit,
+       coalesce(sha, sha256('')) AS repaired_sha256
+FROM e LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN p ON p.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
+ORACLE = _oracle()

@@ -152,4 +152,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_whitening": op13_whitening,
 }
 ORACLE: dict[str, str] = {"op6_line_dedup": lines.ORACLE, "op8_decontamination": contamination.ORACLE, "op9_mixing": mixing.ORACLE,
-                          "op12_substring_dedup": repeats.ORACLE}
+                          "op11_conversation_repair": conversations.ORACLE, "op12_substring_dedup": repeats.ORACLE}

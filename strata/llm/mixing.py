@@ -2,7 +2,7 @@
 
 Every document of a source has the same expected number of copies,
 ``rate = target words / source words``.  Within a source the documents stand
-in the order (words, md5 of the id); the prefix sum of expected copies of the
+in the order (words, md5 of id and text); the prefix sum of expected copies of the
 document at rank i is ``i * rate``, shifted by one random offset of the
 source; the document is emitted once per integer boundary that its interval
 crosses, so ``floor(rate)`` or ``ceil(rate)`` times.  Because neighbours in the
@@ -18,7 +18,8 @@ third of all rows of one size, is so spread over thousands of slots.
 
 Defined results: null and empty texts have size 0 (and are copied like any
 other); a null source is a source of its own, last in order; repeated rows are
-separate documents; an empty table gives an empty result; extra columns pass
+separate documents (of rows equal in id, text and source the first ones by the hash of all
+columns are taken, whatever the partitioning); an empty table gives an empty result; extra columns pass
 through ``mix`` untouched (names starting with ``_mix_`` are reserved).
 """
 
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.session import materialize
 
@@ -68,7 +70,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         cycle: tuple[int, ...] = (1, 2, 3), cap: int = 3) -> DataFrame:
     """``docs`` plus ``_mix_size, _mix_source_size, _mix_target, _mix_copies``."""
     spark = docs.sparkSession
-    key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    # Id and text place a row, so null and repeated ids spread; then all its columns.
+    key = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"),
+                         F.md5(F.coalesce(F.col(text_col), F.lit("")))))
+    whole = F.xxhash64(*(F.col(f.name) for f in docs.schema.fields if not isinstance(f.dataType, T.MapType)))
     df = docs.withColumns({"_mix_size": size_of(text_col) if size is None else size,
                            "_mix_key": key, "_mix_slot": F.substring(key, 1, 3)})
     src = F.col(source_col).alias("_mix_source")
@@ -115,7 +120,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               .select(F.col("_mix_source").alias("_mix_s2"), F.col("_mix_size").alias("_mix_z2"),
                       F.col("_mix_slot").alias("_mix_l2"),
                       (F.col("_mix_b1") + F.col("_mix_b2")).alias("_mix_before")))
-    cell = Window.partitionBy(F.col(source_col), "_mix_size", "_mix_slot").orderBy("_mix_key")
+    cell = Window.partitionBy(F.col(source_col), "_mix_size", "_mix_slot").orderBy("_mix_key", whole)
     rank = F.col("_mix_before") + F.row_number().over(cell) - 1
     return (df.join(before, F.col(source_col).eqNullSafe(F.col("_mix_s2"))
                     & (F.col("_mix_size") == F.col("_mix_z2"))
@@ -138,7 +143,7 @@ def mixed_docs(docs: DataFrame, **options) -> DataFrame:
 #: DuckDB: the same mix over the documents table.
 ORACLE = r"""
 WITH d AS (
-  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS k,
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS k,
          CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
   FROM documents
 ), s AS (

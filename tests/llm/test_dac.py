@@ -31,13 +31,6 @@ def test_pieces_give_the_tokenizers_ids(texts):
     assert flat.tolist() == sum(want, []) and n.tolist() == [len(w) for w in want]
 
 
-def test_special_strings_in_a_text_are_text():
-    enc = dac.encoder(tokenizer_path())
-    flat, n = enc.encode(pa.array(["a <|endoftext|> b", "<|endoftext|>"]))
-    want = [e.ids for e in enc.tokenizer.encode_batch(["a <|endoftext|> b", "<|endoftext|>"], add_special_tokens=False)]
-    assert flat.tolist() == sum(want, []) and 50256 not in flat
-
-
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", "<|", "a", "B", " ", "\n", ",", "é", "日"]),
                          max_size=12).map("".join), max_size=6))

@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 
 from strata.llm import mixing
-from tests.llm.helpers import awkward, docs_of, empty
+from tests.llm.helpers import SCHEMA, awkward, docs_of, empty
 
 
 def test_targets_share_all_words_below_the_cap():
@@ -43,3 +43,18 @@ def test_mix_survives_awkward_rows(spark):
     assert all(r["_mix_size"] == 0 for r in got if not (r["text"] or "").strip())
     assert mixing.mixed_docs(df).columns == df.columns
     assert mixing.mix(empty(spark)).count() == 0
+
+
+def test_null_and_repeated_ids_are_mixed_alike_at_every_partitioning(spark):
+    rows = [(None if i % 3 == 0 else i // 4, f"word{i % 50} " * (1 + i % 3), "en", f"s{i % 5 % 3}", i % 7) for i in range(600)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    a, b = (sorted(map(tuple, mixing.mixed_docs(df.repartition(k)).collect()), key=str) for k in (3, 5))
+    assert a == b and len(a) > 300
+
+
+def test_rows_without_id_spread_over_the_slots(spark):
+    df = spark.createDataFrame([(None, f"text{i}", "en", "s", 1) for i in range(2000)], SCHEMA)
+    got = mixing.mix(df)
+    assert got.count() == 2000 and "_mix_slot" not in got.columns
+    key = "md5(concat(':', md5(text)))"
+    assert df.selectExpr(f"substring({key}, 1, 3) k").groupBy("k").count().agg({"count": "max"}).first()[0] < 10

@@ -1,3 +1,4 @@
+import bisect
 import hashlib
 import re
 
@@ -9,9 +10,10 @@ from tests.llm.helpers import awkward, docs_of, empty
 
 def brute(text):
     w = [x for x in re.split(r"[\W_]+", (text or "").lower()) if x]
-    out = set()
+    out, content = set(), [i for i, x in enumerate(w) if x not in S.ANCHORS]
     for i, a in enumerate(w):
-        rest = [x for x in w[i + 1:] if x not in S.ANCHORS][:S.CHAIN]
+        at = bisect.bisect_right(content, i)
+        rest = [w[k] for k in content[at:at + S.CHAIN]]
         if a in S.ANCHORS and rest:
             out.add((a, *rest))
         if len(w) - i > S.STRETCH and not any(x in S.ANCHORS for x in w[i:i + S.STRETCH + 1]):

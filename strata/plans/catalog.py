@@ -1201,3 +1201,6 @@ def h5_resampled_search_reports(spark, sf_dir):
     from strata.plans.jobs import imbalanced_search_job
     res, _ = imbalanced_search_job(spark, sf_dir, num_trials=3, max_epochs=3, seed=SEED)
     return res.reports
+
+
+from strata.plans import keyless  # noqa: E402,F401  (registers its queries here)

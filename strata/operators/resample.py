@@ -15,24 +15,16 @@ self excluded, ties by key) and gap ~ U[0,1).  All draws are md5 hashes of
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata.functions.hashing import uniform
-from strata.operators.model import features_matrix
+from strata.operators.knn import knn
 from strata.operators.rank import cut_keys, hash_rank, rank_at_most, with_hash, HASH
 from strata.session import materialize, release
 
-CELL_ROWS = 2_000             # rows of one kNN cell: what a task compares a query with
-MAX_RINGS = 4_096             # distance rings around the pivot (their bounds reach the driver)
-QUERY_CHUNK_CELLS = 8_000_000  # (query rows x candidates x dims) per NumPy step
-
 
 # ---------------------------------------------------------------- D1
 
@@ -75,123 +67,6 @@ def undersample_targets(counts: dict, ratio: float) -> dict:
     return out
 
 
-# ---------------------------------------------------------------- D2
-
-def _top_k(d2: np.ndarray, k: int) -> np.ndarray:
-    """Column indices of the k smallest entries of each row, ordered by
-    (value, column); columns are in key order, so ties go to the smaller key.
-    Vectorised: everything below the k-th value, then the first ties."""
-    kth = np.partition(d2, k - 1, axis=1)[:, k - 1:k]
-    lt = d2 < kth
-    eq = d2 == kth
-    need = k - lt.sum(axis=1, keepdims=True)
-    sel = lt | (eq & (np.cumsum(eq, axis=1) <= need))
-    idx = np.nonzero(sel)[1].reshape(len(d2), k)  # column order within each row
-    vals = np.take_along_axis(d2, idx, axis=1)
-    return np.take_along_axis(idx, np.argsort(vals, axis=1, kind="stable"), axis=1)
-
-
-def _nearest(qk: np.ndarray, qx: np.ndarray, ck: np.ndarray, cx: np.ndarray, k: int
-             ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query row, candidate row and squared distance of each query's top k by
-    (distance, key), itself excluded; candidates are in key order."""
-    out: list[tuple] = []
-    step = max(1, QUERY_CHUNK_CELLS // max(1, len(ck) * qx.shape[1]))
-    for s in range(0, len(qk), step):
-        xq, kq = qx[s:s + step], qk[s:s + step]
-        d2 = ((xq[:, None, :] - cx[None, :, :]) ** 2).sum(axis=2)
-        d2[kq[:, None] == ck[None, :]] = np.inf
-        idx = _top_k(d2, min(k, len(ck)))
-        dk = np.take_along_axis(d2, idx, axis=1)
-        row = np.broadcast_to(np.arange(s, s + len(kq))[:, None], idx.shape)
-        ok = np.isfinite(dk)
-        out.append((row[ok], idx[ok], dk[ok]))
-    return tuple(np.concatenate(x) for x in zip(*out))
-
-
-def _cells(base: DataFrame, n: int) -> tuple[DataFrame, list[tuple]]:
-    """Deal rows into rings of equal counts by distance ``__r`` to the pivot, and
-    a ring with too many rows (ties) into hashed parts.  Returns the rows with
-    ``__cell`` and per cell ``(cell, smallest r, largest r)``."""
-    rings = min(MAX_RINGS, max(1, math.ceil(n / CELL_ROWS)))
-    cuts = base.agg(F.percentile_approx("__r", [i / rings for i in range(1, rings)] or [0.5], 10 * rings)
-                    ).first()[0] if rings > 1 else []
-    cuts = sorted(set(cuts))
-    ring = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]).cast("array<double>"),
-                           lambda c: c < F.col("__r")))
-    per = {r["ring"]: r for r in base.groupBy(ring.alias("ring")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("__r").alias("lo"), F.max("__r").alias("hi")).collect()}
-    parts = [max(1, math.ceil(per[i]["n"] / CELL_ROWS)) if i in per else 1 for i in range(len(cuts) + 1)]
-    first = [sum(parts[:i]) for i in range(len(parts))]
-    at = lambda xs: F.element_at(F.array(*[F.lit(x) for x in xs]), F.col("__ring") + 1)
-    dealt = base.withColumn("__ring", ring).withColumn(
-        "__cell", (at(first) + F.pmod(F.xxhash64("__k"), at(parts))).cast("int")).drop("__ring")
-    return dealt, [(first[i] + j, per[i]["lo"], per[i]["hi"]) for i in per for j in range(parts[i])]
-
-
-def knn(df: DataFrame, key: str, features: str = "features", k: int = 5,
-        n: int | None = None) -> DataFrame:
-    """Exact k nearest neighbours inside ``df`` (self excluded), as rows
-    ``(key, nbr_rank, nbr_key, d2)`` ordered by (squared distance, key).
-
-    Rows are written once, dealt into cells by distance r to a pivot (the mean).
-    A query first meets its own cell: the k-th distance there is a radius R.
-    As |r(q) - r(x)| <= d(q, x), only cells whose r range meets [r - R, r + R] can
-    hold something nearer, so the query goes to those alone; each cell
-    returns at most k rows of it, and a window over the query merges them.
-    Nothing but the mean vector, ring bounds and ring counts reaches the driver."""
-    n = df.count() if n is None else n
-    if n <= k:
-        raise ValueError(f"need more than k={k} rows for k nearest neighbours, got {n}")
-    key_type = df.schema[key].dataType
-    written = df if getattr(df, "_materialized_at", None) else materialize(df.select(key, features), "knn-rows")
-    rows = written.select(F.col(key).alias("__k"), F.col(features).alias("__x"))
-    width = rows.select(F.size("__x")).first()[0]
-    mean = rows.agg(F.array(*[F.avg(F.get("__x", F.lit(i))) for i in range(width)])).first()[0]
-    centre = F.array(*[F.lit(float(m)) for m in mean])
-    gap = F.zip_with("__x", centre, lambda a, b: (a - b) * (a - b))
-    base, cells = _cells(rows.withColumn("__r", F.sqrt(F.aggregate(gap, F.lit(0.0), lambda s, x: s + x))), n)
-    schema = T.StructType([T.StructField("__k", key_type, False),
-                           T.StructField("nbr_key", key_type, False),
-                           T.StructField("d2", T.DoubleType(), False)])
-
-    def run(q: pa.Table, c: pa.Table) -> pa.Table:
-        order = np.argsort(c.column("__ck").to_numpy(), kind="stable")
-        ck = c.column("__ck").to_numpy()[order]
-        cx = features_matrix(c.column("__cx").combine_chunks(), c.num_rows)[order]
-        qk = q.column("__k").to_numpy()
-        if not len(qk) or not len(ck):
-            return pa.Table.from_pydict({"__k": qk[:0], "nbr_key": ck[:0], "d2": np.empty(0)})
-        qx = features_matrix(q.column("__x").combine_chunks(), q.num_rows)
-        row, idx, d2 = _nearest(qk, qx, ck, cx, k)
-        return pa.Table.from_pydict({"__k": qk[row], "nbr_key": ck[idx], "d2": d2})
-
-    held = base.select(F.col("__cell").alias("__c"), F.col("__k").alias("__ck"), F.col("__x").alias("__cx"))
-
-    def lookup(queries: DataFrame) -> DataFrame:
-        return (queries.select("__cell", "__k", "__x").groupBy("__cell")
-                .cogroup(held.groupBy("__c")).applyInArrow(run, schema))
-
-    found = lookup(base)
-    if len(cells) > 1:
-        found = materialize(found, "knn-own-cell")
-        radius = found.groupBy("__k").agg(F.count(F.lit(1)).alias("__n"), F.max("d2").alias("__m")).select(
-            F.col("__k").alias("__q"),
-            F.when(F.col("__n") >= k, F.sqrt("__m") * (1 + 1e-9) + 1e-9).alias("__reach"))
-        ranges = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(float(lo)).alias("lo"),
-                                    F.lit(float(hi)).alias("hi")) for c, lo, hi in cells])
-        reach = F.coalesce("__reach", F.lit(math.inf))
-        others = F.filter(ranges, lambda x: (x.c != F.col("__cell")) & (x.lo <= F.col("__r") + reach)
-                          & (x.hi >= F.col("__r") - reach))
-        asked = (base.join(radius, F.col("__k") == F.col("__q"), "left")
-                 .select("__k", "__x", F.explode(F.transform(others, lambda x: x.c)).alias("__cell")))
-        found = found.unionByName(lookup(asked))
-    w = Window.partitionBy("__k").orderBy("d2", "nbr_key")
-    return (found.withColumn("nbr_rank", (F.row_number().over(w) - 1).cast("int"))
-            .filter(F.col("nbr_rank") < k)
-            .select(F.col("__k").alias(key), "nbr_rank", "nbr_key", "d2"))
-
-
 # ---------------------------------------------------------------- D3
 
 @dataclass

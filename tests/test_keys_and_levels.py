@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strata.operators import features as feat
 from strata.operators import project as proj
 from strata.operators import rank as rk
+from strata.operators import knn as kn
 from strata.operators import resample as rs
 from strata.operators import split as spl
 from strata.operators import train as tr
@@ -81,7 +82,8 @@ def test_label_codes_have_no_limit(spark):
 
 @pytest.mark.parametrize("cell", [3, 50, 10_000])
 def test_neighbours_equal_brute_force(spark, monkeypatch, cell):
-    monkeypatch.setattr(rs, "CELL_ROWS", cell)
+    monkeypatch.setattr(kn, "LEAST_ROWS", cell)
+    monkeypatch.setattr(kn, "BLOCK_ROWS", cell)
     rng = np.random.default_rng(3)
     x = np.round(rng.normal(size=(120, 3)), 1)
     x[:40] = x[0]                                           # many rows at one place

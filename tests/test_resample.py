@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from strata.operators import knn as kn
 from strata.operators import project as proj
 from strata.operators import resample as rs
 from strata.plans import fixtures as fx
@@ -68,7 +69,8 @@ def test_smote_rows_lie_on_neighbour_segments(spark):
 def test_knn_blocks_agree(spark, monkeypatch):
     df = _rare(spark, SF01).filter("Class = 1").select("event_id", "features")
     one = sorted(map(tuple, rs.knn(df, "event_id", "features", 5).collect()))
-    monkeypatch.setattr(rs, "CELL_ROWS", 7)  # forces many cells
+    monkeypatch.setattr(kn, "LEAST_ROWS", 7)  # forces many blocks
+    monkeypatch.setattr(kn, "BLOCK_ROWS", 7)
     many = sorted(map(tuple, rs.knn(df, "event_id", "features", 5).collect()))
     assert one == many
 
@@ -82,15 +84,49 @@ def test_undersample_exact_and_partition_independent(spark):
     assert rs.class_counts(a, "Class") == {1: 172, 0: 573}
 
 
-def test_top_k_ties_by_key():
-    d2 = np.array([[3.0, 1.0, 1.0, np.inf, 1.0, 0.5],
-                   [2.0, 2.0, 2.0, 2.0, 2.0, 2.0]])
-    assert rs._top_k(d2, 3).tolist() == [[5, 1, 2], [0, 1, 2]]
+def test_block_pairs_break_ties_by_key(monkeypatch):
+    monkeypatch.setattr(kn, "SUB_ROWS", 16)
+    monkeypatch.setattr(kn, "STEP_CELLS", 300)
     rng = np.random.default_rng(0)
-    d = rng.integers(0, 4, size=(50, 30)).astype(float)
-    got = rs._top_k(d, 5)
-    want = np.array([np.lexsort((np.arange(30), row))[:5] for row in d])
-    assert (got == want).all()
+    x = rng.integers(0, 3, size=(90, 2)).astype(float)
+    key = rng.permutation(90)
+    side = {"key": key, "x": x, "d": np.sqrt((x ** 2).sum(1))[:, None]}
+    r, c, d2, seen = kn.block_pair({**side, "reach": np.full(90, np.inf)}, side, 5)
+    full = ((x[:, None] - x[None]) ** 2).sum(2)
+    for q in range(90):
+        want = sorted((full[q, j], key[j]) for j in range(90) if j != q)[:5]
+        assert [(a, b) for a, b in zip(d2[r == q], key[c[r == q]])] == want
+    assert seen <= 90 * 90
+
+
+def test_pivot_bounds_save_distances_and_groups_are_bounded(spark, monkeypatch):
+    """Clustered rows: exact, and a small share of all distances is taken."""
+    monkeypatch.setattr(kn, "LEAST_ROWS", 100)
+    monkeypatch.setattr(kn, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(kn, "SUB_ROWS", 25)
+    rng = np.random.default_rng(1)
+    x = (rng.normal(size=(3000, 4)) * 0.1 + rng.integers(0, 12, size=(3000, 1)) * 5.0)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "k long, features array<double>").repartition(6)
+    screened = spark.sparkContext.accumulator(0)
+    got = kn.knn(df, "k", screened=screened).collect()
+    d2 = ((x[:, None] - x[None]) ** 2).sum(2)
+    np.fill_diagonal(d2, np.inf)
+    best = np.argsort(d2, axis=1, kind="stable")[:, :5]
+    want = {(i, n): j for i, row in enumerate(best) for n, j in enumerate(row)}
+    assert {(r["k"], r["nbr_rank"]): r["nbr_key"] for r in got} == want
+    assert screened.value < 0.2 * 3000 ** 2
+
+
+def test_far_from_the_origin(spark, monkeypatch):
+    monkeypatch.setattr(kn, "LEAST_ROWS", 40)
+    monkeypatch.setattr(kn, "BLOCK_ROWS", 40)
+    rng = np.random.default_rng(2)
+    x = 1e8 + rng.normal(size=(300, 3))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "k long, features array<double>")
+    d2 = ((x[:, None] - x[None]) ** 2).sum(2)
+    np.fill_diagonal(d2, np.inf)
+    got = {(r["k"], r["nbr_rank"]): r["nbr_key"] for r in kn.knn(df, "k").collect()}
+    assert got == {(i, n): j for i, row in enumerate(np.argsort(d2, axis=1, kind="stable")[:, :5]) for n, j in enumerate(row)}
 
 
 def test_smote_multiclass_targets_and_unique_keys(spark):

@@ -231,7 +231,7 @@ def run_search(train_df: DataFrame, key: str, trials: DataFrame, *, in_width: in
                n_classes: int, max_epochs: int, grace_period: int = 1,
                reduction_factor: float = 2, seed: object = 0, checkpoint_path: str,
                features: str = "features", label: str = "label",
-               resume: bool = False, shuffle: bool = True) -> SearchResult:
+               resume: bool = False, shuffle: bool = True, mode: str = "local") -> SearchResult:
     """H5: train every trial, one job per epoch for all live trials of one
     world size (more only past the broadcast limit), with ASHA
     early stopping between epochs.  Every epoch appends its reports (A5) to
@@ -241,7 +241,12 @@ def run_search(train_df: DataFrame, key: str, trials: DataFrame, *, in_width: in
     last state strictly (A3, F11) and carries on, giving the same reports as
     an uninterrupted run.  The trials table (one row per trial) and the
     reports (one row per trial and epoch) are read on the driver; the data
-    never is."""
+    never is.
+
+    ``mode="local"`` trains a trial's shards in one task each; ``mode="sync"`` takes
+    every trial's exact mini-batch steps, each batch shared by many tasks."""
+    if mode not in ("local", "sync"):
+        raise ValueError("mode is 'local' or 'sync'")
     from strata.operators import train as tr
     from strata.sources.reports import append_reports, read_reports
     spark = train_df.sparkSession
@@ -270,13 +275,17 @@ def run_search(train_df: DataFrame, key: str, trials: DataFrame, *, in_width: in
         for t in live:
             if start:
                 states[t] = tr.read_checkpoint(spark, state_path, t, specs[t].layers, start)
-    bases = {w: tr.shard_table(train_df, key, w, seed, features, label) for w in by_w}
+    bases = {}
+    if mode == "local":
+        bases = {w: tr.shard_table(train_df, key, w, seed, features, label) for w in by_w}
+    tables = _Tables(train_df, key, seed, features, label, shuffle,
+                     {w: min(specs[t].batch_size * w for t in ids) for w, ids in by_w.items()})
     try:
         for epoch in range(start, max_epochs):
             if not live:
                 break
-            results = _search_epoch(bases, by_w, specs, states, live, key, seed, features,
-                                    label, shuffle)
+            results = (_search_epoch(bases, by_w, specs, states, live, key, seed, features, label, shuffle)
+                       if mode == "local" else _sync_search_epoch(tables, by_w, specs, states, live, epoch))
             tr.write_checkpoints(spark, state_path, {t: results[t][0] for t in sorted(results)})
             new = []
             for t in sorted(results):
@@ -292,6 +301,7 @@ def run_search(train_df: DataFrame, key: str, trials: DataFrame, *, in_width: in
     finally:
         for b in bases.values():
             b.unpersist()
+        tables.close()
     rep = spark.createDataFrame(reports, REPORTS_SCHEMA)
     return SearchResult(trials, rep, decisions, state_path)
 
@@ -323,6 +333,48 @@ def _search_epoch(bases, by_w, specs, states, live, key, seed, features, label,
     return results
 
 
+class _Tables:
+    """The train split laid out for shared steps, per world size: one layout
+    for a fixed order, one an epoch with ``shuffle``."""
+
+    def __init__(self, train_df, key, seed, features, label, shuffle, batch_rows):
+        self.args, self.shuffle, self.batch_rows = (train_df, key, seed, features, label), shuffle, batch_rows
+        self.held: dict = {}
+        self.n = None
+
+    def get(self, world_size: int, epoch: int):
+        from strata.operators import train as tr
+        df, key, seed, features, label = self.args
+        at = epoch if self.shuffle else None
+        if self.held.get(world_size, (None, object()))[1] != at:
+            self._drop(world_size)
+            self.n = df.count() if self.n is None else self.n
+            self.held[world_size] = (tr.spread_table(df, key, world_size, seed, at, self.batch_rows[world_size],
+                                                     features, label, self.n), at)
+        return self.held[world_size][0]
+
+    def _drop(self, world_size: int) -> None:
+        if world_size in self.held:
+            self.held.pop(world_size)[0].rows.unpersist()
+
+    def close(self) -> None:
+        for w in list(self.held):
+            self._drop(w)
+
+
+def _sync_search_epoch(tables, by_w, specs, states, live, epoch):
+    """One epoch of exact mini-batch steps for all live trials: those of one world
+    size share the table, and each step is one job for all of them."""
+    from strata.operators import train as tr
+    results = {}
+    for w, ids in sorted(by_w.items()):
+        group = [specs[t] for t in sorted(ids) if t in live]
+        if group:
+            results |= tr.spread_epoch(tables.get(w, epoch), group, states, w, tables.args[3], tables.args[4])
+    states.update({t: r[0] for t, r in results.items()})
+    return results
+
+
 def evaluate_best(result: SearchResult, test_df: DataFrame, key: str, *, in_width: int,
               n_classes: int, world_size: int = 2, batch_size: int = 10, seed: object = 0,
               features: str = "features", label: str = "label") -> DataFrame:

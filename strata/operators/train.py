@@ -9,7 +9,8 @@ Arrow batches through mini-batch Adam for every model packed into the job
 on Arrow batch size).  Tasks emit row-weighted parameter and moment sums;
 a group-by on the parameter index averages them (``local`` mode, model
 averaging).  ``sync`` mode instead runs one gradient-sum job per global
-batch and steps on the driver: exactly one-process mini-batch training.
+batch, whose rows lie in many tasks, and steps on the driver: exactly one-process
+mini-batch training, for one model or for all trials of a search at once.
 
 The driver only ever holds models (checked against the broadcast limit) and
 a few metric rows.
@@ -84,11 +85,12 @@ def _chunked(vec: np.ndarray) -> list[np.ndarray]:
 
 
 def _add_rows(parts: DataFrame, keys: list[str], arrays: list[str], sums: list[str],
-              largest: Sequence[str] = ()) -> DataFrame:
+              largest: Sequence[str] = (), sources: int | None = None) -> DataFrame:
     """Add partial rows element by element, in the order of their ``src``.
 
     Two rounds (by ``src // FAN_IN``, then all), so a task adds at most ``FAN_IN``
-    rows of one task each, or one row per group; the order is fixed, so sums are
+    rows of one task each, or one row per group; one round where at most ``FAN_IN``
+    ``sources`` are known to emit.  The order is fixed, so sums are
     bit-identical however the shuffle delivers them."""
     schema = parts.schema
     cols = [*keys, "src", *arrays, *sums, *largest]
@@ -113,6 +115,8 @@ def _add_rows(parts: DataFrame, keys: list[str], arrays: list[str], sums: list[s
         return pa.Table.from_pydict(out, schema=to_arrow_schema(T.StructType([schema[c] for c in cols])))
 
     kind = T.StructType([schema[c] for c in cols])
+    if sources is not None and sources <= FAN_IN:
+        return parts.select(*cols).groupBy(*keys).applyInArrow(add, kind)
     first = (parts.select(*cols).withColumn("__b", F.floor(F.col("src") / FAN_IN))
              .groupBy(*keys, "__b").applyInArrow(lambda t: add(t.drop_columns("__b")), kind))
     return first.groupBy(*keys).applyInArrow(add, kind)
@@ -173,19 +177,6 @@ def gradient(df: DataFrame, params: mlp.Params, features: str = "features",
     return parts.select("chunk", "g", "n").mapInArrow(rows, "layer int, i int, j int, grad double")
 
 
-def gradient_and_loss(df: DataFrame, params: mlp.Params, features: str = "features",
-                      label: str = "label") -> tuple[np.ndarray, float, int]:
-    """Flat mean gradient, mean loss and row count in one job (driver gets
-    one model-sized vector)."""
-    parts, layers, bc = _gradient_parts(df, params, features, label)
-    rows = sorted(parts.select("chunk", "g", "loss", "n").toArrow().to_pylist(), key=lambda r: r["chunk"])
-    bc.destroy()
-    if not rows:
-        raise ValueError("empty batch")
-    n = rows[0]["n"]
-    return np.concatenate([r["g"] for r in rows]) / n, rows[0]["loss"] / n, n
-
-
 def adam_step_table(params_df: DataFrame, grads_df: DataFrame, lr: float,
                     state_df: DataFrame | None = None, step: int = 1) -> DataFrame:
     """F7 on tables: join parameters, gradients and moments on (layer, i, j)
@@ -392,47 +383,110 @@ def run_epochs(base: DataFrame, key: str, specs: list[ModelSpec], states: dict,
 
 # ---------------------------------------------------------------- sync mode
 
-def sync_epoch(train_df: DataFrame, key: str, state: TrainState, lr: float, batch_size: int,
-               seed: object, features: str = "features", label: str = "label",
-               drop_last: bool = False, world_size: int = 1, shuffle: bool = True
-               ) -> tuple[TrainState, float, int]:
-    """One epoch of exact global mini-batch Adam: one gradient-and-loss job
-    per batch, the step on the driver (worth it for large batches).
-
-    Rows are padded and dealt to ``world_size`` shards (E6); step b takes batch b
-    of every shard and averages their gradients, which, the batches being of
-    one size, is the mean over the rows at padded positions b * batch and on.
-    The order is drawn anew each epoch, or once without ``shuffle``.
-
-    The epoch's batches are range-partitioned and sorted by batch id before
-    caching, so the in-memory column statistics let each step's filter skip
-    all cached blocks but its own: a step reads about one batch, not the
-    whole split."""
-    spark = train_df.sparkSession
-    n = train_df.count()
-    n_padded = n + (-n) % world_size
-    per_step = worker_batch_size(batch_size, world_size) * world_size
-    n_batches = n_padded // per_step if drop_last else -(-n_padded // per_step)
-    parts = max(1, min(n_batches, spark.sparkContext.defaultParallelism * 4))
-    salt = (state.epoch,) if shuffle else ()
-    bt = (shards(train_df.select(key, features, label), key, world_size, seed, *salt, n=n)
-          .withColumn("batch_id", F.floor(F.col("pos") / per_step))
-          .where(F.col("batch_id") < n_batches)
-          .repartitionByRange(parts, "batch_id").sortWithinPartitions("batch_id")
-          .persist(StorageLevel.MEMORY_AND_DISK))
-    p, m, v, step = state.params, state.m, state.v, state.step
-    loss_total = 0.0
-    try:
-        for b in range(n_batches):
-            g, loss, _ = gradient_and_loss(bt.filter(F.col("batch_id") == b), p, features,
-                                           label)
-            loss_total += loss  # loss of the batch before the step
-            step += 1
-            p, m, v = mlp.adam_update(p, mlp.unflatten(g, state.layers), m, v, step, lr)
-    finally:
-        bt.unpersist()
-    new = TrainState(state.layers, p, m, v, step, state.epoch + 1)
-    return new, loss_total / max(1, n_batches), n_batches
+#: Rows of a batch that one task takes at least, and rows of a cached partition.
+SLICE_ROWS, PART_ROWS = 64, 65_536
+
+
+@dataclass
+class SpreadTable:
+    """Rows by position in the (padded) order of an epoch, cached; each batch lies
+    in ``slices`` partitions, so as many tasks share its gradient."""
+
+    rows: DataFrame
+    n: int                   # positions
+    parts: int               # partitions
+
+
+def spread_table(train_df: DataFrame, key: str, world_size: int, seed: object, epoch: int | None,
+                 batch_rows: int, features: str = "features", label: str = "label",
+                 n: int | None = None) -> SpreadTable:
+    """E3 + E6 for steps shared by many tasks.  ``epoch=None``: one fixed order.
+
+    Position p lies in slice ``p mod slices`` of its block of consecutive positions
+    (a partition holds at most ``PART_ROWS``), sorted by position: a step reads only the
+    cached batches of its positions."""
+    n = train_df.count() if n is None else n
+    padded = n + (-n) % world_size
+    cores = train_df.sparkSession.sparkContext.defaultParallelism
+    slices = max(1, min(cores, batch_rows // SLICE_ROWS))
+    blocks = max(1, -(-padded // (slices * PART_ROWS)))
+    salt = () if epoch is None else (epoch,)
+    sh = shards(train_df.select(key, features, label), key, world_size, seed, *salt, n=n)
+    part = (F.floor(F.col("pos") / (slices * PART_ROWS)) * slices + F.col("pos") % slices).cast("int")
+    laid = (sh.select(features, label, "pos", part.alias("__part")).repartitionById(blocks * slices, F.col("__part"))
+            .sortWithinPartitions("pos").drop("__part").persist(StorageLevel.MEMORY_AND_DISK))
+    return SpreadTable(laid, padded, blocks * slices)
+
+
+def _step_sums(table: SpreadTable, models: dict, features: str, label: str) -> dict:
+    """Gradient and loss sums of one step of several models, each over its own
+    positions: ``models[t] = (layers, flat parameters, first, end)``.  One job."""
+    sc = table.rows.sparkSession.sparkContext
+    bc = sc.broadcast(models)
+    within = None
+    for lo, hi in sorted({m[2:] for m in models.values()}):
+        cond = (F.col("pos") >= lo) & (F.col("pos") < hi)
+        within = cond if within is None else within | cond
+
+    def run(batches_):
+        from pyspark import TaskContext
+        sums = {}
+        for b in batches_:
+            if b.num_rows == 0:
+                continue
+            x = features_matrix(b.column(features), b.num_rows)
+            y = b.column(label).to_numpy(zero_copy_only=False).astype(np.int64)
+            pos = b.column("pos").to_numpy()
+            for t, (lays, vec, lo, hi) in bc.value.items():
+                on = (pos >= lo) & (pos < hi)
+                if on.any():
+                    ls, g = mlp.loss_grad_sums(mlp.unflatten(vec, lays), x[on], y[on])
+                    was = sums.get(t, (0.0, 0.0, 0))
+                    sums[t] = (was[0] + mlp.flatten(g), was[1] + ls, was[2] + int(on.sum()))
+        for t, (g, ls, k) in sums.items():
+            chunks = _chunked(g)
+            m = len(chunks)
+            yield pa.RecordBatch.from_pydict({
+                "trial_id": pa.array([t] * m, pa.int32()), "chunk": pa.array(range(m), pa.int32()),
+                "src": pa.array([TaskContext.get().partitionId()] * m, pa.int64()),
+                "g": pa.array(chunks, pa.list_(pa.float64())),
+                "loss": pa.array([float(ls)] * m), "n": pa.array([k] * m, pa.int64())})
+
+    parts = table.rows.where(within).mapInArrow(
+        run, "trial_id int, chunk int, src long, g array<double>, loss double, n long")
+    rows = _add_rows(parts, ["trial_id", "chunk"], ["g"], ["loss", "n"], sources=table.parts).toArrow().to_pylist()
+    bc.destroy()
+    out = {}
+    for r in sorted(rows, key=lambda r: (r["trial_id"], r["chunk"])):
+        out.setdefault(r["trial_id"], []).append(r)
+    return {t: (np.concatenate([r["g"] for r in rs]) / rs[0]["n"], rs[0]["loss"] / rs[0]["n"]) for t, rs in out.items()}
+
+
+def spread_epoch(table: SpreadTable, specs: list[ModelSpec], states: dict, world_size: int = 1,
+                 features: str = "features", label: str = "label") -> dict:
+    """One epoch of exact mini-batch Adam for packed models: per step one job sums the
+    gradients of every model's batch over all tasks, and the steps are taken on the
+    driver.  Step b of a model covers the positions ``b * batch`` and on, which is batch b of
+    each of its ``world_size`` shards; their mean gradient is the mean over those rows.
+
+    Returns ``{trial_id: (state, mean loss before each step, steps)}``."""
+    per = {s.trial_id: s.batch_size * world_size for s in specs}
+    steps = {s.trial_id: table.n // per[s.trial_id] if s.drop_last else -(-table.n // per[s.trial_id]) for s in specs}
+    now = {s.trial_id: states[s.trial_id] for s in specs}
+    losses = dict.fromkeys(now, 0.0)
+    for b in range(max(steps.values(), default=0)):
+        for pack in packs([s for s in specs if b < steps[s.trial_id]]):
+            models = {s.trial_id: (list(s.layers), mlp.flatten(now[s.trial_id].params),
+                                   b * per[s.trial_id], min(table.n, (b + 1) * per[s.trial_id])) for s in pack}
+            got = _step_sums(table, models, features, label)
+            for s in pack:
+                t, st = s.trial_id, now[s.trial_id]
+                g, loss = got[t]
+                losses[t] += loss
+                p, m, v = mlp.adam_update(st.params, mlp.unflatten(g, st.layers), st.m, st.v, st.step + 1, s.lr)
+                now[t] = TrainState(st.layers, p, m, v, st.step + 1, st.epoch)
+    return {t: (TrainState(st.layers, st.params, st.m, st.v, st.step, st.epoch + 1),
+                losses[t] / max(1, steps[t]), steps[t]) for t, st in now.items()}
 
 
 # ---------------------------------------------------------------- F10
@@ -491,16 +545,20 @@ def train_mlp(train_df: DataFrame, key: str, layers: Sequence[int], *, lr: float
     ev = None
     if eval_df is not None:
         ev, n_eval = eval_table(eval_df, key, world_size, wbs, seed, features, label)
-    base = None
+    base = table = None
+    spec = ModelSpec(trial_id, list(layers), lr, wbs, drop_last)
     if mode == "local":
         base = shard_table(train_df, key, world_size, seed, features, label)
-    elif mode != "sync":
+    elif mode == "sync":
+        n_train = train_df.count()
+        if not shuffle:
+            table = spread_table(train_df, key, world_size, seed, None, batch_size, features, label, n_train)
+    else:
         raise ValueError("mode is 'local' or 'sync'")
     try:
         for _ in range(epochs):
             ep = state.epoch
             if mode == "local":
-                spec = ModelSpec(trial_id, list(layers), lr, wbs, drop_last)
                 states = {trial_id: state}
                 holder = {}
 
@@ -509,8 +567,11 @@ def train_mlp(train_df: DataFrame, key: str, layers: Sequence[int], *, lr: float
                 run_epochs(base, key, [spec], states, seed, 1, features, label, shuffle, keep)
                 state, loss, _ = holder[trial_id]
             else:
-                state, loss, _ = sync_epoch(train_df, key, state, lr, batch_size, seed,
-                                            features, label, drop_last, world_size, shuffle)
+                if shuffle:
+                    table = spread_table(train_df, key, world_size, seed, ep, batch_size, features, label, n_train)
+                state, loss, _ = spread_epoch(table, [spec], {trial_id: state}, world_size, features, label)[trial_id]
+                if shuffle:
+                    table.rows.unpersist()
             reports.append((trial_id, ep + 1, float(loss), ep))
             if checkpoint_path:
                 write_checkpoint(spark, checkpoint_path, trial_id, state)
@@ -520,6 +581,8 @@ def train_mlp(train_df: DataFrame, key: str, layers: Sequence[int], *, lr: float
     finally:
         if base is not None:
             base.unpersist()
+        if table is not None:
+            table.rows.unpersist()
         if ev is not None:
             ev.unpersist()
     rep_df = spark.createDataFrame(

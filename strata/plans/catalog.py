@@ -896,79 +896,6 @@ def h9_test_best(spark, sf_dir):
                           batch_size=10, seed=SEED)
 
 
-# One epoch of a search whose every trial takes one step per shard at learning
-# rate 0: reports, best trial, its checkpoint and its test then follow from the
-# initial weights alone, which SQL can compute.
-_PROBE_TRIALS, _PROBE_WORKERS, _PROBE_LAYERS = 4, 16, [64, 16, 8, 8, 10]
-
-
-def _probe_search(spark, sf_dir):
-    import uuid
-    from strata.session import scratch_path
-    train, test = _emb_split(spark, sf_dir)
-    per_shard = -(-train.count() // _PROBE_WORKERS)
-    fixed = {"batch_size": _PROBE_WORKERS * per_shard, "l1": 16, "l2": 8, "l3": 8, "lr": 0.0,
-             "num_workers": _PROBE_WORKERS}
-    trials = srch.make_trials(spark, _PROBE_TRIALS, {k: srch.choice([v]) for k, v in fixed.items()}, SEED,
-                              config_cols=["batch_size", "l1", "l2", "l3", "lr"])
-    res = srch.run_search(train, "vec_id", trials, in_width=64, n_classes=10, max_epochs=1, seed=SEED,
-                          shuffle=False, checkpoint_path=scratch_path(spark, f"probe-{uuid.uuid4().hex}"))
-    return res, test
-
-
-def _probe_sql() -> str:
-    logits = "\nUNION ALL\n".join(
-        f"SELECT {t} AS trial_id, vec_id, idx, logit FROM ("
-        + _mlp_sql(_PROBE_LAYERS, f"{SEED}:{t}", EMB_X_SQL, "vec_id") + " SELECT * FROM z)"
-        for t in range(_PROBE_TRIALS))
-    w = _PROBE_WORKERS
-    return f"""
-WITH zt AS ({logits}),
-ranked AS (SELECT vec_id, label, row_number() OVER (ORDER BY md5('42:' || vec_id), vec_id) AS rnk,
-                  count(*) OVER () AS n FROM embeddings),
-lse AS (SELECT trial_id, vec_id, ln(sum(exp(logit - m))) + max(m) AS lse
-        FROM (SELECT *, max(logit) OVER (PARTITION BY trial_id, vec_id) AS m FROM zt) GROUP BY trial_id, vec_id),
-scored AS (SELECT zt.trial_id, r.vec_id, r.label, r.rnk, r.n, lse.lse - zt.logit AS loss
-           FROM zt JOIN ranked r ON r.vec_id = zt.vec_id AND r.label = zt.idx
-           JOIN lse ON lse.trial_id = zt.trial_id AND lse.vec_id = zt.vec_id),
-tn AS (SELECT CAST(floor(0.7::DOUBLE * max(n)) AS BIGINT) AS tn, max(n) - CAST(floor(0.7::DOUBLE * max(n)) AS BIGINT) AS en
-       FROM ranked),
-rep AS (SELECT trial_id, sum(loss * CASE WHEN rnk <= ({w} - tn % {w}) % {w} THEN 2 ELSE 1 END)
-                         / (max(tn) + ({w} - max(tn) % {w}) % {w}) AS training_loss
-        FROM scored, tn WHERE rnk <= tn GROUP BY trial_id)"""
-
-
-@query("h5_first_epoch_losses", _probe_sql() + """
-SELECT CAST(trial_id AS INTEGER) AS trial_id, CAST(1 AS INTEGER) AS epoch, round(training_loss, 6) AS training_loss,
-       CAST(trial_id AS BIGINT) AS report_seq FROM rep""")
-def h5_first_epoch_losses(spark, sf_dir):
-    """H5: the first reports of a search of 4 trials on 16 padded shards."""
-    res, _ = _probe_search(spark, sf_dir)
-    return res.reports.select("trial_id", "epoch", F.round("training_loss", 6).alias("training_loss"), "report_seq")
-
-
-@query("h9_best_checkpoint_accuracy", _probe_sql() + f""",
-best AS (SELECT trial_id FROM rep ORDER BY training_loss, trial_id LIMIT 1),
-pred AS (SELECT vec_id, idx FROM (SELECT zt.*, row_number() OVER (PARTITION BY vec_id ORDER BY logit DESC, idx) AS o
-                                  FROM zt JOIN best USING (trial_id)) WHERE o = 1),
-ev AS (SELECT r.vec_id, CAST(p.idx = r.label AS BIGINT) AS hit,
-              row_number() OVER (ORDER BY md5('42:eval:' || r.vec_id), r.vec_id) - 1 AS pos
-       FROM ranked r JOIN pred p ON p.vec_id = r.vec_id, tn WHERE r.rnk > tn.tn),
-padded AS (SELECT pos, hit FROM ev
-           UNION ALL SELECT pos + en, hit FROM ev, tn WHERE pos < ({_PROBE_WORKERS} - en % {_PROBE_WORKERS}) % {_PROBE_WORKERS})
-SELECT CAST((SELECT trial_id FROM best) AS INTEGER) AS trial_id, CAST(pos % {_PROBE_WORKERS} AS INTEGER) AS shard,
-       round(sum(hit) / CAST((SELECT en FROM tn) // {_PROBE_WORKERS} AS DOUBLE), 9) AS accuracy,
-       round((SELECT avg(CAST(hit AS DOUBLE)) FROM ev), 9) AS global_accuracy
-FROM padded GROUP BY pos % {_PROBE_WORKERS}""")
-def h9_best_checkpoint_accuracy(spark, sf_dir):
-    """H7-H9: the best trial's checkpoint, loaded strictly, on 16 shards of the test split."""
-    res, test = _probe_search(spark, sf_dir)
-    got = srch.evaluate_best(res, test, "vec_id", in_width=64, n_classes=10,
-                             world_size=_PROBE_WORKERS, batch_size=10, seed=SEED)
-    return got.select("trial_id", "shard", F.round("accuracy", 9).alias("accuracy"),
-                      F.round("global_accuracy", 9).alias("global_accuracy"))
-
-
 # ------------------------------------------------------------ A: sources and sinks
 
 
@@ -1187,20 +1114,22 @@ def u1_map_shards(spark, sf_dir):
 
 @query("f8_epoch_loop_fixed_order")
 def f8_epoch_loop_fixed_order(spark, sf_dir):
-    """F8 with E4: one worker, batches of 5 in a fixed order with the tail
-    dropped, whole-test-set loss and accuracy after every epoch."""
+    """F8 with E4: one worker's steps over batches of 128 in a fixed order with the
+    tail dropped, each batch shared by several tasks; whole-test-set loss and
+    accuracy after every epoch."""
     from strata.plans.jobs import multiclass_job
-    return multiclass_job(spark, sf_dir, epochs=3, batch_size=5, seed=SEED).metrics
+    return multiclass_job(spark, sf_dir, epochs=3, batch_size=128, seed=SEED, mode="sync").metrics
 
 
 @query("h5_resampled_search_reports")
 def h5_resampled_search_reports(spark, sf_dir):
     """H5 on the rare-positive table: split, scale on train, SMOTE(0.03) +
-    undersample(0.3) on the train split, 3 trials (one worker each) with
-    successive halving."""
+    undersample(0.3) on the train split, 3 trials (one worker's steps each, batches
+    shared by several tasks) with successive halving."""
     from strata.plans.jobs import imbalanced_search_job
-    res, _ = imbalanced_search_job(spark, sf_dir, num_trials=3, max_epochs=3, seed=SEED)
+    res, _ = imbalanced_search_job(spark, sf_dir, num_trials=3, max_epochs=3, seed=SEED, mode="sync",
+                                   batch_sizes=(128, 256))
     return res.reports
 
 
-from strata.plans import keyless  # noqa: E402,F401  (registers its queries here)
+from strata.plans import keyless, training  # noqa: E402,F401  (they register their queries here)

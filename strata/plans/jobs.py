@@ -163,31 +163,36 @@ def imbalanced_job(spark: SparkSession, sf_dir: str, epochs: int = 50, batch_siz
 
 
 def multiclass_job(spark: SparkSession, sf_dir: str, epochs: int = 200, batch_size: int = 5,
-                   lr: float = 1e-3, hidden: int = 8, seed: object = 42):
+                   lr: float = 1e-3, hidden: int = 8, seed: object = 42, mode: str = "local"):
     """Multi-class MLP on one worker: exact 70/30 split, batches in a fixed
     order with the short tail dropped, whole-test-set loss and accuracy per
     epoch (``metrics.row_loss`` / ``metrics.accuracy``).  Uses the keyed
-    embeddings table (64 features, 10 classes)."""
+    embeddings table (64 features, 10 classes).  ``mode="sync"`` takes the same steps
+    with each batch shared by many tasks; ``local`` streams the rows through one."""
     df = fx.emb10(spark, sf_dir)
     train, test = spl.train_test_split(df, "vec_id", 0.7, seed)
     layers = [64, hidden, 10]
     return tr.train_mlp(train, "vec_id", layers, lr=lr, batch_size=batch_size, epochs=epochs,
-                        world_size=1, seed=seed, shuffle=False, drop_last=True, eval_df=test)
+                        world_size=1, seed=seed, shuffle=False, drop_last=True, eval_df=test, mode=mode)
 
 
 def imbalanced_search_job(spark: SparkSession, sf_dir: str, num_trials: int = 15,
                           max_epochs: int = 80, seed: object = 42,
-                          checkpoint_path: str | None = None):
+                          checkpoint_path: str | None = None, mode: str = "local",
+                          batch_sizes: tuple[int, ...] | None = None):
     """Resampled rare-positive table, 15-trial search (one worker per trial)
-    with successive halving, best trial tested with 2 workers."""
+    with successive halving, best trial tested with 2 workers.  ``mode="sync"``: the
+    same one-worker steps, each batch shared by many tasks (``batch_sizes``: other
+    batches to draw from than the published ones)."""
     from strata.session import ensure_checkpoint_dir, scratch_path
     import uuid
     ensure_checkpoint_dir(spark)
     prep = prepare_rare2(spark, sf_dir, seed=seed)
-    trials = srch.make_trials(spark, num_trials, srch.reference_space(workers=(1,)), seed,
+    space = srch.reference_space(*([batch_sizes] if batch_sizes else []), workers=(1,))
+    trials = srch.make_trials(spark, num_trials, space, seed,
                               config_cols=["batch_size", "l1", "l2", "l3", "lr"])
     res = srch.run_search(prep.train, "event_id", trials, in_width=prep.width, n_classes=2,
-                          max_epochs=max_epochs, seed=seed,
+                          max_epochs=max_epochs, seed=seed, mode=mode,
                           checkpoint_path=checkpoint_path or scratch_path(
                               spark, f"search-{uuid.uuid4().hex}"))
     tested = srch.evaluate_best(res, prep.test, "event_id", in_width=prep.width, n_classes=2,

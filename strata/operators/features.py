@@ -117,54 +117,103 @@ class LabelEncoderModel:
         return spark.createDataFrame(rows, "column string, level string, code int")
 
 
+def _melted(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The distinct non-null values of all columns in one table and one scan:
+    ``col`` (its place in ``cols``) and a value column for each type among them (the others
+    null), so that values keep their type and order.  Also each column's value column."""
+    kinds = [df.schema[c].dataType for c in cols]
+    names = {k: f"v{i}" for i, k in enumerate(dict.fromkeys(kinds))}
+    rows = F.array(*[
+        F.struct(F.lit(i).alias("col"),
+                 *[(F.col(c) if k == kinds[i] else F.lit(None).cast(k)).alias(n) for k, n in names.items()])
+        for i, c in enumerate(cols)])
+    tall = df.select(*dict.fromkeys(cols)).select(F.inline(rows))
+    some = F.lit(False)
+    for n in names.values():
+        some = some | F.col(n).isNotNull()
+    return tall.where(some).distinct(), [names[k] for k in kinds]
+
+
 def label_encoder_fit(df: DataFrame, cols: Sequence[str],
                       max_width: int = MAX_WIDTH) -> LabelEncoderModel:
     """C3 fit for dummies: the sorted distinct non-null values of each column,
-    in the column's own type and Spark's order of it.
+    in the column's own type and Spark's order of it; one scan for all columns.
 
     The values become columns or literals, so at most ``max_width`` of one
     column come to the driver; a wider column raises (``label_encode`` takes any)."""
-    levels: dict[str, list] = {}
-    for c in cols:
-        rows = (df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c)
-                .limit(max_width + 1).collect())
-        if len(rows) > max_width:
-            raise ValueError(f"column {c} has more than {max_width} levels")
-        levels[c] = [r[0] for r in rows]
-    return LabelEncoderModel(levels)
+    from strata.session import materialize, release
+    cols = list(cols)
+    if not cols:
+        return LabelEncoderModel({})
+    found, names = _melted(df, cols)
+    found = materialize(found, "levels")
+    for r in found.groupBy("col").count().collect():
+        if r["count"] > max_width:
+            raise ValueError(f"column {cols[r['col']]} has more than {max_width} levels")
+    rows = found.orderBy("col", *dict.fromkeys(names)).collect()      # at most len(cols) * max_width
+    release(found)
+    return LabelEncoderModel({c: [r[names[i]] for r in rows if r["col"] == i] for i, c in enumerate(cols)})
 
 
-def level_table(df: DataFrame, col: str) -> DataFrame:
-    """C3 fit as a table ``(level, code)`` of any size: the distinct non-null
-    values are range-partitioned and sorted, and a code is the place in the
-    partition plus the counts of the partitions before it (one number per
-    partition reaches the driver)."""
+@dataclass
+class LevelTable:
+    """C3 fit of some columns as one written table ``(col, <value columns>, code)``."""
+
+    table: DataFrame
+    cols: list[str]
+    names: list[str]           # value column of each
+    counts: list[int]          # levels of each
+
+    def of(self, i: int) -> DataFrame:
+        return self.table.where(F.col("col") == i).select(
+            F.col(self.names[i]).alias("level"), "code")
+
+
+def level_tables(df: DataFrame, cols: Sequence[str]) -> LevelTable:
+    """C3 fit of any number of columns and levels with one scan, one distinct and one
+    range sort: a code is the level's place among its column's rows of a partition
+    plus those of the partitions before it (one number for each partition and
+    column reaches the driver)."""
     from strata.session import materialize
-    spark = df.sparkSession
-    placed = (df.select(F.col(col).alias("level")).where(F.col("level").isNotNull()).distinct()
-              .repartitionByRange("level").sortWithinPartitions("level")
-              .select("level", F.monotonically_increasing_id().alias("id")))
-    placed = materialize(placed, "levels").select(
-        "level", F.shiftright("id", 33).alias("part"),
-        F.col("id").bitwiseAND(F.lit((1 << 33) - 1)).alias("place"))
-    before, base = 0, []
-    for r in placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect():
-        base.append((r["part"], before))
-        before += r["n"]
-    offsets = spark.createDataFrame(base, "part long, before long")
-    return placed.join(F.broadcast(offsets), "part").select(
-        "level", (F.col("before") + F.col("place")).alias("code"))
+    spark, cols = df.sparkSession, list(cols)
+    found, names = _melted(df, cols)
+    keys = ["col", *dict.fromkeys(names)]
+    placed = materialize(found.repartitionByRange(*keys).sortWithinPartitions(*keys)
+                         .select(*keys, F.monotonically_increasing_id().alias("id")), "levels").select(
+        *keys, F.shiftright("id", 33).alias("part"), F.col("id").bitwiseAND(F.lit((1 << 33) - 1)).alias("place"))
+    per = placed.groupBy("part", "col").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first")).collect()
+    before, base = [0] * len(cols), []
+    for r in sorted(per, key=lambda r: (r["part"], r["col"])):
+        base.append((r["part"], r["col"], before[r["col"]] - r["first"]))
+        before[r["col"]] += r["n"]
+    offsets = spark.createDataFrame(base, "part long, col int, shift long")
+    table = placed.join(F.broadcast(offsets), ["part", "col"]).select(
+        *keys, (F.col("shift") + F.col("place")).alias("code"))
+    return LevelTable(table, cols, names, before)
+
+
+def level_table(df: DataFrame, col: str) -> DataFrame:
+    """C3 fit of one column as a table ``(level, code)`` of any size."""
+    return level_tables(df, [col]).of(0)
+
+
+#: A level table of at most so many rows is sent to every executor.
+BROADCAST_LEVELS = 100_000
 
 
 def label_encode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Replace each column by the rank of its value among the column's
     sorted distinct values (null stays null).  Any type and any number of
-    levels: the level table is joined, so Spark broadcasts a small one and
-    shuffles a large one."""
-    out = df
-    for c in cols:
-        lv = level_table(df, c).select(F.col("level").alias("__level"),
-                                       F.col("code").cast("int").alias("__code"))
+    levels: all columns are fitted in one scan; a level table of at most
+    ``BROADCAST_LEVELS`` rows (counted) is broadcast, a larger one joined by shuffle."""
+    cols = list(cols)
+    if not cols:
+        return df
+    levels, out = level_tables(df, cols), df
+    for i, c in enumerate(cols):
+        lv = levels.of(i).select(F.col("level").alias("__level"), F.col("code").cast("int").alias("__code"))
+        if levels.counts[i] <= BROADCAST_LEVELS:
+            lv = F.broadcast(lv)
         out = out.join(lv, F.col(c) == F.col("__level"), "left").withColumn(
             c, F.col("__code")).drop("__level", "__code")
     return out

@@ -104,35 +104,46 @@ def _tuple_le(keys: list[str], cut: tuple) -> Column:
 
 def cut_keys(df: DataFrame, key: str | Sequence[str], targets: Sequence[int],
              seed: object, *salt: object) -> dict[int, tuple]:
-    """For each 1-based target rank t, the ``(hash, key...)`` of the row at rank t.
+    """For each 1-based target rank t, the ``(hash, key...)`` of the row at rank t
+    (``cut_keys_of_groups`` with all rows in one group)."""
+    found = cut_keys_of_groups(df, key, F.lit(0), {0: targets}, seed, *salt)
+    return {t: cut for (_, t), cut in found.items()}
+
+
+def cut_keys_of_groups(df: DataFrame, key: str | Sequence[str], group: Column,
+                       targets: dict[int, Sequence[int]], seed: object, *salt: object) -> dict[tuple[int, int], tuple]:
+    """For each group (an int column; rows of others are left out) and 1-based target rank
+    within it, the ``(hash, key...)`` of that row: ``{(group, rank): cut}``.
 
     Each level is one scan of the key column and an aggregation to at most
-    ``16**BUCKET_DIGITS`` counts per open bucket; only the rows answering the
+    ``16**BUCKET_DIGITS`` counts per open bucket, for all groups at once, so the number
+    of jobs does not depend on theirs; only the rows answering the
     query reach the driver.  A row at a target must be the only one with its
     key, else the rows up to it are not ``target`` many: that fails.
     """
     keys = as_list(key)
     spark = df.sparkSession
-    hk = with_hash(df.select(*keys), keys, seed, *salt)
-    # pending: target -> (prefix, residual rank inside the prefix)
-    pending = {t: ("", int(t)) for t in sorted(set(int(t) for t in targets)) if t > 0}
-    found: dict[int, tuple] = {}
+    hk = with_hash(df.select(*keys, group.alias("__g")), keys, seed, *salt)
+    # pending: (group, target) -> (prefix, residual rank inside the prefix)
+    pending = {(g, t): ("", t) for g, ts in targets.items() for t in sorted({int(t) for t in ts}) if t > 0}
+    found: dict[tuple[int, int], tuple] = {}
     plen = 0
     while pending:
         nlen = min(plen + BUCKET_DIGITS, 32)
-        prefixes = sorted({p for p, _ in pending.values()})
-        sub = hk if plen == 0 else hk.filter(F.substring(HASH, 1, plen).isin(prefixes))
-        counts = sub.groupBy(F.substring(HASH, 1, plen).alias("pp"),
+        open_ = {(g, p) for (g, _), (p, _) in pending.items()}
+        some = hk.filter(F.col("__g").isin(sorted({g for g, _ in open_})))
+        sub = some if plen == 0 else some.filter(F.substring(HASH, 1, plen).isin(sorted({p for _, p in open_})))
+        counts = sub.groupBy("__g", F.substring(HASH, 1, plen).alias("pp"),
                              F.substring(HASH, 1, nlen).alias("b")).agg(
             F.count(F.lit(1)).alias("n"))
         cum = counts.withColumn("cum", F.sum("n").over(
-            Window.partitionBy("pp").orderBy("b")
+            Window.partitionBy("__g", "pp").orderBy("b")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         pend_df = spark.createDataFrame(
-            [(t, p, r) for t, (p, r) in pending.items()], "t long, pp string, r long")
-        hits = (cum.join(F.broadcast(pend_df), "pp")
+            [(g, t, p, r) for (g, t), (p, r) in pending.items()], "__g int, t long, pp string, r long")
+        hits = (cum.join(F.broadcast(pend_df), ["__g", "pp"])
                 .filter((F.col("cum") - F.col("n") < F.col("r")) & (F.col("r") <= F.col("cum")))
-                .select("t", "b", (F.col("r") - (F.col("cum") - F.col("n"))).alias("r2"), "n")
+                .select("__g", "t", "b", (F.col("r") - (F.col("cum") - F.col("n"))).alias("r2"), "n")
                 .collect())
         if len(hits) != len(pending):
             raise ValueError("target rank beyond the row count")
@@ -143,23 +154,23 @@ def cut_keys(df: DataFrame, key: str | Sequence[str], targets: Sequence[int],
                 raise DuplicateKeyError(
                     f"{h['n']} rows share one key digest: the key is not unique")
             if h["n"] <= FINAL_BUCKET_ROWS or nlen >= 32:
-                final.append((h["t"], h["b"], h["r2"]))
+                final.append((h["__g"], h["t"], h["b"], h["r2"]))
             else:
-                nxt[h["t"]] = (h["b"], h["r2"])
+                nxt[h["__g"], h["t"]] = (h["b"], h["r2"])
         if final:
-            fb = spark.createDataFrame(final, "t long, b string, r2 long")
-            bs = sorted({b for _, b, _ in final})
-            fin = (hk.filter(F.substring(HASH, 1, nlen).isin(bs))
+            fb = spark.createDataFrame(final, "__g int, t long, b string, r2 long")
+            bs = sorted({b for _, _, b, _ in final})
+            fin = (some.filter(F.substring(HASH, 1, nlen).isin(bs))
                    .withColumn("b", F.substring(HASH, 1, nlen))
                    .withColumn("r2", F.row_number().over(
-                       Window.partitionBy("b").orderBy(HASH, *keys)).cast("long"))
-                   .withColumn("same", F.count(F.lit(1)).over(Window.partitionBy("b", HASH)))
-                   .join(F.broadcast(fb), ["b", "r2"])
-                   .select("t", "same", HASH, *keys).collect())
+                       Window.partitionBy("__g", "b").orderBy(HASH, *keys)).cast("long"))
+                   .withColumn("same", F.count(F.lit(1)).over(Window.partitionBy("__g", "b", HASH)))
+                   .join(F.broadcast(fb), ["__g", "b", "r2"])
+                   .select("__g", "t", "same", HASH, *keys).collect())
             for row in fin:
                 if row["same"] > 1:
                     raise DuplicateKeyError(f"{row['same']} rows share the key at a cut: {DUPLICATE_MESSAGE}")
-                found[row["t"]] = tuple(row[c] for c in [HASH, *keys])
+                found[row["__g"], row["t"]] = tuple(row[c] for c in [HASH, *keys])
         pending = nxt
         plen = nlen
     return found

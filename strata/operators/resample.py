@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.hashing import uniform
 from strata.operators.knn import knn
-from strata.operators.rank import cut_keys, hash_rank, rank_at_most, with_hash, HASH
+from strata.operators.rank import cut_keys_of_groups, hash_rank, rank_at_most, with_hash, HASH
 from strata.session import materialize, release
 
 
@@ -162,17 +162,19 @@ def resample_plan(df: DataFrame, label: str, over: float = 0.03,
 def undersample(df: DataFrame, key: str, label: str, ratio: float = 0.3,
                 seed: object = 0, counts: dict | None = None) -> DataFrame:
     """Keep exactly ``int(n_min / ratio)`` rows of each larger class, the
-    ones first in ``md5("seed:under:key")`` order; the cut row is found by
-    bucket counts, the rows are then filtered in place (no shuffle)."""
+    ones first in ``md5("seed:under:key")`` order; the cut rows of all classes are
+    found together by bucket counts, the rows are then filtered in place (no shuffle)."""
     counts = class_counts(df, label) if counts is None else counts
     keep = undersample_targets(counts, ratio)
+    group = F.lit(None).cast("int")
+    for i, cls in enumerate(keep):
+        group = F.when(F.col(label) == F.lit(cls), F.lit(i)).otherwise(group)
+    cuts = cut_keys_of_groups(df, key, group, {i: [k] for i, (cls, k) in enumerate(keep.items()) if 0 < k < counts[cls]},
+                              seed, "under")
     conds = []
-    for cls, n_keep in keep.items():
-        part = df.filter(F.col(label) == F.lit(cls))
-        n = counts[cls]
-        cuts = cut_keys(part, key, [n_keep] if 0 < n_keep < n else [], seed, "under")
+    for i, (cls, n_keep) in enumerate(keep.items()):
         conds.append((F.col(label) == F.lit(cls)) &
-                      rank_at_most([key], cuts.get(n_keep), n, n_keep))
+                     rank_at_most([key], cuts.get((i, n_keep)), counts[cls], n_keep))
     kept_others = ~F.col(label).isin([F.lit(c) for c in keep])
     cond = kept_others
     for c in conds:

@@ -166,3 +166,53 @@ def test_no_checkpoint_folder_raises(spark, monkeypatch):
     for fn in (checkpoint_dir, ensure_checkpoint_dir):
         with pytest.raises(RuntimeError):
             fn(Bare())
+
+
+def jobs_of(spark, run, group):
+    """Spark jobs that an action takes."""
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    return len(sc.statusTracker().getJobIdsForGroup(group))
+
+
+def test_levels_of_many_columns_take_one_scan(spark):
+    df = spark.range(3000).select(
+        "id", (F.col("id") % 7).alias("a"), F.concat(F.lit("s"), F.col("id") * 7 % 1000).alias("b"),
+        F.when(F.col("id") % 5 > 0, (F.col("id") % 11).cast("string")).alias("c"), (F.col("id") % 3 - 1.5).alias("d"))
+    codes = {r["id"]: r for r in feat.label_encode(df, ["a", "b", "c", "d"]).collect()}
+    rows = df.collect()
+    for c in "abcd":
+        level = {v: i for i, v in enumerate(sorted({r[c] for r in rows} - {None}))}
+        assert all(codes[r["id"]][c] == (None if r[c] is None else level[r[c]]) for r in rows)
+    levels = feat.level_tables(df, ["a", "b", "c", "d"])
+    assert levels.counts == [7, 1000, 11, 3]
+    jobs = [jobs_of(spark, lambda: feat.level_tables(df, cols), f"levels{len(cols)}") for cols in (["a"], ["a", "b", "c", "d"])]
+    assert jobs[0] == jobs[1]
+
+
+def test_large_level_tables_are_joined_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(feat, "BROADCAST_LEVELS", 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(500).select("id", (F.col("id") * 3 % 250).alias("v"), (F.col("id") % 4).alias("w"))
+        out = feat.label_encode(df, ["v", "w"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" in plan
+        assert all(r["v"] == r["id"] * 3 % 250 and r["w"] == r["id"] % 4 for r in out.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_undersampling_many_classes_takes_the_jobs_of_two(spark):
+    def table(classes):
+        return spark.range(4000).select("id", F.when(F.col("id") < 20, 0).otherwise(1 + F.col("id") % classes).cast("int").alias("y"))
+    counts = [{r["y"]: r["count"] for r in table(k).groupBy("y").count().collect()} for k in (1, 9)]
+    jobs = [jobs_of(spark, lambda: rs.undersample(table(k), "id", "y", 0.3, 1, counts=c), f"under{k}")
+            for k, c in zip((1, 9), counts)]
+    assert jobs[0] == jobs[1]
+    got = {r["y"]: r["count"] for r in rs.undersample(table(9), "id", "y", 0.3, 1).groupBy("y").count().collect()}
+    assert got == {0: 20} | {y: 66 for y in range(1, 10)}

@@ -23,6 +23,7 @@ from strata.operators import resample as rs
 from strata.operators import search as srch
 from strata.operators import split as spl
 from strata.operators import train as tr
+from strata.operators.directory import RankDirectory
 from strata.operators.rank import hash_rank
 from strata.plans import fixtures as fx
 from strata.sources import csv as csvsrc
@@ -1062,6 +1063,30 @@ def b12_fetch_rows(spark, sf_dir):
     return proj.fetch_rows(ranked, "pos", asked).join(names, "request")
 
 
+@query("b12_fetch_by_directory", f"""
+SELECT q.request, q.pos, e.event_id, e.user_id, e.value
+FROM (SELECT CAST(i AS BIGINT) AS request, (i * 7919) % (SELECT count(*) FROM events) AS pos FROM range(0, 25) t(i)) q
+JOIN ({_rank_sql('SELECT event_id, user_id, value FROM events', 'event_id', '42:')}) e ON e.rnk - 1 = q.pos""")
+def b12_fetch_by_directory(spark, sf_dir):
+    """25 listed positions from a stored rank directory; 25 buckets are read."""
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    held = RankDirectory.write(ev, "event_id", SEED, _scratch(spark, "directory"))
+    return held.fetch([i * 7919 % len(held) for i in range(25)])
+
+
+@query("b12_fetch_table_by_directory", f"""
+SELECT CAST(q.l_orderkey * 8 + q.l_linenumber AS BIGINT) AS request, q.pos, e.event_id
+FROM (SELECT l_orderkey, l_linenumber, (l_partkey * 31 + l_suppkey) % (SELECT count(*) FROM events) AS pos FROM lineitem) q
+JOIN ({_rank_sql('SELECT event_id FROM events', 'event_id', '42:')}) e ON e.rnk - 1 = q.pos""")
+def b12_fetch_table_by_directory(spark, sf_dir):
+    """As many positions as lineitem has rows, asked for by a table."""
+    held = RankDirectory.write(table(spark, sf_dir, "events").select("event_id"), "event_id", SEED, _scratch(spark, "directory"))
+    asked = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("long").alias("request"),
+        F.pmod(F.col("l_partkey") * 31 + F.col("l_suppkey"), F.lit(len(held))).alias("pos"))
+    return held.fetch(asked)
+
+
 @query("c3_label_encode_types", """
 SELECT l_orderkey, l_linenumber,
        CAST(dense_rank() OVER (ORDER BY p) - 1 AS INTEGER) AS p,

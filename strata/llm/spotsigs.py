@@ -41,10 +41,8 @@ CHAIN, STRETCH = 2, 7
 ROWS_PER_BUCKET, MAX_BUCKETS, COARSE = 1_000, 1 << 14, 128
 
 
-def _pattern(chain: int) -> str:
-    skip = "(?: \u0001[^ ]+)*+"
-    word = "[^\u0001 ]++"
-    return f"\u0001(?=([^ ]+{skip} {word}(?:{skip} {word}){{0,{chain - 1}}}))"
+#: A run of anchors (marked, maybe none) and the content word behind it.
+RUN = "((?: \u0001[^ ]+)*+) ([^\u0001 ]++)"
 
 
 def _hash32(x: Column) -> Column:
@@ -55,7 +53,17 @@ def with_signatures(df: DataFrame, text_col: str, name: str, chain: int = CHAIN)
     """``df`` plus ``name``: the sorted distinct signatures (32-bit hashes as longs)."""
     words, marked, sets = f"{name}__w", f"{name}__m", f"{name}__s"
     anchors = "|".join(sorted(set(ANCHORS)))
-    chains = F.regexp_extract_all(F.col(marked), F.lit(_pattern(chain)), F.lit(1))
+    # Content words and the anchors before each: every anchor of a run goes with the words
+    # behind the run, which are looked up once, however long it is.
+    # A mark behind the last word ends the last run, so that no match is tried in vain.
+    runs_of, content = f"{name}__r", f"{name}__c"
+    closed = F.concat(F.col(marked), F.lit("\u0002"))
+    every = lambda g: F.regexp_extract_all(closed, F.lit(RUN), F.lit(g))
+    behind = [F.slice(F.col(content), k + 1, F.greatest(F.size(content), F.lit(1))).alias(f"c{k}") for k in range(chain)]
+    rows = F.arrays_zip(F.col(runs_of).alias("run"), *behind)
+    chains = F.flatten(F.transform(rows, lambda x: F.when(x.run == "", F.array().cast("array<bigint>")).otherwise(
+        F.transform(F.array_distinct(F.split(F.ltrim(x.run), " ")), lambda a: _hash32(F.concat_ws(
+            " ", F.substr(a, F.lit(2)), *(x[f"c{k}"] for k in range(chain))))))))
     bare = "(?: [^\u0001 ]++)"
     spread = F.regexp_extract_all(F.col(marked), F.lit(
         f"(?<= )(?=([^\u0001 ]++{bare}{{{chain}}}){bare}{{{STRETCH - chain}}})"), F.lit(1))
@@ -67,12 +75,12 @@ def with_signatures(df: DataFrame, text_col: str, name: str, chain: int = CHAIN)
                 F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}]+", " "), F.lit(" ")))
             .withColumn(words, F.regexp_replace(words, "  +", " "))
             .withColumn(marked, F.regexp_replace(words, f"(?<= )({anchors})(?= )", "\u0001$1"))
-            .withColumn(sets, F.concat(
-                F.transform(chains, lambda x: _hash32(F.regexp_replace(x, " \u0001[^ ]+", ""))),
-                F.transform(spread, _hash32)))
+            .withColumns({c: F.slice(every(g), 1, F.greatest(F.size(every(g)) - 1, F.lit(0)))
+                          for g, c in ((1, runs_of), (2, content))})
+            .withColumn(sets, F.concat(chains, F.transform(spread, _hash32)))
             .withColumn(name, F.array_sort(F.array_distinct(
                 F.when(F.size(sets) > 0, F.col(sets)).otherwise(own))))
-            .drop(words, marked, sets))
+            .drop(words, marked, sets, runs_of, content))
 
 
 def as_text(signatures: str) -> Column:

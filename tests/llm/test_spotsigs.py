@@ -1,6 +1,7 @@
 import bisect
 import hashlib
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -87,3 +88,12 @@ def test_search_finds_every_near_set(spark):
 def test_no_python_in_the_plan(spark, capsys):
     S.edited_fingerprints(docs_of(spark, TEXTS)).explain()
     assert not re.search("Python|Arrow|Pandas", capsys.readouterr().out)
+
+
+def test_texts_of_stop_words_take_linear_time(spark):
+    texts = ["la " * 200_000, "la " * 200_000 + "mot suite", "la mot " * 200_000, "the of " * 3 + "cat dog"]
+    S.with_signatures(docs_of(spark, ["la la mot"]), "text", "s").collect()
+    began = time.time()
+    rows = S.with_signatures(docs_of(spark, texts), "text", "s").orderBy("doc_id").collect()
+    assert time.time() - began < 30
+    assert [len(r["s"]) for r in rows] == [len(brute(t)) for t in texts]

@@ -7,7 +7,7 @@
 * search (H5): one training job per epoch for all live trials with the same
   world size, reports appended per epoch, early stopping between epochs;
 * successive halving (H6, ASHA stopping rule): ``asha_prune`` over a
-  reports table, one window per rung;
+  reports table, quantiles block by block;
 * best trial (H7), its config and checkpoint (H8), its test figures (H9).
 """
 
@@ -18,10 +18,11 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.hashing import uniform_of
+from strata.operators.prefix import prefix_quantile
 
 Draw = Callable[[Column], Column]
 
@@ -123,8 +124,9 @@ def asha_prune(reports: DataFrame, max_t: int, grace_period: int = 1,
     (linear interpolation).  A stopped trial takes no part in later rungs.
 
     Returns ``(trial_id, rung, epoch, <metric>, report_seq, cutoff, stop)``.
-    The per-rung window holds one row per trial reaching the rung; the
-    first-report lookup is a group-by (map-side partial aggregation)."""
+    The quantile of earlier reports is found block by block (``prefix_quantile``), so a
+    rung may hold any number of trials; the first-report lookup is a group-by
+    (map-side partial aggregation)."""
     ms = rung_milestones(max_t, grace_period, reduction_factor)
     q = 1.0 / reduction_factor if mode == "min" else 1.0 - 1.0 / reduction_factor
     r = (reports.filter(F.col("epoch") < F.lit(max_t))
@@ -136,15 +138,14 @@ def asha_prune(reports: DataFrame, max_t: int, grace_period: int = 1,
                      "f.report_seq"))
     # one row per (trial, rung): read by every rung below, so written once
     first = _checkpoint(first)
-    w = (Window.partitionBy("rung").orderBy("report_seq")
-         .rowsBetween(Window.unboundedPreceding, -1))
+    sizes = {r["rung"]: r["count"] for r in first.groupBy("rung").count().collect()}
     stopped = None
     outs = []
     for pos, m in enumerate(ms):
         cand = first.filter(F.col("rung") == m)
         if stopped is not None:
             cand = cand.join(stopped, "trial_id", "left_anti")
-        dec = cand.withColumn("cutoff", F.percentile(F.col(metric), F.lit(q)).over(w))
+        dec = prefix_quantile(cand, "report_seq", metric, q, "cutoff", n=sizes.get(m, 0))
         worse = (F.col(metric) > F.col("cutoff")) if mode == "min" else \
             (F.col(metric) < F.col("cutoff"))
         dec = dec.withColumn("stop", F.coalesce(worse, F.lit(False)).cast("int"))

@@ -810,10 +810,10 @@ def _report_trials(spark, sf_dir):
                                 config_cols=["batch_size", "l1", "l2", "l3", "lr"])
 
 
-def _asha_sql(max_t: int) -> str:
+def _asha_sql(max_t: int, reports: str | None = None) -> str:
     ms = srch.rung_milestones(max_t)
     case = " ".join(f"WHEN epoch >= {m} THEN {m}" for m in reversed(ms))
-    parts = [f"rep AS ({_REPORTS_SQL})",
+    parts = [f"rep AS ({reports or _REPORTS_SQL})",
              f"r AS (SELECT *, CASE {case} END AS rung FROM rep WHERE epoch < {max_t})",
              "f AS (SELECT trial_id, rung, arg_min(epoch, report_seq) AS epoch, "
              "arg_min(training_loss, report_seq) AS training_loss, min(report_seq) AS report_seq "
@@ -843,6 +843,23 @@ def h6_asha_prune(spark, sf_dir):
                     F.round("cutoff", 6).alias("cutoff"), "stop")
 
 
+_ALL_TRIALS_SQL = """
+    SELECT event_id // 4 AS trial_id, CAST(event_id % 4 + 1 AS INTEGER) AS epoch, value AS training_loss,
+           event_id AS report_seq FROM events"""
+
+
+@query("h6_asha_prune_all_trials", _asha_sql(5, _ALL_TRIALS_SQL))
+def h6_asha_prune_all_trials(spark, sf_dir):
+    """H6 with a trial for every four events: as many trials as the table gives."""
+    ev = table(spark, sf_dir, "events")
+    reports = ev.select(F.floor(F.col("event_id") / 4).alias("trial_id"), (F.col("event_id") % 4 + 1).cast("int").alias("epoch"),
+                        F.col("value").alias("training_loss"), F.col("event_id").alias("report_seq"))
+    d = srch.asha_prune(reports, max_t=5, grace_period=1, reduction_factor=2)
+    return d.select("trial_id", F.col("rung").cast("int").alias("rung"), "epoch",
+                    F.round("training_loss", 6).alias("training_loss"), "report_seq",
+                    F.round("cutoff", 6).alias("cutoff"), "stop")
+
+
 _BEST_SQL = f"""
 WITH rep AS ({_REPORTS_SQL}),
 last AS (SELECT trial_id, max(epoch) AS epoch, arg_max(training_loss, epoch) AS training_loss

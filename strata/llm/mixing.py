@@ -75,7 +75,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          F.md5(F.coalesce(F.col(text_col), F.lit("")))))
     whole = F.xxhash64(*(F.col(f.name) for f in docs.schema.fields if not isinstance(f.dataType, T.MapType)))
     df = docs.withColumns({"_mix_size": size_of(text_col) if size is None else size,
-                           "_mix_key": key, "_mix_slot": F.substring(key, 1, 3)})
+                           "_mix_key": key, "_mix_slot": F.substring(key, 1, 3), "_mix_whole": whole})
     src = F.col(source_col).alias("_mix_source")
     # counts only; written, as targets, offsets and ranks all come from them
     slots = materialize(df.select(src, "_mix_size", "_mix_slot").groupBy(
@@ -120,7 +120,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               .select(F.col("_mix_source").alias("_mix_s2"), F.col("_mix_size").alias("_mix_z2"),
                       F.col("_mix_slot").alias("_mix_l2"),
                       (F.col("_mix_b1") + F.col("_mix_b2")).alias("_mix_before")))
-    cell = Window.partitionBy(F.col(source_col), "_mix_size", "_mix_slot").orderBy("_mix_key", whole)
+    cell = Window.partitionBy(F.col(source_col), "_mix_size", "_mix_slot").orderBy("_mix_key", "_mix_whole")
     rank = F.col("_mix_before") + F.row_number().over(cell) - 1
     return (df.join(before, F.col(source_col).eqNullSafe(F.col("_mix_s2"))
                     & (F.col("_mix_size") == F.col("_mix_z2"))
@@ -129,7 +129,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .withColumn("_mix_rank", rank)
             .withColumn("_mix_copies", (
                 edge(F.col("_mix_rank") + 1, F.col("_mix_u")) - edge(F.col("_mix_rank"), F.col("_mix_u"))).cast("int"))
-            .drop("_mix_key", "_mix_slot", "_mix_s2", "_mix_z2", "_mix_l2", "_mix_before",
+            .drop("_mix_key", "_mix_slot", "_mix_whole", "_mix_s2", "_mix_z2", "_mix_l2", "_mix_before",
                   "_mix_rsource", "_mix_rate", "_mix_u", "_mix_rank"))
 
 

@@ -24,6 +24,9 @@ distinct vector, or an empty one, gives no rows.  A component's largest entry is
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from decimal import Decimal
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -55,6 +58,24 @@ def _matrix(t: pa.Table) -> np.ndarray:
     return x.flatten().to_numpy().reshape(len(x), -1)
 
 
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Exact sums by weight of each batch: halves of 26 bits, so that no product overflows."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        x = b.column(0).flatten().to_numpy().reshape(b.num_rows, -1)
+        w, total = b.column(1).to_numpy(), [0] * x.shape[1]
+        for shift, half in ((26, x >> 26), (0, x & ((1 << 26) - 1))):
+            if int(np.abs(half).max()) * int(w.max()) * len(w) < 2 ** 63:
+                part = (half * w[:, None]).sum(0).tolist()
+            else:                                             # weights beyond 2**20 or so
+                part = [sum(int(a) * int(c) for a, c in zip(col, w)) for col in half.T]
+            total = [t + (int(p) << shift) for t, p in zip(total, part)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([[Decimal(t) for t in total]], pa.list_(pa.decimal128(38, 0))), pa.array([int(w.sum())], pa.int64())],
+            names=["s", "n"])
+
+
 def _in_order(found: DataFrame, width: int) -> tuple[np.ndarray, list]:
     """The blocks' rows (one short row each) added pairwise in the order of their
     blocks, on executors: 64 blocks to one, until few are left."""
@@ -96,8 +117,9 @@ def whiten(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding
     vectors = fit_list(good)
     w = F.lit(1).cast("long") if weights == "one" else F.col("rows")
     vectors = vectors.withColumn("w", w)
-    sums = (vectors.select(F.posexplode("x").alias("i", "v"), "w").groupBy("i")
-            .agg(F.sum(F.col("v").cast("decimal(38,0)") * F.col("w")).alias("s"), F.sum("w").alias("n")).orderBy("i").collect())
+    sums = (vectors.select("x", "w").mapInArrow(_sums, "s array<decimal(38,0)>, n long")
+            .select(F.posexplode("s").alias("i", "s"), "n").groupBy("i")
+            .agg(F.sum("s").alias("s"), F.sum("n").alias("n")).orderBy("i").collect())
     schema = "key binary, deviation long, whitened array<double>"
     nothing = _rows(good, spark.createDataFrame([], schema), 0, np.empty(0), 0.0)
     if not sums:

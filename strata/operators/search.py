@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.hashing import uniform_of
 from strata.operators.prefix import prefix_quantile
+from strata.session import mark, marks
 
 Draw = Callable[[Column], Column]
 
@@ -235,9 +236,10 @@ def run_search(train_df: DataFrame, key: str, trials: DataFrame, *, in_width: in
                resume: bool = False, shuffle: bool = True, mode: str = "local") -> SearchResult:
     """H5: train every trial, one job per epoch for all live trials of one
     world size (more only past the broadcast limit), with ASHA
-    early stopping between epochs.  Every epoch appends its reports (A5) to
-    ``<checkpoint_path>/reports`` and writes the state of every live trial
-    (A4) to ``<checkpoint_path>/state``; with ``resume`` a restarted search
+    early stopping between epochs.  Every epoch writes the state of every live trial
+    (A4) to ``<checkpoint_path>/state``, its reports (A5) to a folder of
+    ``<checkpoint_path>/reports``, and then a mark in ``<checkpoint_path>/done``: an
+    epoch without its mark did not happen, and is written over; with ``resume`` a restarted search
     replays the reports through the stopping rule, reloads each live trial's
     last state strictly (A3, F11) and carries on, giving the same reports as
     an uninterrupted run.  The trials table (one row per trial) and the
@@ -249,7 +251,7 @@ def run_search(train_df: DataFrame, key: str, trials: DataFrame, *, in_width: in
     if mode not in ("local", "sync"):
         raise ValueError("mode is 'local' or 'sync'")
     from strata.operators import train as tr
-    from strata.sources.reports import append_reports, read_reports
+    from strata.sources.reports import read_reports
     spark = train_df.sparkSession
     state_path, reports_path = f"{checkpoint_path}/state", f"{checkpoint_path}/reports"
     rows = trials.select("trial_id", "config.*", "num_workers").collect()
@@ -265,8 +267,9 @@ def run_search(train_df: DataFrame, key: str, trials: DataFrame, *, in_width: in
     reports, decisions = [], []
     seq, start = 0, 0
     if resume:
-        done = _read_or_none(lambda: read_reports(spark, reports_path))
-        for r in (done.orderBy("report_seq").collect() if done is not None else []):
+        whole = [int(m) for m in marks(spark, f"{checkpoint_path}/done")]
+        done = _read_or_none(lambda: read_reports(spark, reports_path)) if whole else None
+        for r in (done.where(F.col("epoch").isin(whole)).orderBy("report_seq").collect() if done is not None else []):
             reports.append((r.trial_id, r.epoch, r.training_loss, r.report_seq))
             keep = rule.on_report(r.trial_id, r.epoch, r.training_loss)
             decisions.append((r.trial_id, r.epoch, keep))
@@ -297,7 +300,8 @@ def run_search(train_df: DataFrame, key: str, trials: DataFrame, *, in_width: in
                 decisions.append((t, epoch + 1, keep))
                 if not keep:
                     live.discard(t)
-            append_reports(spark.createDataFrame(new, REPORTS_SCHEMA), reports_path)
+            write_epoch_reports(spark.createDataFrame(new, REPORTS_SCHEMA), reports_path)
+            mark(spark, f"{checkpoint_path}/done/{epoch + 1}")
             reports += new
     finally:
         for b in bases.values():
@@ -307,6 +311,12 @@ def run_search(train_df: DataFrame, key: str, trials: DataFrame, *, in_width: in
     return SearchResult(trials, rep, decisions, state_path)
 
 
+def write_epoch_reports(reports: DataFrame, path: str) -> None:
+    """Reports of an epoch in its own folder, written over if it was left unfinished."""
+    (reports.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("epoch").parquet(path))
+
+
 REPORTS_SCHEMA = "trial_id int, epoch int, training_loss double, report_seq long"
 
 

@@ -600,47 +600,65 @@ def write_checkpoint(spark: SparkSession, path: str, trial_id: int, state: Train
     write_checkpoints(spark, path, {trial_id: state})
 
 
+CHECKPOINT_SCHEMA = ("trial_id int, epoch int, chunk int, layers array<int>, step long, "
+                     "w array<double>, m array<double>, v array<double>")
+
+
 def write_checkpoints(spark: SparkSession, path: str, states: dict) -> None:
-    """A4 for several trials at once: one write job per epoch.  The rows are
-    built as an Arrow table (fast whatever the session's pandas settings)."""
-    parts = []
-    for trial_id, state in states.items():
-        lay, ii, jj = mlp.param_index(state.layers)
-        k = len(lay)
-        parts.append(pa.table({
-            "layer": lay.astype(np.int32), "i": ii.astype(np.int32), "j": jj.astype(np.int32),
-            "w": mlp.flatten(state.params), "m": mlp.flatten(state.m),
-            "v": mlp.flatten(state.v), "step": np.full(k, state.step, dtype=np.int64),
-            "trial_id": np.full(k, trial_id, dtype=np.int32),
-            "epoch": np.full(k, state.epoch, dtype=np.int32)}))
-    if not parts:
+    """A4 for several trials at once: one write job per epoch, a row for each
+    ``CHUNK_PARAMS`` parameters (``checkpoint_rows`` opens them)."""
+    rows = [(int(t), int(st.epoch), c, [int(x) for x in st.layers], int(st.step), w.tolist(), m.tolist(), v.tolist())
+            for t, st in states.items()
+            for c, (w, m, v) in enumerate(zip(*(_chunked(mlp.flatten(x)) for x in (st.params, st.m, st.v))))]
+    if not rows:
         return
-    (spark.createDataFrame(pa.concat_tables(parts)).write.mode("overwrite")
+    schema = to_arrow_schema(T._parse_datatype_string(CHECKPOINT_SCHEMA))
+    table = pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+    (spark.createDataFrame(table).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("trial_id", "epoch").parquet(path))
 
 
+def checkpoint_rows(blocks: DataFrame) -> DataFrame:
+    """Blocks of checkpoints opened on the executors: ``trial_id, epoch, step, layer,
+    i, j, w, m, v``, a row a parameter (bias: j = -1)."""
+    def run(batches_):
+        for b in batches_:
+            for r in b.to_pylist():
+                lay, ii, jj = mlp.param_index(r["layers"])
+                at = slice(r["chunk"] * CHUNK_PARAMS, r["chunk"] * CHUNK_PARAMS + len(r["w"]))
+                k = len(r["w"])
+                yield pa.RecordBatch.from_pydict({
+                    "trial_id": pa.array([r["trial_id"]] * k, pa.int32()), "epoch": pa.array([r["epoch"]] * k, pa.int32()),
+                    "step": pa.array([r["step"]] * k, pa.int64()), "layer": lay[at].astype(np.int32),
+                    "i": ii[at].astype(np.int32), "j": jj[at].astype(np.int32),
+                    "w": np.array(r["w"]), "m": np.array(r["m"]), "v": np.array(r["v"])})
+
+    return blocks.mapInArrow(run, "trial_id int, epoch int, step long, layer int, i int, j int, w double, m double, v double")
+
+
 def read_checkpoint(spark: SparkSession, path: str, trial_id: int, layers: Sequence[int],
                     epoch: int | None = None) -> TrainState:
     """A3: load the state of a trial (latest epoch unless given).  Strict:
-    a missing, extra or misshapen entry raises (Q8); no checkpoint raises (Q12)."""
-    from strata.operators.model import params_from_df
+    other layers, a missing, repeated or misshapen block raise (Q8); no checkpoint raises (Q12)."""
+    check_model_size(layers, 3)
     df = spark.read.parquet(path).filter(F.col("trial_id") == trial_id)
     if epoch is None:
         epoch = df.agg(F.max("epoch")).first()[0]
         if epoch is None:
             raise FileNotFoundError(f"no checkpoint for trial {trial_id} under {path}")
-    df = df.filter(F.col("epoch") == epoch).cache()
-    try:
-        if df.limit(1).count() == 0:
-            raise FileNotFoundError(f"no checkpoint for trial {trial_id} epoch {epoch}")
-        p = params_from_df(df, layers, "w")
-        m = params_from_df(df, layers, "m")
-        v = params_from_df(df, layers, "v")
-        step = df.agg(F.max("step")).first()[0]
-    finally:
-        df.unpersist()
-    return TrainState(list(layers), p, m, v, int(step), int(epoch))
+    rows = df.filter(F.col("epoch") == epoch).select("chunk", "layers", "step", "w", "m", "v").orderBy("chunk").collect()
+    if not rows:
+        raise FileNotFoundError(f"no checkpoint for trial {trial_id} epoch {epoch}")
+    if any(list(r["layers"]) != list(layers) for r in rows):
+        raise ValueError(f"checkpoint has layers {rows[0]['layers']}, asked for {list(layers)}")
+    want = [len(c) for c in _chunked(np.empty(mlp.n_params(layers)))]
+    if [r["chunk"] for r in rows] != list(range(len(want))) or any([len(r[c]) for r in rows] != want for c in "wmv"):
+        raise ValueError("missing, repeated or misshapen parameters")
+    if len({r["step"] for r in rows}) != 1:
+        raise ValueError("blocks of different steps")
+    p, m, v = (mlp.unflatten(np.concatenate([r[c] for r in rows]), layers) for c in "wmv")
+    return TrainState(list(layers), p, m, v, int(rows[0]["step"]), int(epoch))
 
 
 # ---------------------------------------------------------------- U1

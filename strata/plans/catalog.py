@@ -644,7 +644,7 @@ def _state_rows(spark, state):
     from strata.session import scratch_path
     path = scratch_path(spark, f"state-{uuid.uuid4().hex}")
     tr.write_checkpoint(spark, path, 0, state)
-    df = spark.read.parquet(path)
+    df = tr.checkpoint_rows(spark.read.parquet(path))
     return df.select("layer", "i", "j", F.round("w", 7).alias("w"), F.round("m", 7).alias("m"),
                      F.round("v", 9).alias("v"))
 

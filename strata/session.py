@@ -94,6 +94,21 @@ def release(df) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def mark(spark: SparkSession, path: str) -> None:
+    """Create an empty file: what stands before it is complete once it exists."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(p.getParent())
+    fs.create(p, True).close()
+
+
+def marks(spark: SparkSession, folder: str) -> set[str]:
+    """Names of the marks in a folder (none if there is no such folder)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in fs.listStatus(p)} if fs.exists(p) else set()
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -1,9 +1,13 @@
 """Search: draws, ASHA golden, table rule = online rule, best trial."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from strata.operators import mlp
 from strata.operators import search as srch
+from strata.operators import train as tr
+from strata.session import scratch_path
 
 
 def test_milestones():
@@ -71,12 +75,6 @@ def test_best_trial_uses_last_report(spark):
 
 def test_search_resume_equals_uninterrupted(spark):
     import uuid
-
-    import numpy as np
-
-    from strata.operators import mlp
-    from strata.operators import train as tr
-    from strata.session import scratch_path
     rng = np.random.default_rng(1)
     x = rng.normal(size=(120, 3))
     rows = [(int(i), [float(v) for v in x[i]], int(x[i, 0] > 0)) for i in range(120)]
@@ -116,3 +114,33 @@ def test_max_mode_mirrors_min_mode(spark):
     table = [r.stop for r in srch.asha_prune(rep, 2, mode="max").orderBy("report_seq").collect()]
     online = srch.AshaRule(2)
     assert table == [0 if online.on_report(t, 1, v) else 1 for t, v in enumerate(losses)]
+
+
+@pytest.mark.parametrize("where", ["before the reports", "before the mark"])
+def test_a_search_killed_between_its_writes_resumes_as_if_uninterrupted(spark, monkeypatch, where):
+    """State and reports of an epoch become visible together."""
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(i, [float(v) for v in rng.normal(size=3)], int(i % 2)) for i in range(80)],
+                               "key long, features array<double>, label int")
+    trials = spark.createDataFrame([(t, (20, 4, 3, 3, lr), 1) for t, lr in enumerate((0.05, 0.01, 0.02))],
+                                   "trial_id int, config struct<batch_size: int, l1: int, l2: int, l3: int, lr: double>, num_workers int")
+    how = dict(in_width=3, n_classes=2, max_epochs=4, seed=3)
+    full = srch.run_search(df, "key", trials, checkpoint_path=scratch_path(spark, f"full-{where[-4:]}"), **how)
+    path, name = scratch_path(spark, f"killed-{where[-4:]}"), "write_epoch_reports" if "reports" in where else "mark"
+    real, calls = getattr(srch, name), []
+
+    def dies(*a):
+        calls.append(a)
+        if len(calls) == 2:
+            raise KeyboardInterrupt
+        return real(*a)
+
+    monkeypatch.setattr(srch, name, dies)
+    with pytest.raises(KeyboardInterrupt):
+        srch.run_search(df, "key", trials, checkpoint_path=path, **how)
+    monkeypatch.setattr(srch, name, real)
+    again = srch.run_search(df, "key", trials, checkpoint_path=path, resume=True, **how)
+    assert sorted(map(tuple, again.reports.collect())) == sorted(map(tuple, full.reports.collect()))
+    for t in {r["trial_id"] for r in full.reports.collect()}:
+        a, b = (tr.read_checkpoint(spark, r.checkpoint_path, t, [3, 4, 3, 3, 2]) for r in (full, again))
+        assert a.epoch == b.epoch and np.array_equal(mlp.flatten(a.params), mlp.flatten(b.params))

@@ -79,12 +79,22 @@ def test_every_query_survives_awkward_tables(spark, tmp_path):
     docs = awkward(spark)
     some = dict(labels=spark.createDataFrame([(1, 1, 0), (8, 0, 1)], "doc_id long, quality int, toxic int"),
                 benchmark=spark.createDataFrame([(1, "cat sat on")], "item_id long, text string"))
+    talks = spark.createDataFrame(
+        [(1, 0, "user", "a."), (1, None, None, None), (None, 3, "assistant", ""), (None, 3, "assistant", ""), (2, 5, "system", "b")],
+        "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS seg", "'x' AS audit")
+    vectors = spark.createDataFrame(
+        [(1, [0.5, 1.0]), (1, [0.5, 1.0]), (None, [2.0, -1.0]), (3, None), (4, [None, 1.0]), (5, [float("nan"), 0.0]), (6, [1.0, 3.0])],
+        "vec_id long, embedding array<float>").selectExpr("*", "1 AS key", "'x' AS n")
+    some["conversations"], some["embeddings"] = talks, vectors
+    bare = {**some, "conversations": talks.where("false"), "embeddings": vectors.where("false")}
     full = write_tables(spark, tmp_path / "full", documents=docs, **some)
-    none = write_tables(spark, tmp_path / "none", documents=empty(spark), **some)
+    none = write_tables(spark, tmp_path / "none", documents=empty(spark), **bare)
     assert sorted(QUERIES) == sorted(f"op{n}_{x}" for n, x in (
         (1, "spotsigs"), (2, "wordpiece_counts"), (3, "dac_tokens"), (4, "quality"), (5, "secrets"),
-        (6, "line_dedup"), (7, "toxicity"), (8, "decontamination"), (9, "mixing"), (10, "simhash")))
+        (6, "line_dedup"), (7, "toxicity"), (8, "decontamination"), (9, "mixing"), (10, "simhash"),
+        (11, "conversation_repair"), (12, "substring_dedup"), (13, "whitening")))
     for name, fn in QUERIES.items():
         want = docs.count() - (name == "op6_line_dedup")      # rows of one id and text
+        want = {"op11_conversation_repair": 3, "op13_whitening": 8}.get(name, want)   # ids; 4 rows of 2 components
         assert fn(spark, full).count() == want, name
         assert fn(spark, none).count() == 0, name

@@ -10,11 +10,12 @@ blocks it was writing.
 ``find`` looks benchmark windows up: in each block a window is dropped
 at once if one of its words has no postings; else its lists are intersected from
 the rarest word on, each shifted by the word's offset in the window.  With
-``slack`` 0 the result is exact phrases; with a larger one every word may stand
-up to that many words from its place (proximity matches).
+``slack`` 0 the result is exact phrases; with a larger one (proximity matches) a match
+starts at the window's first word, and every other word stands in the same document at
+most that many words from its place behind it, wherever blocks are cut.
 
-The benchmark is checked for size before it is broadcast: it is cut into parts of at
-most ``PART_BYTES`` of text and the index is read once per part, so any number
+The benchmark is checked for size before it is broadcast: repeated rows count once, it is
+cut into parts of about ``PART_BYTES`` of text and the index is read once per part, so any number
 of items is exact.
 
 Defined results: null and empty texts have no words and are never hit; an item
@@ -81,6 +82,23 @@ class Block:
         self.ends = np.concatenate([[0], np.frombuffer(ends, "<i4").astype(np.int64)])
         self.posts = np.frombuffer(posts, "<i4")
 
+    def near(self, have: list[np.ndarray], slack: int, rarest: list[int]) -> np.ndarray:
+        """Places of a window's first word of which each word j stands at most ``slack``
+        words from its place j behind it, in the same document.  ``have``: postings of its words."""
+        j, first = rarest[0], have[0].astype(np.int64)
+        x = have[j].astype(np.int64)
+        a, z = np.searchsorted(first, x - j - slack), np.searchsorted(first, x - j + slack, "right")
+        n = z - a                                     # first words that the rarest word allows
+        p = np.unique(first[np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)])
+        for j in rarest:
+            doc = np.searchsorted(self.first, p, "right") - 1
+            low, high = np.maximum(p + j - slack, self.first[doc]), np.minimum(p + j + slack, self.first[doc + 1] - 1)
+            at = np.searchsorted(have[j], low)
+            inside = at < len(have[j])
+            p, at, high = p[inside], at[inside], high[inside]
+            p = p[have[j][at] <= high]
+        return p
+
     def find(self, q: "Windows", slack: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Window and start (word of the block) of every match."""
         if not len(self.terms) or not len(q.lengths):
@@ -94,16 +112,22 @@ class Block:
         hit_w, hit_s = [], []
         for w, order in zip(live, rarest):
             n, codes, start = q.lengths[w], q.codes[w], None
+            if slack:
+                lists = [self.posts[self.ends[spot[c]]:self.ends[spot[c] + 1]] for c in codes[:n]]
+                found = self.near(lists, slack, order[:n].tolist())
+                hit_s.append(found)
+                hit_w.append(np.full(len(found), w))
+                continue
             for j in order[:n]:
                 t = spot[codes[j]]
                 have = self.posts[self.ends[t]:self.ends[t + 1]]
                 if start is None:
                     start = have.astype(np.int64) - j
                     continue
-                at = np.searchsorted(have, start + (j - slack))
+                at = np.searchsorted(have, start + j)
                 inside = at < len(have)
                 start, at = start[inside], at[inside]
-                start = start[have[at] <= start + (j + slack)]
+                start = start[have[at] == start + j]
                 if not len(start):
                     break
             doc = np.searchsorted(self.first, np.maximum(start, 0), "right")
@@ -138,7 +162,7 @@ class Windows:
 
 def _parts(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list]:
     """The items, in lists of at most about ``PART_BYTES`` of text."""
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text"))
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).distinct()
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = -(-int(total) // PART_BYTES) or 1
     for k in range(n):

@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from strata.llm import contamination as C
 from strata.llm.queries import new_folder
 from tests.llm.helpers import awkward, docs_of, empty
@@ -70,3 +72,26 @@ def test_proximity_matches(spark):
     near = C.matches(spark, path, bench, slack=1).collect()
     assert [(r["doc_id"], r["start"], r["length"]) for r in exact] == [(1, 0, 4)]
     assert {r["doc_id"] for r in near} == {0, 1}
+
+
+@pytest.mark.parametrize("block", [60, 4 << 20])
+def test_proximity_against_brute_force_at_two_block_sizes(spark, monkeypatch, block):
+    monkeypatch.setattr(C, "BLOCK_BYTES", block)
+    rng = random.Random(6)
+    vocab = [f"w{i}" for i in range(6)]
+    texts = [" ".join(rng.choice(vocab) for _ in range(rng.randint(0, 30))) for _ in range(60)]
+    items = [(i, " ".join(rng.choice(vocab) for _ in range(rng.randint(1, 5)))) for i in range(25)]
+    path = new_folder(spark, "postings")
+    C.write_index(docs_of(spark, texts).coalesce(2), path)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for slack in (1, 2):
+        want = set()
+        for d, t in enumerate(texts):
+            w = t.split()
+            for i, x in items:
+                x = x.split()
+                for p in range(len(w)):
+                    if w[p] == x[0] and all(x[j] in w[max(0, p + j - slack):p + j + slack + 1] for j in range(len(x))):
+                        want.add((d, str(i), p, len(x)))
+        got = [(r["doc_id"], r["item"], r["start"], r["length"]) for r in C.matches(spark, path, bench, slack=slack).collect()]
+        assert len(got) == len(set(got)) and set(got) == want

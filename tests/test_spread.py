@@ -72,3 +72,29 @@ def test_a_batch_lies_in_many_tasks_and_parts_are_bounded(spark, monkeypatch):
     table.rows.unpersist()
     assert max(sizes) <= 20 and sum(sizes) == 240
     assert first == min(8, spark.sparkContext.defaultParallelism)
+
+
+def test_short_steps_share_a_job_and_large_batches_a_step(spark, monkeypatch):
+    """Batches below ``SHARED_ROWS`` take a job for every ``RUN_ROWS`` rows, not one a step; same steps."""
+    monkeypatch.setattr(tr, "RUN_ROWS", 100)
+    monkeypatch.setattr(tr, "SHARED_ROWS", 90)
+    df, sc = _separable(spark, 310), spark.sparkContext
+    specs = [tr.ModelSpec(0, [3, 5, 2], 0.02, 4), tr.ModelSpec(1, [3, 4, 2], 0.01, 7, drop_last=True), tr.ModelSpec(2, [3, 6, 2], 0.05, 95)]
+    states = {s.trial_id: tr.TrainState.fresh(s.layers, s.trial_id) for s in specs}
+    table = tr.spread_table(df, "key", 1, 7, None, 4)
+    sc.setJobGroup("spread-jobs", "steps of an epoch")
+    try:
+        got = tr.spread_epoch(table, specs, states)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        table.rows.unpersist()
+    x, y = fixed_order(df, 7)
+    for s in specs:
+        st = states[s.trial_id]
+        p, _, _, step, loss, k = mlp.sgd_epoch(st.params, st.m, st.v, 0, x, y, s.batch_size, s.lr, s.drop_last)
+        new, mean, steps = got[s.trial_id]
+        assert (new.step, steps, new.epoch) == (step, k, 1)
+        np.testing.assert_allclose(mlp.flatten(new.params), mlp.flatten(p), rtol=0, atol=1e-9)
+        np.testing.assert_allclose(mean, loss / k, atol=1e-9)
+    # 78 and 44 short steps in 4 jobs, 4 shared ones in 4; adaptive execution runs a few jobs for each
+    assert 8 <= len(sc.statusTracker().getJobIdsForGroup("spread-jobs")) < 40

@@ -14,8 +14,8 @@ exact splits, skipping rows, epoch orders, batches, shards.
   minus the block's least one.  Blocks may be cut anywhere, rows keep their order, so the
   number does not depend on the cut.
 
-Offsets are prefix sums over one count a file (or block); Spark broadcasts that
-table when it is small and joins it by shuffle when it is not.  An empty table has
+Offsets are prefix sums over one count a file (or block), and that table is broadcast: by a
+shuffle on the file all rows of one file would meet in one task.  An empty table has
 no rows to number; a table that is no scan of files has no order and raises.
 """
 
@@ -72,7 +72,7 @@ def numbered(df: DataFrame, col: str = "row") -> DataFrame:
     if col in df.columns:
         raise ValueError(f"the table has a column {col!r}")
     at = with_address(df)
-    found = at.join(offsets(at), (F.col(FILE) == F.col("__ofile")) & (F.col(BLOCK) == F.col("__oblock")), "left")
+    found = at.join(F.broadcast(offsets(at)), (F.col(FILE) == F.col("__ofile")) & (F.col(BLOCK) == F.col("__oblock")), "left")
     number = F.when(F.col("__before").isNull(), F.raise_error(F.lit(BLOCK_MESSAGE)).cast("long")).otherwise(
         F.col("__before") + F.col(PLACE) - F.col("__least"))
     return found.select(*df.columns, number.alias(col))

@@ -76,6 +76,22 @@ def test_skipping_batches_and_epochs_of_a_keyless_table(spark):
     assert one.join(two, ["row", "pos"]).count() < n / 100
 
 
+@pytest.mark.parametrize("kind", ["parquet", "csv"])
+def test_rows_of_one_file_do_not_meet_in_one_task(spark, tmp_path, kind):
+    """Whatever Spark thinks of the size of the offsets, rows are not shuffled by their file."""
+    path = str(tmp_path / "one")
+    spark.range(2000).select(*((F.col("id") % m).cast("double").alias(c) for c, m in (("a", 5), ("b", 3))),
+                             F.lit("x").alias("c")).coalesce(1).write.format(kind).save(path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = ad.numbered(spark.read.parquet(path) if kind == "parquet" else scan(spark, path))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        rows = sorted(r["row"] for r in got.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and rows == list(range(2000))
+
+
 def test_what_has_no_order_is_refused(spark):
     with pytest.raises(ValueError, match="scan of files"):
         ad.numbered(spark.range(3))

@@ -41,8 +41,8 @@ LEAST_ROWS = 2_048
 PIVOTS, SAMPLE = 24, 1_024
 #: Blocks that a query visits before its radius is taken again.
 NEAR = 3
-#: Candidates of a sub-block, and distances of one NumPy step.
-SUB_ROWS, STEP_CELLS = 2_048, 4_000_000
+#: Candidates of a sub-block, and distances of one NumPy step (a few arrays of them at once).
+SUB_ROWS, STEP_CELLS = 2_048, 500_000
 
 
 # ------------------------------------------------------------- inside a task
@@ -66,7 +66,10 @@ def _nearest(qx: np.ndarray, same: np.ndarray, cx: np.ndarray, ids: np.ndarray,
     for s in range(0, len(qx), step):
         q = qx[s:s + step] - mid
         q2 = (q ** 2).sum(axis=1)
-        near = q2[:, None] + c2[None, :] - 2.0 * (q @ c.T)
+        near = q @ c.T                                # in place: one array of these, not four
+        near *= -2.0
+        near += q2[:, None]
+        near += c2[None, :]
         # Rounding of the product: a few units in the last place of the squared norms, a term each.
         slack = 16 * (q.shape[1] + 8) * np.finfo(float).eps * (np.sqrt(q2) + math.sqrt(c2.max())) ** 2
         limit = reach[s:s + step] ** 2 + slack

@@ -150,3 +150,15 @@ def test_undersample_multiclass(spark):
     df = spark.createDataFrame(rows, "k long, y string")
     out = rs.undersample(df, "k", "y", 0.5, seed=2)
     assert rs.class_counts(out, "y") == {"a": 18, "b": 18, "c": 9}
+
+
+def test_screening_distances_takes_few_arrays():
+    """Rows that all lie within reach: a step holds a few arrays of ``STEP_CELLS``, whatever the block."""
+    import tracemalloc
+    x = np.random.default_rng(2).normal(size=(2048, 4))
+    side = {"key": np.arange(2048), "x": x, "d": np.abs(x[:, :2]), "reach": np.full(2048, np.inf)}
+    tracemalloc.start()
+    kn.block_pair(side, side, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6

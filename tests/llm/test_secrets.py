@@ -188,3 +188,24 @@ def test_threshold_keeps_the_recall_of_hard_findings():
     y = (rng.random(2000) < 0.25).astype(int)
     net = S.fit(x, y, epochs=1)
     assert net.threshold < 0.5 and (net.probability(x[y == 1]) >= net.threshold).mean() > 0.95
+
+
+def test_windows_beyond_the_first_fit_are_learned_from(spark):
+    """Documents with none of the first windows of either side count too, and partitions do not."""
+    texts, owners = corpus(300, seed=8), {}
+    for i, t in enumerate(texts):
+        base = S.base_findings(t)
+        for y, spans in ((1, [(a + S._value_at(t, a, k), z) for a, k, z in base]), (0, S.candidates(t, base, words=True))):
+            for _, x in S.codes(t, spans):
+                for c in x:
+                    owners.setdefault((y, c.tobytes()), set()).add(i)
+    windows = S.training_windows(docs_of(spark, texts))
+    assert {(r["y"], bytes(r["x"])) for r in windows.collect()} == set(owners) and windows.count() == len(owners)
+    first = {i for y in (0, 1) for w in sorted((w for w in owners if w[0] == y), key=lambda w: hashlib.md5(w[1]).digest())[:60] for i in owners[w]}
+    rest = [i for i in range(300) if i not in first]
+    fewer = [t for i, t in enumerate(texts) if i not in rest[::2]]
+    assert len(rest) > 100
+    whole, less = (S.train(docs_of(spark, t), sample_spans=20) for t in (texts, fewer))
+    assert np.abs(whole.table - less.table).max() > 1e-6 and whole.threshold <= 1
+    again = S.train(docs_of(spark, texts).repartition(7), sample_spans=20)
+    assert np.array_equal(whole.table, again.table) and abs(whole.threshold - again.threshold) < 1e-9

@@ -247,7 +247,7 @@ def run_search(train_df: DataFrame, key: str, trials: DataFrame, *, in_width: in
     never is.
 
     ``mode="local"`` trains a trial's shards in one task each; ``mode="sync"`` takes
-    every trial's exact mini-batch steps, each batch shared by many tasks."""
+    every trial's exact mini-batch steps over rows in many tasks."""
     if mode not in ("local", "sync"):
         raise ValueError("mode is 'local' or 'sync'")
     from strata.operators import train as tr
